@@ -87,8 +87,6 @@ def flatten(events: DataFrame, rules: Rules = DEFAULT, with_order: bool = False)
     amount = decode_amount(F.col("record.total_amount"))
     if rules.bad_amount_as_zero:
         amount = F.coalesce(amount, F.lit(0).cast("decimal(12,2)"))
-    if rules.amount_as_double:
-        amount = amount.cast("double")
     key = F.col("record.id")
     if rules.null_key is not None:
         key = F.coalesce(key, F.lit(rules.null_key).cast("bigint"))

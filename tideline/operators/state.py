@@ -49,8 +49,9 @@ def order_documents(latest: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     rows = live_rows(route(latest, ORDERS), rules)
     if rules.wide_documents:
         return rows.select("id", "customer_id", "total_amount", "status", F.col("id").alias("_id"))
+    amount = F.col("total_amount").cast("double") if rules.amount_as_double else F.col("total_amount")
     status = F.col("status") if rules.null_status is None else F.coalesce("status", F.lit(rules.null_status))
-    return rows.select(F.col("id").alias("_id"), "customer_id", "total_amount", status.alias("status"))
+    return rows.select(F.col("id").alias("_id"), "customer_id", amount.alias("total_amount"), status.alias("status"))
 
 
 def customer_hashes(latest: DataFrame, rules: Rules = DEFAULT) -> DataFrame:

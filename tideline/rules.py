@@ -13,7 +13,7 @@ from dataclasses import dataclass
 class Rules:
     # amount that cannot be decoded: keep NULL in the row, or store zero
     bad_amount_as_zero: bool = False
-    # amounts as DECIMAL(12,2), or as DOUBLE
+    # documents hold amounts as DECIMAL(12,2), or as DOUBLE; sums stay decimal
     amount_as_double: bool = False
     # "abc@": two parts (masked), or one part because trailing empties are dropped (kept as is)
     drop_trailing_empty_part: bool = False

@@ -13,7 +13,7 @@ from tideline.operators.counters import counters, scores
 from tideline.operators.envelope import changes
 from tideline.operators.state import latest_per_key
 from tideline.rules import DEFAULT, Rules
-from tideline.streaming.tables import StateTables
+from tideline.streaming.tables import BatchTable, StateTables
 
 
 @dataclass
@@ -89,13 +89,14 @@ def to_parquet(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def running_aggregate(frame: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Streaming aggregation whose state Spark keeps; the result has one row per key."""
-    return (
-        frame.writeStream.format("memory")
-        .queryName(name)
-        .outputMode(mode)
+def running_aggregate(frame: DataFrame, out: BatchTable, checkpoint: str) -> StreamingQuery:
+    """Streaming aggregation whose state Spark keeps; each batch writes the whole result."""
+    query = (
+        frame.writeStream.foreachBatch(out.write_batch)
+        .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    return query

@@ -44,9 +44,14 @@ class BatchTable:
     combine: Callable[[DataFrame], DataFrame]
     # base, later batches (already combined) -> whole table
     merge: Callable[[DataFrame, DataFrame], DataFrame]
+    # folders inside a batch or base, so that a reader of one table skips the others
+    split_by: tuple[str, ...] = ()
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").partitionBy(*self.split_by).parquet(path)
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
+        self._write(rows, f"{self.path}/batches/batch={batch_id}")
 
     def batch_ids(self) -> list[int]:
         return _done(self.spark, f"{self.path}/batches", "batch")
@@ -55,13 +60,20 @@ class BatchTable:
         folds = _done(self.spark, f"{self.path}/base", "upto")
         return folds[-1] if folds else None
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        if not paths:
+    def _read(self, kind: str, folders: list[str]) -> DataFrame:
+        """Rows of the folders, with the folder's own number as a last column."""
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        root = f"{self.path}/{kind}"
+        reader = self.spark.read.schema(self.schema).option("basePath", root)
+        return reader.parquet(*[f"{root}/{f}" for f in folders])
 
     def batches(self, ids: list[int]) -> DataFrame:
-        return self._read([f"{self.path}/batches/batch={i}" for i in ids])
+        return self._read("batches", [f"batch={i}" for i in ids]).drop("batch")
+
+    def by_batch(self) -> DataFrame:
+        """Rows of every finished batch with their ``batch``."""
+        return self._read("batches", [f"batch={i}" for i in self.batch_ids()])
 
     def read(self) -> DataFrame:
         """The table as of the last finished batch."""
@@ -69,7 +81,7 @@ class BatchTable:
         newer = [i for i in self.batch_ids() if base is None or i > base]
         if base is None:
             return self.combine(self.batches(newer))
-        whole = self._read([f"{self.path}/base/upto={base}"])
+        whole = self._read("base", [f"upto={base}"]).drop("upto")
         if not newer:
             return whole
         return self.merge(whole, self.combine(self.batches(newer)))
@@ -79,7 +91,7 @@ class BatchTable:
         ids = self.batch_ids()
         if not ids or ids[-1] == self.base_id():
             return None
-        self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={ids[-1]}")
+        self._write(self.read(), f"{self.path}/base/upto={ids[-1]}")
         return ids[-1]
 
 
@@ -101,7 +113,7 @@ class StateTables:
             return rows.groupBy("table").agg(F.sum("rows").cast("bigint").alias("rows"))
 
         return StateTables(
-            BatchTable(spark, f"{root}/latest", LATEST_SCHEMA, latest_per_key, merge_latest),
+            BatchTable(spark, f"{root}/latest", LATEST_SCHEMA, latest_per_key, merge_latest, ("table",)),
             summed("counters", COUNTER_SCHEMA, sum_deltas),
             summed("scores", SCORE_SCHEMA, sum_scores),
             summed("counts", COUNT_SCHEMA, add_counts),
