@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tideline.schema import AMOUNT
 
 _BASE64 = "^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
+# More than 64 bits, where every further byte only repeats the sign.
+_PADDED = "^(?:00)+[0-7][0-9A-F]{15}$|^(?:FF)+[89A-F][0-9A-F]{15}$"
 
 
 def decode_amount(text: Column) -> Column:
@@ -15,14 +17,12 @@ def decode_amount(text: Column) -> Column:
     # A NULL input runs through the rest, so no branch repeats the decoding.
     strict = F.when(text.rlike(_BASE64), text)
     digits = F.hex(F.try_to_binary(strict, F.lit("base64")))
-    # Sign bytes beyond 64 bits are padding; what is still longer does not fit.
-    short = F.when(F.length(digits) <= 16, digits).otherwise(
-        F.regexp_replace(digits, "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
-    )
-    fits = F.when(F.length(short) <= 16, short)
     # Hex digits sort like their values, so '8' and above at the front is a set sign bit.
-    word = F.lpad(fits, 16, F.when(fits >= "8", "F").otherwise("0"))
-    cents = F.conv(word, 16, -10).cast("bigint")
+    sign = F.when(digits >= "8", F.lit("F" * 16)).otherwise(F.lit("0" * 16))
+    word = F.substring(F.concat(sign, digits), -16, 16)
+    fits = (F.length(digits) <= 16) | digits.rlike(_PADDED)
+    # Adding a NULL instead of branching lets the digits be computed once per row.
+    cents = F.conv(word, 16, -10).cast("bigint") + F.when(fits, F.lit(0))
     return (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).try_cast(AMOUNT)
 
 

@@ -13,13 +13,8 @@ def mask_email(email: Column, drop_trailing_empty_part: bool = False) -> Column:
     they are. With ``drop_trailing_empty_part`` an address that ends in ``@`` counts as
     having no domain and stays as it is.
     """
-    parts = F.split(email, "@", -1)
-    local = parts.getItem(0)
-    stars = F.repeat(F.lit("*"), F.length(local) - 2)
-    hidden = F.concat(
-        F.substring(local, 1, 1), stars, F.substring(local, -1, 1), F.lit("@"), F.get(parts, F.lit(1))
-    )
-    maskable = (F.size(parts) == 2) & (F.length(local) > 2)
+    at = F.instr(email, "@")
+    maskable = (at > 3) & (F.position(F.lit("@"), email, at + 1) == 0)
     if drop_trailing_empty_part:
-        maskable = maskable & (F.get(parts, F.lit(1)) != "")
-    return F.when(maskable, hidden).otherwise(email)
+        maskable = maskable & (at < F.length(email))
+    return F.when(maskable, F.overlay(email, F.repeat(F.lit("*"), at - 3), 2)).otherwise(email)

@@ -17,6 +17,9 @@ from tideline.schema import (
     ORDERS,
 )
 
+# Kinds of deltas that a batch adds.
+COUNTER, SCORE, ROWS = "counter", "score", "rows"
+
 
 def _order_sums() -> list:
     sign = counter_sign(F.col("op"))
@@ -69,11 +72,8 @@ def counters(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     entries = grouped.select(
         F.inline(F.when(F.col("table") == CUSTOMERS, of_customers).when(F.col("table") == ORDERS, of_orders))
     )
-    return sum_deltas(entries.where(F.col("key").isNotNull()))
-
-
-def sum_deltas(deltas: DataFrame) -> DataFrame:
-    return deltas.groupBy("key").agg(F.sum("value").cast(MONEY).alias("value"))
+    keyed = entries.where(F.col("key").isNotNull())
+    return keyed.groupBy("key").agg(F.sum("value").cast(MONEY).alias("value"))
 
 
 def scores(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -83,8 +83,22 @@ def scores(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return counted.select(customer_key(F.col("customer_id"), rules.null_member).alias("member"), "score")
 
 
-def sum_scores(deltas: DataFrame) -> DataFrame:
-    return deltas.groupBy("member").agg(F.sum("score").cast("bigint").alias("score"))
+def deltas(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+    """Everything a set of changes adds: counters, scores and row counts, ``(kind, key, value)``."""
+
+    def of_kind(kind: str, rows: DataFrame, key: str, value: str) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), F.col(value).cast(MONEY).alias("value"))
+
+    counts = flat.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        of_kind(COUNTER, counters(flat, rules), "key", "value")
+        .unionByName(of_kind(SCORE, scores(flat, rules), "member", "score"))
+        .unionByName(of_kind(ROWS, counts, "table", "n"))
+    )
+
+
+def add_deltas(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("kind", "key").agg(F.sum("value").cast(MONEY).alias("value"))
 
 
 def top_members(score_table: DataFrame, k: int) -> DataFrame:

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.session import cut_lineage
+
 # Rows are a few dozen bytes wide, so this stays near ten megabytes.
 MAX_BROADCAST_ROWS = 100_000
 
 
+def sized(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The rows computed once into the shared folder, hinted for broadcast if they are few."""
+    held = cut_lineage(small)
+    return F.broadcast(held) if held.count() <= max_rows else held
+
+
 def join_small(
     big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
@@ -17,8 +25,4 @@ def join_small(
     The shuffled join leaves hot keys of ``big`` to adaptive skew splitting, which is
     open to inner, left, semi and anti joins with the hot side on the left.
     """
-    held = small.persist()
-    if held.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(held), on, how)
-    held.unpersist()
-    return big.join(small, on, how)
+    return big.join(sized(small, max_rows), on, how)

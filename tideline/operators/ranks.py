@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tideline.operators.joins import join_small
+from tideline.session import cut_lineage
 
-BUCKETS = 1024
+BUCKETS = 4096
+# Distinct values of one group that a single task may walk through in order.
+WINDOW_ROWS = 1_000_000
 
 
 def p50_index(n: Column) -> Column:
@@ -17,67 +19,73 @@ def p50_index(n: Column) -> Column:
 
 def p95_index(n: Column) -> Column:
     """``floor(0.95 n)`` in whole numbers, never beyond the last reading."""
-    return F.least(F.floor(n * 95 / 100).cast("bigint"), n - 1)
+    return F.least(F.expr("n * 95 div 100"), n - 1)
 
 
-def _spread(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    return rows.groupBy(*by).agg(
-        F.min(value).cast("double").alias("lo"),
-        F.max(value).cast("double").alias("hi"),
-    )
+def _holds_rank() -> Column:
+    return (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("held"))
+
 
+def _running(by: list[str], order: str):
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
 
-def _bucketed(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Order-keeping bucket of each reading between the group's least and largest one."""
+
+def _bucketed(counted: DataFrame, edges: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Order-keeping bucket of each value between its group's least and largest one."""
     width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     place = F.floor((F.col(value).cast("double") - F.col("lo")) / width * BUCKETS)
     bucket = F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(0)).cast("int")
-    return join_small(rows, _spread(rows, by, value), by).withColumn("bucket", bucket).drop("lo", "hi")
+    return join_small(counted, edges, by).withColumn("bucket", bucket).drop("lo", "hi")
+
+
+def _edges(value: str) -> list[Column]:
+    return [F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")]
 
 
 def pick_by_index(
-    rows: DataFrame, groups: list[str], value: str, indexes: dict[str, Column], levels: int = 2
+    rows: DataFrame, groups: list[str], value: str, indexes: dict[str, Column], window_rows: int = WINDOW_ROWS
 ) -> DataFrame:
     """For each group the readings at the given zero-based sorted positions.
 
     ``indexes`` maps a result name to a position in terms of ``n``, the group's size;
     NULL readings are left out. Result: one row per group and name with ``picked``.
 
-    Readings are counted into value buckets, which combines before the shuffle, and only
-    the bucket that holds the position is looked at closer. The readings themselves are
-    scanned again rather than shuffled; the closing window sees the distinct values of
-    one small bucket.
+    While a group has more values than one task should walk through, they are counted
+    into value buckets, which combines before the shuffle, and only the bucket that holds
+    the position is looked at closer. Each round parts the least from the largest value,
+    so it ends; the readings themselves are scanned again rather than shuffled.
     """
     rows = rows.where(F.col(value).isNotNull()).select(*groups, value)
-    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    n = F.count(F.lit(1)).cast("bigint").alias("n")
+    sizes = cut_lineage(rows.groupBy(*groups).agg(n, *_edges(value)))
     wanted = F.array(
         *[F.struct(F.lit(k).alias("stat"), i.cast("bigint").alias("rank")) for k, i in indexes.items()]
     )
     targets = sizes.select(*groups, F.inline(wanted))
-
-    by = list(groups)
-    level_rows = rows
-    for _ in range(levels):
-        placed = _bucketed(level_rows, by, value)
-        totals = placed.groupBy(*by, "bucket").agg(F.count(F.lit(1)).cast("bigint").alias("held"))
-        running = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        totals = totals.withColumn("upto", F.sum("held").over(running))
-        hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("held"))
-        found = (
-            join_small(totals, targets, by)
-            .where(hit)
-            .select(*groups, "stat", "bucket", (F.col("rank") - F.col("upto") + F.col("held")).alias("rank"))
-        )
-        narrowed = join_small(placed, found, [*by, "bucket"])
+    by, left = list(groups), rows.withColumn("held", F.lit(1).cast("bigint"))
+    edges, largest = sizes.select(*groups, "lo", "hi"), _largest(sizes)
+
+    while largest > window_rows:
+        placed = _bucketed(left, edges, by, value)
+        totals = placed.groupBy(*by, "bucket").agg(F.sum("held").alias("held"))
+        totals = totals.withColumn("upto", F.sum("held").over(_running(by, "bucket")))
+        rank = (F.col("rank") - F.col("upto") + F.col("held")).alias("rank")
+        ranked = totals.join(targets, by).where(_holds_rank())
+        found = cut_lineage(ranked.select(*groups, "stat", "bucket", rank))
+        inside = join_small(placed, found.drop("rank"), [*by, "bucket"])
         by = [*groups, "stat"]
-        level_rows = narrowed.select(*by, value)
+        left = cut_lineage(inside.groupBy(*by, value).agg(F.sum("held").alias("held")))
         targets = found.select(*by, "rank")
+        sizes = cut_lineage(left.groupBy(*by).agg(n, *_edges(value)))
+        edges, largest = sizes.select(*by, "lo", "hi"), _largest(sizes)
+
+    counted = left.groupBy(*by, value).agg(F.sum("held").alias("held"))
+    counted = counted.withColumn("upto", F.sum("held").over(_running(by, value)))
+    return counted.join(targets, by).where(_holds_rank()).select(*groups, "stat", F.col(value).alias("picked"))
+
 
-    counted = level_rows.groupBy(*by, value).agg(F.count(F.lit(1)).cast("bigint").alias("held"))
-    running = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    counted = counted.withColumn("upto", F.sum("held").over(running))
-    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("held"))
-    return join_small(counted, targets, by).where(hit).select(*by, F.col(value).alias("picked"))
+def _largest(sizes: DataFrame) -> int:
+    return sizes.agg(F.max("n")).first()[0] or 0
 
 
 def picked_columns(picked: DataFrame, groups: list[str], names: list[str]) -> DataFrame:

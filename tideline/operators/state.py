@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 
 from tideline.functions import customer_key, or_empty
 from tideline.operators.envelope import change_order, route
-from tideline.operators.joins import join_small
+from tideline.operators.joins import join_small, sized
 from tideline.rules import DEFAULT, Rules
 from tideline.schema import CUSTOMERS, ORDERS
 
 KEYS = ["table", "id"]
+# What the documents of a table are made of.
+ORDER_VALUES = ["op", "customer_id", "total_amount", "status"]
+CUSTOMER_VALUES = ["op", "name", "masked_email"]
 
 
-def latest_per_key(changes: DataFrame, keys: list[str] = KEYS, order: str = "ord") -> DataFrame:
-    """Last change of each key.
+def latest_per_key(changes: DataFrame, keep: list[str] | None = None, keys: list[str] = KEYS) -> DataFrame:
+    """Last change of each key by ``ord``, with the kept columns only.
 
-    ``max_by`` is combined before the shuffle, so a key with a third of all events sends
-    one row per input partition.
+    The largest struct is combined before the shuffle, so a key with a third of all events
+    sends one row per input partition. Columns left out never reach the shuffle.
     """
-    rest = [c for c in changes.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.col(order)).alias("last")
-    return changes.groupBy(*keys).agg(last).select(*keys, "last.*")
+    kept = [c for c in (keep or changes.columns) if c not in keys]
+    last = F.max(F.struct("ord", *[c for c in kept if c != "ord"])).alias("last")
+    picked = [F.col(f"last.{c}").alias(c) for c in kept]
+    return changes.groupBy(*keys).agg(last).select(*keys, *picked)
 
 
 def is_live(rules: Rules = DEFAULT) -> Column:
@@ -112,12 +116,12 @@ def orphans(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def merge_latest(state: DataFrame, newest: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Fold new changes into a state that has one row per key and keeps its delete marks.
+    """Fold new changes into a state; both have one row per key and keep delete marks.
 
     Rows of untouched keys pass through without a shuffle while the touched keys are few;
     touched keys are settled by order, so a late older change never wins.
     """
-    touched = newest.select(*keys).distinct()
-    kept = join_small(state, touched, keys, "left_anti")
-    met = join_small(state, touched, keys, "left_semi")
-    return kept.unionByName(latest_per_key(met.unionByName(newest), keys))
+    touched = sized(newest.select(*keys))
+    kept = state.join(touched, keys, "left_anti")
+    met = state.join(touched, keys, "left_semi")
+    return kept.unionByName(latest_per_key(met.unionByName(newest), keys=keys))

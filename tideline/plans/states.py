@@ -14,6 +14,8 @@ from tideline.operators.reconcile import (
 )
 from tideline.operators.runs import purge
 from tideline.operators.state import (
+    CUSTOMER_VALUES,
+    ORDER_VALUES,
     cascade_deletes,
     customer_documents,
     customer_hashes,
@@ -30,6 +32,7 @@ from tideline.plans import logs
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
 from tideline.rules import Rules
 from tideline.schema import CUSTOMERS, ORDERS
+from tideline.session import cut_lineage
 
 PYTHON, SCALA = Rules.python_job(), Rules.scala_job()
 PURGE_FROM_ID = 1_000
@@ -37,46 +40,46 @@ TRUNCATED_AT = "1998-01-01 00:00:00"
 
 
 def doc_state_orders(spark, sf_dir):
-    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir)))
+    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES))
 
 
 def doc_state_customers(spark, sf_dir):
-    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir)))
+    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
 
 
 def doc_state_orders_python(spark, sf_dir):
     """Deletes leave the before-image in the store."""
-    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir)), PYTHON)
+    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES), PYTHON)
 
 
 def doc_state_customers_python(spark, sf_dir):
-    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir)), PYTHON)
+    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES), PYTHON)
 
 
 def doc_state_orders_scala(spark, sf_dir):
     """Amounts as doubles."""
-    latest = latest_per_key(changes(logs.orders_log(spark, sf_dir), SCALA))
+    latest = latest_per_key(changes(logs.orders_log(spark, sf_dir), SCALA), ORDER_VALUES)
     return order_documents(latest, SCALA)
 
 
 def doc_delete(spark, sf_dir):
-    return deleted_keys(latest_per_key(logs.both_changes(spark, sf_dir)))
+    return deleted_keys(latest_per_key(logs.both_changes(spark, sf_dir), ["op"]))
 
 
 def kv_customer_hash(spark, sf_dir):
-    return customer_hashes(latest_per_key(logs.customer_changes(spark, sf_dir)))
+    return customer_hashes(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
 
 
 def latest_change(spark, sf_dir):
-    latest = latest_per_key(logs.both_changes(spark, sf_dir))
+    latest = latest_per_key(logs.both_changes(spark, sf_dir), ["op", "ord"])
     return latest.select("table", "id", "op", F.col("ord.offset").alias("offset"))
 
 
 def merged_state(spark, sf_dir):
-    """Updates and deletes folded into the state that the creates left."""
+    """Updates and deletes folded into the stored state that the creates left."""
     flat = logs.both_changes(spark, sf_dir)
-    state = latest_per_key(flat.where(F.col("op") == "c"))
-    newest = latest_per_key(flat.where(F.col("op") != "c"))
+    state = cut_lineage(latest_per_key(flat.where(F.col("op") == "c")))
+    newest = cut_lineage(latest_per_key(flat.where(F.col("op") != "c")))
     merged = merge_latest(state, newest)
     return merged.select("table", "id", "op", F.col("ord.offset").alias("offset"))
 
@@ -97,18 +100,18 @@ def truncate_event(spark, sf_dir):
     )
     log = log.unionByName(cut)
     kept = survive_truncates(changes(log), parse_events(log, fields=("id",)))
-    return order_documents(latest_per_key(kept))
+    return order_documents(latest_per_key(kept, ORDER_VALUES))
 
 
 def cascade_delete(spark, sf_dir):
-    live = live_rows(latest_per_key(logs.order_changes(spark, sf_dir)))
+    live = live_rows(latest_per_key(logs.order_changes(spark, sf_dir), ["op", "customer_id", "ord"]))
     kept = cascade_deletes(live, logs.customer_changes(spark, sf_dir))
     return kept.select("id", "customer_id")
 
 
 def fk_orphans(spark, sf_dir):
-    orders = order_documents(latest_per_key(logs.order_changes(spark, sf_dir)))
-    customers = customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir)))
+    orders = order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES))
+    customers = customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
     return orphans(orders, customers).select("_id", "customer_id")
 
 
@@ -116,7 +119,7 @@ def _both_counts(spark, sf_dir):
     source = table_counts(
         {CUSTOMERS: logs.customer_table(spark, sf_dir), ORDERS: logs.order_table(spark, sf_dir)}, "source_rows"
     )
-    latest = live_rows(latest_per_key(logs.both_changes(spark, sf_dir)))
+    latest = live_rows(latest_per_key(logs.both_changes(spark, sf_dir), ["op"]))
     target = latest.groupBy("table").agg(F.count(F.lit(1)).cast("bigint").alias("target_rows"))
     return source, target
 
@@ -139,7 +142,7 @@ def both_stores_up(spark, sf_dir):
 def rows_reconciled(spark, sf_dir):
     """Row-level differences between the order table and the state of its log."""
     source = logs.order_table(spark, sf_dir).drop("order_date")
-    target = order_documents(latest_per_key(logs.order_changes(spark, sf_dir))).withColumnRenamed("_id", "id")
+    target = order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES)).withColumnRenamed("_id", "id")
     return reconcile_rows(source, target, "id")
 
 

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions import status_key
-from tideline.operators.counters import counters, scores, top_members
+from tideline.operators.counters import top_members
 from tideline.operators.envelope import changes, route
-from tideline.operators.state import customer_hashes, latest_per_key, order_documents
+from tideline.operators.state import customer_hashes, order_documents
 from tideline.plans import logs
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
@@ -95,7 +95,7 @@ def stream_hashes(spark, sf_dir):
 def stream_top_customers(spark, sf_dir):
     log = Arriving(spark, sf_dir)
     log.apply_parts()
-    return top_members(log.tables.scores.read(), TOP_K)
+    return top_members(log.tables.scores(), TOP_K)
 
 
 class StopOnce:
@@ -138,7 +138,7 @@ def counters_exactly_once(spark, sf_dir):
     log.tables.fold()
     retried = changes(feed.to_log(log.events.where(F.col("op") == "d")))
     ChangeSink(log.tables)(retried, 2)
-    return log.tables.counters.read()
+    return log.tables.counters()
 
 
 def replay_idempotent(spark, sf_dir):
@@ -155,7 +155,7 @@ def rebuild_from_log(spark, sf_dir):
     log = Arriving(spark, sf_dir)
     log.arrive_all()
     ChangeSink(log.tables)(changes(read_files(spark, log.path)), 0)
-    return log.tables.counters.read()
+    return log.tables.counters()
 
 
 def stream_agg(spark, sf_dir):
@@ -173,9 +173,7 @@ def stream_agg(spark, sf_dir):
 def batch_counts(spark, sf_dir):
     log = Arriving(spark, sf_dir)
     log.apply_parts()
-    return log.tables.counts.by_batch().groupBy(F.col("batch").cast("bigint").alias("batch")).agg(
-        F.sum("rows").cast("bigint").alias("n")
-    )
+    return log.tables.batch_rows().groupBy("batch").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def batch_progress(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tideline", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +45,15 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """The rows as written to the shared folder; survives lost executors."""
+    spark = frame.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(spark))
+    return frame.checkpoint()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, never used before."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

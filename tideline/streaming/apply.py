@@ -6,10 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tideline.operators.counters import counters, scores
+from tideline.operators.counters import deltas
 from tideline.operators.envelope import changes
 from tideline.operators.state import latest_per_key
 from tideline.rules import DEFAULT, Rules
@@ -26,17 +25,14 @@ class ChangeSink:
     after_documents: Callable[[int], None] = field(default=lambda batch_id: None)
 
     def __call__(self, flat: DataFrame, batch_id: int) -> None:
-        # Four writes read the batch; the parse should happen once.
+        # Both writes read the batch; the parse should happen once.
         flat.persist()
         try:
             if flat.isEmpty():
                 return
             self.tables.latest.write_batch(latest_per_key(flat), batch_id)
             self.after_documents(batch_id)
-            self.tables.counters.write_batch(counters(flat, self.rules), batch_id)
-            self.tables.scores.write_batch(scores(flat, self.rules), batch_id)
-            per_table = flat.groupBy("table").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-            self.tables.counts.write_batch(per_table, batch_id)
+            self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id)
         finally:
             flat.unpersist()
 

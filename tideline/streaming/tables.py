@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.counters import sum_deltas, sum_scores
+from tideline.operators.counters import COUNTER, ROWS, SCORE, add_deltas
 from tideline.operators.state import latest_per_key, merge_latest
 
 LATEST_SCHEMA = """
@@ -22,9 +23,8 @@ LATEST_SCHEMA = """
     total_amount decimal(12,2), status string,
     ord struct<ts_ms: bigint, pos: bigint, is_change: int, offset: bigint>
 """
-COUNTER_SCHEMA = "key string, value decimal(38,2)"
-SCORE_SCHEMA = "member string, score bigint"
-COUNT_SCHEMA = "table string, rows bigint"
+LATEST_COLUMNS = ["op", "name", "masked_email", "customer_id", "total_amount", "status", "ord"]
+DELTA_SCHEMA = "kind string, key string, value decimal(38,2)"
 
 
 def _done(spark: SparkSession, pattern: str, tag: str) -> list[int]:
@@ -97,28 +97,39 @@ class BatchTable:
 
 @dataclass(frozen=True)
 class StateTables:
-    """What the change sink keeps: latest changes, counter and score deltas, batch counts."""
+    """What the change sink keeps: the latest change of each key, and deltas that add up.
+
+    Deltas of all kinds share one table, so a batch has two writes.
+    """
 
     latest: BatchTable
-    counters: BatchTable
-    scores: BatchTable
-    counts: BatchTable
+    deltas: BatchTable
 
     @staticmethod
     def at(spark: SparkSession, root: str) -> StateTables:
-        def summed(name: str, schema: str, add: Callable[[DataFrame], DataFrame]) -> BatchTable:
-            return BatchTable(spark, f"{root}/{name}", schema, add, lambda a, b: add(a.unionByName(b)))
+        return StateTables(
+            BatchTable(
+                spark, f"{root}/latest", LATEST_SCHEMA, partial(latest_per_key, keep=LATEST_COLUMNS), merge_latest, ("table",)
+            ),
+            BatchTable(
+                spark, f"{root}/deltas", DELTA_SCHEMA, add_deltas, lambda a, b: add_deltas(a.unionByName(b)), ("kind",)
+            ),
+        )
 
-        def add_counts(rows: DataFrame) -> DataFrame:
-            return rows.groupBy("table").agg(F.sum("rows").cast("bigint").alias("rows"))
+    def counters(self) -> DataFrame:
+        return self.deltas.read().where(F.col("kind") == COUNTER).select("key", "value")
 
-        return StateTables(
-            BatchTable(spark, f"{root}/latest", LATEST_SCHEMA, latest_per_key, merge_latest, ("table",)),
-            summed("counters", COUNTER_SCHEMA, sum_deltas),
-            summed("scores", SCORE_SCHEMA, sum_scores),
-            summed("counts", COUNT_SCHEMA, add_counts),
+    def scores(self) -> DataFrame:
+        rows = self.deltas.read().where(F.col("kind") == SCORE)
+        return rows.select(F.col("key").alias("member"), F.col("value").cast("bigint").alias("score"))
+
+    def batch_rows(self) -> DataFrame:
+        """Changes per micro-batch and table, for the batches that are still kept."""
+        rows = self.deltas.by_batch().where(F.col("kind") == ROWS)
+        return rows.select(
+            F.col("batch").cast("bigint").alias("batch"), F.col("key").alias("table"), F.col("value").cast("bigint").alias("n")
         )
 
     def fold(self) -> None:
-        for table in (self.latest, self.counters, self.scores, self.counts):
-            table.fold()
+        self.latest.fold()
+        self.deltas.fold()
