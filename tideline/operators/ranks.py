@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.joins import join_small
+from tideline.operators.joins import join_small, match_keys
 from tideline.session import cut_lineage
 
 BUCKETS = 4096
@@ -70,7 +70,7 @@ def pick_by_index(
         totals = placed.groupBy(*by, "bucket").agg(F.sum("held").alias("held"))
         totals = totals.withColumn("upto", F.sum("held").over(_running(by, "bucket")))
         rank = (F.col("rank") - F.col("upto") + F.col("held")).alias("rank")
-        ranked = totals.join(targets, by).where(_holds_rank())
+        ranked = match_keys(totals, targets, by).where(_holds_rank())
         found = cut_lineage(ranked.select(*groups, "stat", "bucket", rank))
         inside = join_small(placed, found.drop("rank"), [*by, "bucket"])
         by = [*groups, "stat"]
@@ -81,7 +81,7 @@ def pick_by_index(
 
     counted = left.groupBy(*by, value).agg(F.sum("held").alias("held"))
     counted = counted.withColumn("upto", F.sum("held").over(_running(by, value)))
-    return counted.join(targets, by).where(_holds_rank()).select(*groups, "stat", F.col(value).alias("picked"))
+    return match_keys(counted, targets, by).where(_holds_rank()).select(*groups, "stat", F.col(value).alias("picked"))
 
 
 def _largest(sizes: DataFrame) -> int:

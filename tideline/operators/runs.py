@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tideline.functions import percent, per_second
+from tideline.operators.joins import match_keys
 from tideline.operators.ranks import p50_index, p95_index, pick_by_index, picked_columns
 
 # ---- fixed values of the load analysis ----
@@ -97,7 +98,7 @@ def latency_percentiles(runs: DataFrame, groups: list[str], records: int) -> Dat
     wide = picked_columns(picked, groups, ["p50_ms", "p95_ms"])
     avg = F.expr("total_ms div nullif(runs, 0)").cast("bigint")
     per_run = F.lit(records * 1000).cast("double")
-    return counts.join(wide, groups, "left").select(
+    return match_keys(counts, wide, groups, "left").select(
         *groups,
         "p50_ms",
         "p95_ms",

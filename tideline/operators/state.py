@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tideline.functions import customer_key, or_empty
 from tideline.operators.envelope import change_order, route
-from tideline.operators.joins import join_small, sized
+from tideline.operators.joins import MAX_BROADCAST_ROWS, join_small
 from tideline.rules import DEFAULT, Rules
 from tideline.schema import CUSTOMERS, ORDERS
+from tideline.session import cut_lineage
 
 KEYS = ["table", "id"]
 # What the documents of a table are made of.
@@ -118,10 +119,12 @@ def orphans(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def merge_latest(state: DataFrame, newest: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Fold new changes into a state; both have one row per key and keep delete marks.
 
-    Rows of untouched keys pass through without a shuffle while the touched keys are few;
-    touched keys are settled by order, so a late older change never wins.
+    While the touched keys are few, rows of untouched ones pass through without a shuffle.
+    Touched keys are settled by order, so a late older change never wins.
     """
-    touched = sized(newest.select(*keys))
-    kept = state.join(touched, keys, "left_anti")
-    met = state.join(touched, keys, "left_semi")
+    touched = cut_lineage(newest.select(*keys))
+    if touched.count() > MAX_BROADCAST_ROWS:
+        return latest_per_key(state.unionByName(newest), keys=keys)
+    kept = state.join(F.broadcast(touched), keys, "left_anti")
+    met = state.join(F.broadcast(touched), keys, "left_semi")
     return kept.unionByName(latest_per_key(met.unionByName(newest), keys=keys))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tideline.operators.joins import join_small
+
 MICROS = 1_000_000
 # A chunk bounds what one task sorts; far wider than any rate window.
 CHUNK_SECONDS = 6 * 3600
@@ -40,7 +42,7 @@ def trailing_rate(
 
     within = Window.partitionBy(name, "chunk").orderBy(*order)
     before = F.coalesce(F.lag(value).over(within), F.col("carried"))
-    stepped = placed.join(carried, [name, "chunk"]).withColumn("before", before)
+    stepped = placed.join(carried, [name, "chunk"], "left").withColumn("before", before)
     rise = F.when(F.col("before").isNull(), F.lit(0)).when(
         F.col(value) < F.col("before"), F.col(value)
     ).otherwise(F.col(value) - F.col("before"))
@@ -113,11 +115,11 @@ def bands(spark: SparkSession, rows=BANDS) -> DataFrame:
 
 
 def in_bands(readings: DataFrame, band_table: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
-    """Colour of each reading. Thresholds are data: a few rows that go along with each task."""
+    """Colour of each reading; NULL for a metric without thresholds, which are data."""
     far = F.col(value) >= F.col("far_from")
     middle = F.col(value) >= F.col("middle_from")
     colour = F.when(far, F.col("far")).when(middle, F.col("middle")).otherwise(F.col("low"))
-    joined = readings.join(F.broadcast(band_table), [name], "left")
+    joined = join_small(readings, band_table, [name], "left")
     return joined.withColumn("band", F.when(F.col("low").isNotNull(), colour)).drop(
         "middle_from", "far_from", "low", "middle", "far"
     )

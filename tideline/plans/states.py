@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.operators.envelope import changes, parse_events, route
+from tideline.operators.counters import counters, scores
+from tideline.operators.gauges import gauges
 from tideline.operators.reconcile import (
     all_in_sync,
     both_readable,
@@ -33,6 +35,7 @@ from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, OR
 from tideline.rules import Rules
 from tideline.schema import CUSTOMERS, ORDERS
 from tideline.session import cut_lineage
+from tideline.sources.log import topic_end_offsets
 
 PYTHON, SCALA = Rules.python_job(), Rules.scala_job()
 PURGE_FROM_ID = 1_000
@@ -178,6 +181,14 @@ def newest_key(spark, sf_dir):
     return customers.unionByName(logs.order_table(spark, sf_dir).agg(newest).select(F.lit(ORDERS).alias("table"), "id"))
 
 
+def gauge_snapshot(spark, sf_dir):
+    """Every gauge once, from the tables and the state of their log."""
+    log = logs.both_log(spark, sf_dir)
+    flat = changes(log)
+    source, target = _both_counts(spark, sf_dir)
+    return gauges(source, target, counters(flat), scores(flat), topic_end_offsets(log))
+
+
 QUERIES = {
     "doc_state_orders": doc_state_orders,
     "doc_state_customers": doc_state_customers,
@@ -200,6 +211,7 @@ QUERIES = {
     "prefix_regex": prefix_regex,
     "id_range_count": id_range_count,
     "newest_key": newest_key,
+    "gauge_snapshot": gauge_snapshot,
 }
 
 _LATEST = f"""
@@ -265,4 +277,17 @@ select count(*) filter (regexp_matches(c_name, '^Customer_')) as with_underscore
     "id_range_count": """select count(*) as n from orders where o_orderkey >= 1000 and o_orderkey < 9000""",
     "newest_key": """
 select 'customers' as "table", max(c_custkey) as id from customer union all select 'orders', max(o_orderkey) from orders""",
+    "gauge_snapshot": f"""{_COUNTS},
+o as (select 'cdc_kafka_orders_offset' as name, sum(e) as value from (select max(off)+1 e from oe group by id%3)
+      union all select 'cdc_kafka_customers_offset', sum(e) from (select max(off)+1 e from ce group by id%3)),
+g as (select 'cdc_mysql_' || t || '_total' as name, s as value from c
+  union all select 'cdc_mongo_' || t || '_total', g from c
+  union all select 'cdc_redis_customers_total', count(*) from ce where op <> 'd'
+  union all select 'cdc_redis_orders_total', sum(case op when 'd' then -1 else 1 end) from oe
+  union all select 'cdc_redis_top_customer_score', max(n) from (select count(*) n from oe where op <> 'd' group by cid)
+  union all select * from o
+  union all select 'cdc_pipeline_up', 1
+  union all select 'cdc_mysql_mongo_in_sync', min(cast(s = g as integer)) from c)
+select name, cast(value as double) as value from g
+union all select 'cdc_redis_orders_revenue', cast(sum(case op when 'd' then -amt else amt end) as double) from oe""",
 }
