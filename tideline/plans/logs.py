@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.envelope import changes, parse_events
-from tideline.schema import ORDERS
-from tideline.session import prepare
+from tideline.operators.envelope import changes
+from tideline.schema import CUSTOMERS, ORDERS
+from tideline.session import new_folder, prepare
 from tideline.sources import feed
-from tideline.sources.log import subscribe
+from tideline.sources.log import read_files, subscribe
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,29 +34,54 @@ def supplier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.supplier_changes(feed.read_table(prepare(spark), sf_dir, "supplier"))
 
 
-def orders_log(spark: SparkSession, sf_dir: str, wrapped: bool = False) -> DataFrame:
-    return feed.to_log(order_events(spark, sf_dir), wrapped=wrapped)
+# Folders of the logs written so far, by application, tables and log name.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.to_log(customer_events(spark, sf_dir))
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The log as files, one folder per topic, written when a session first asks for it.
+
+    A log is an input: queries read it as it lies there, only the topics they follow.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = new_folder(spark, f"log-{name}")
+        build().write.partitionBy("topic").parquet(path)
+        _WRITTEN[key] = path
+    return read_files(spark, _WRITTEN[key])
+
+
+def every_topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders, and a table that is not followed."""
+
+    def build() -> DataFrame:
+        events = [order_events(spark, sf_dir), customer_events(spark, sf_dir), supplier_events(spark, sf_dir)]
+        return feed.to_log(feed.union_all(events))
+
+    return _stored(prepare(spark), sf_dir, "topics", build)
+
+
+def rough_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With tombstones and messages that are no events."""
+
+    def build() -> DataFrame:
+        gone = [feed.tombstones(order_events(spark, sf_dir)), feed.tombstones(customer_events(spark, sf_dir))]
+        return feed.union_all([*gone, feed.stray_messages(feed.read_table(spark, sf_dir, "events"))])
+
+    return every_topic_log(spark, sf_dir).unionByName(_stored(spark, sf_dir, "strays", build))
 
 
 def both_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and orders, one log."""
-    return orders_log(spark, sf_dir).unionByName(customers_log(spark, sf_dir))
+    return subscribe(every_topic_log(spark, sf_dir), [CUSTOMERS, ORDERS])
 
 
-def every_topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With a table that is not followed."""
-    return both_log(spark, sf_dir).unionByName(feed.to_log(supplier_events(spark, sf_dir)))
+def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subscribe(every_topic_log(spark, sf_dir), [ORDERS])
 
 
-def rough_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With tombstones, messages that are no events, and a table that is not followed."""
-    gone = [feed.tombstones(order_events(spark, sf_dir)), feed.tombstones(customer_events(spark, sf_dir))]
-    strays = feed.stray_messages(feed.read_table(spark, sf_dir, "events"))
-    return feed.union_all([every_topic_log(spark, sf_dir), *gone, strays])
+def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subscribe(every_topic_log(spark, sf_dir), [CUSTOMERS])
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
