@@ -81,6 +81,17 @@ def test_rates_over_chunk_borders(spark, chunk_seconds):
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
 
 
+def test_chunks_shrink_with_the_busiest_series(spark, monkeypatch):
+    at = F.timestamp_millis(F.col("id") * 100)
+    df = spark.range(0, 6000, 1, 8).select(F.lit("a").alias("name"), at.alias("ts"), F.col("id").alias("value"))
+    monkeypatch.setattr(series, "CHUNK_ROWS", 1000)
+    assert series.chunk_for(df, 30) == 90
+    monkeypatch.setattr(series, "CHUNK_ROWS", 10)
+    assert series.chunk_for(df, 30) == 30
+    rates = series.trailing_rate(df, 30).where("value >= 400").select("rate").distinct().collect()
+    assert [r.rate for r in rates] == [pytest.approx(301 / 30)]
+
+
 def test_last_reading_skips_missing_values(spark):
     t = datetime(2024, 1, 1)
     df = spark.createDataFrame([("a", t, 1.0), ("a", t + timedelta(1), None)], "name string, ts timestamp_ntz, value double")

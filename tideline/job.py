@@ -1,7 +1,8 @@
 """Follow a Kafka change log into state tables.
 
 spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2 tideline/job.py \\
-    --servers HOST:PORT --root SHARED_FOLDER [--interval "5 seconds"] [--rules default|python|scala]
+    --servers HOST:PORT --root SHARED_FOLDER [--interval "5 seconds"] \\
+    [--rules default|python|scala] [--fold-every 200]
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ def main() -> None:
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
     parser.add_argument("--rules", default="default", choices=sorted(RULES))
+    parser.add_argument("--fold-every", type=int, default=200, help="batches between folds")
     parser.add_argument("--wrapped", action="store_true", help="envelopes sit under payload")
     args = parser.parse_args()
 
     spark = build_session("change-log")
     log = stream_kafka(spark, args.servers, [CUSTOMERS, ORDERS], args.starting)
-    sink = ChangeSink(StateTables.at(spark, f"{args.root}/tables"), RULES[args.rules]())
+    sink = ChangeSink(StateTables.at(spark, f"{args.root}/tables"), RULES[args.rules](), args.fold_every)
     start(log, sink, f"{args.root}/checkpoint", args.interval, args.wrapped).awaitTermination()
 
 

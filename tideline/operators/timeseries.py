@@ -9,17 +9,28 @@ from pyspark.sql import Window
 from tideline.operators.joins import join_small
 
 MICROS = 1_000_000
-# A chunk bounds what one task sorts; far wider than any rate window.
-CHUNK_SECONDS = 6 * 3600
+# Readings of one series that a task may sort.
+CHUNK_ROWS = 5_000_000
+MAX_CHUNK_SECONDS = 30 * 86_400
 
 
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def chunk_for(readings: DataFrame, seconds: int, name: str = "name", ts: str = "ts") -> int:
+    """Chunk length that keeps the busiest series near ``CHUNK_ROWS`` rows per chunk.
+
+    One counting pass, combined before the shuffle, over steps as long as the window.
+    """
+    step = F.floor(micros(F.col(ts)) / (seconds * MICROS))
+    busiest = readings.groupBy(name, step.alias("step")).count().agg(F.max("count")).first()[0] or 1
+    return int(min(max(1, CHUNK_ROWS // busiest) * seconds, max(MAX_CHUNK_SECONDS, seconds)))
+
+
 def trailing_rate(
     readings: DataFrame, seconds: int, name: str = "name", ts: str = "ts", value: str = "value",
-    tie: str | None = None, chunk_seconds: int = CHUNK_SECONDS,
+    tie: str | None = None, chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Per-second increase over the trailing ``seconds``, counter resets included.
 
@@ -28,6 +39,7 @@ def trailing_rate(
     reading from before it, and the increases of its last ``seconds`` also go to the
     next chunk. No extrapolation to the edges of the window.
     """
+    chunk_seconds = chunk_seconds or chunk_for(readings, seconds, name, ts)
     chunk_us = max(chunk_seconds, seconds) * MICROS
     order = ["us"] + ([tie] if tie else [])
     placed = readings.where(F.col(value).isNotNull()).select(
