@@ -123,6 +123,17 @@ def test_order_goes_by_commit_time_before_offset(spark):
     assert latest_per_key(changes(log)).first().status == "SHIPPED"
 
 
+def test_order_goes_by_position_before_offset(spark):
+    events = [order("u", 1, "SHIPPED", ts=10), order("c", 1, "PENDING", ts=10)]
+    events[0]["source"]["pos"], events[1]["source"]["pos"] = 9, 8
+    assert latest_per_key(changes(log_of(spark, events))).first().status == "SHIPPED"
+
+
+def test_ids_that_are_no_whole_numbers(spark):
+    events = [{"after": {"id": i}, "op": "c", "source": {"table": "orders"}} for i in ("8", 8.5)]
+    assert [r.reason for r in reject_ledger(log_of(spark, events)).collect()] == ["no_key", "no_key"]
+
+
 def test_snapshot_read_loses_to_changes_around_it(spark):
     log = log_of(spark, [order("u", 1, "SHIPPED"), order("r", 1, "PENDING"), order("r", 2, "PENDING")])
     docs = {r._id: r.status for r in order_documents(latest_per_key(changes(log))).collect()}

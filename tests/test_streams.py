@@ -13,7 +13,7 @@ from tideline.plans.streams import PARTS, Arriving, StopOnce
 from tideline.session import cut_lineage, new_folder, shared_root
 from tideline.sources import feed
 from tideline.sources.log import kafka_options, read_files
-from tideline.streaming import ChangeSink
+from tideline.streaming import ChangeSink, rebuild
 from tideline.streaming.apply import start
 from tideline.streaming.progress import progress_rows
 
@@ -118,3 +118,11 @@ def test_kafka_options():
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
     }
+    assert kafka_options("h:9", ["orders"], max_per_batch=5)["maxOffsetsPerTrigger"] == "5"
+
+
+def test_rebuild_equals_the_stream(spark):
+    log = Arriving(spark, SF_SMALL)
+    log.arrive_all()
+    rebuild(read_files(spark, log.path), log.tables)
+    assert kept(log) == whole(log)

@@ -25,12 +25,16 @@ def main() -> None:
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
     parser.add_argument("--rules", default="default", choices=sorted(RULES))
+    parser.add_argument("--max-per-batch", type=int, default=50_000_000, help="log records per micro-batch")
+    parser.add_argument("--shuffle-partitions", default="200", help="enough for 128-256 MB of state each")
     parser.add_argument("--fold-every", type=int, default=200, help="batches between folds")
     parser.add_argument("--wrapped", action="store_true", help="envelopes sit under payload")
     args = parser.parse_args()
 
-    spark = build_session("change-log")
-    log = stream_kafka(spark, args.servers, [CUSTOMERS, ORDERS], args.starting)
+    spark = build_session("change-log", **{"spark.sql.shuffle.partitions": args.shuffle_partitions})
+    log = stream_kafka(
+        spark, args.servers, [CUSTOMERS, ORDERS], starting=args.starting, max_per_batch=args.max_per_batch
+    )
     sink = ChangeSink(StateTables.at(spark, f"{args.root}/tables"), RULES[args.rules](), args.fold_every)
     start(log, sink, f"{args.root}/checkpoint", args.interval, args.wrapped).awaitTermination()
 

@@ -19,7 +19,7 @@ from tideline.schema import CUSTOMERS, ORDERS
 from tideline.session import new_folder
 from tideline.sources import feed
 from tideline.sources.log import read_files, stream_files, subscribe
-from tideline.streaming.apply import ChangeSink, preview, run_available, running_aggregate, to_parquet
+from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, to_parquet
 from tideline.streaming.progress import progress_rows
 from tideline.streaming.tables import BatchTable, StateTables
 
@@ -154,7 +154,7 @@ def rebuild_from_log(spark, sf_dir):
     """Counters of fresh tables filled by one batch over the whole log."""
     log = Arriving(spark, sf_dir)
     log.arrive_all()
-    ChangeSink(log.tables)(changes(read_files(spark, log.path)), 0)
+    rebuild(read_files(spark, log.path), log.tables)
     return log.tables.counters()
 
 

@@ -10,19 +10,27 @@ from tideline.schema import LOG_SCHEMA, topic_of
 
 
 def kafka_options(
-    servers: str, tables: list[str], starting: str = "earliest", fail_on_data_loss: bool = False
+    servers: str,
+    tables: list[str],
+    starting: str = "earliest",
+    fail_on_data_loss: bool = False,
+    max_per_batch: int | None = None,
 ) -> dict[str, str]:
-    return {
+    """``max_per_batch`` bounds the records of a micro-batch while a backlog is worked off."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topic_of(t) for t in tables),
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_per_batch:
+        options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    return options
 
 
-def stream_kafka(spark: SparkSession, servers: str, tables: list[str], starting: str = "earliest") -> DataFrame:
+def stream_kafka(spark: SparkSession, servers: str, tables: list[str], **options) -> DataFrame:
     """Several topics as one stream; needs Spark's Kafka package on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, tables, starting)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, tables, **options)).load()
 
 
 def read_kafka(spark: SparkSession, servers: str, tables: list[str]) -> DataFrame:

@@ -21,14 +21,16 @@ class ChangeSink:
 
     tables: StateTables
     rules: Rules = DEFAULT
+    # hold the parsed batch for the second write; a whole log is parsed twice instead
+    hold: bool = True
     # fold the tables after every so many batches; never on its own when None
     fold_every: int | None = None
     # called between the writes; tests use it to fail half-way
     after_documents: Callable[[int], None] = field(default=lambda batch_id: None)
 
     def __call__(self, flat: DataFrame, batch_id: int) -> None:
-        # Both writes read the batch; the parse should happen once.
-        flat.persist()
+        if self.hold:
+            flat.persist()
         try:
             if flat.isEmpty():
                 return
@@ -36,7 +38,8 @@ class ChangeSink:
             self.after_documents(batch_id)
             self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id)
         finally:
-            flat.unpersist()
+            if self.hold:
+                flat.unpersist()
         # A batch retried after its fold writes a folder that the base already covers.
         if self.fold_every and (batch_id + 1) % self.fold_every == 0:
             self.tables.fold()
@@ -63,6 +66,11 @@ def run_available(log: DataFrame, sink: ChangeSink, checkpoint: str) -> Streamin
     return query
 
 
+def rebuild(log: DataFrame, tables: StateTables, rules: Rules = DEFAULT, wrapped: bool = False) -> None:
+    """Fill fresh tables from a whole log as one batch."""
+    ChangeSink(tables, rules, hold=False)(changes(log, rules, wrapped), 0)
+
+
 def preview(log: DataFrame, name: str, checkpoint: str, rules: Rules = DEFAULT, sink: str = "memory") -> StreamingQuery:
     """Flat changes to a console or an in-memory table, for looking at small streams only."""
     flat = changes(log, rules, with_order=False)
