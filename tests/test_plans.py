@@ -58,6 +58,11 @@ def test_state_shuffles_only_what_documents_need(spark, capsys):
     assert "masked_email" not in partial and "total_amount" in partial
 
 
+def test_row_reconciliation_shuffles_each_side_once(spark, capsys):
+    plan = plan_of(all_queries()["reconcile_rows"](spark, SF_MIDDLE), capsys)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_no_python_in_any_hot_plan(spark, capsys):
     for name in ("doc_state_orders", "counters_all", "net_counters", "flatten_change", "rate_30s", "resample"):
         plan = plan_of(all_queries()[name](spark, SF_MIDDLE), capsys)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tideline.operators.counters import counters, scores

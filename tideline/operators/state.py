@@ -31,6 +31,15 @@ def latest_per_key(changes: DataFrame, keep: list[str] | None = None, keys: list
     return changes.groupBy(*keys).agg(last).select(*keys, *picked)
 
 
+def latest_of(changes: DataFrame, table: str, keep: list[str]) -> DataFrame:
+    """Last change of each key of one table, partitioned by the id alone.
+
+    A later join on the id then needs no further shuffle of the state.
+    """
+    latest = latest_per_key(route(changes, table), keep, keys=["id"])
+    return latest.select(F.lit(table).alias("table"), *latest.columns)
+
+
 def is_live(rules: Rules = DEFAULT) -> Column:
     """A missing op counts as an upsert."""
     if not rules.delete_documents:

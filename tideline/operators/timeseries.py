@@ -48,7 +48,7 @@ def trailing_rate(
     ).withColumn("chunk", F.floor(F.col("us") / chunk_us).cast("bigint"))
 
     # One row per series and chunk: small enough to look back over the whole series.
-    ends = placed.groupBy(name, "chunk").agg(F.max_by(value, F.struct(*order)).alias("ended"))
+    ends = placed.groupBy(name, "chunk").agg(F.max_by(value, F.struct(*order) if tie else "us").alias("ended"))
     by_series = Window.partitionBy(name).orderBy("chunk")
     carried = ends.select(name, "chunk", F.lag("ended").over(by_series).alias("carried"))
 

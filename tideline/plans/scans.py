@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.envelope import changes, parse_events
 from tideline.operators.reconcile import table_counts
-from tideline.operators.state import ORDER_VALUES, latest_per_key, live_rows, order_documents
+from tideline.operators.state import ORDER_VALUES, latest_of, latest_per_key, live_rows, order_documents
 from tideline.plans import logs
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE
 from tideline.schema import CUSTOMERS, ORDERS
@@ -33,7 +33,7 @@ def src_snapshot_plus_changes(spark, sf_dir):
     table = logs.order_table(spark, sf_dir)
     later = logs.order_events(spark, sf_dir).where(F.col("op") != "c")
     events = feed.to_log(later).unionByName(feed.to_log(feed.snapshot_changes(table, ORDERS)))
-    return order_documents(latest_per_key(changes(events), ORDER_VALUES))
+    return order_documents(latest_of(changes(events), ORDERS, ORDER_VALUES))
 
 
 def src_table_allowlist(spark, sf_dir):

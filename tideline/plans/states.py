@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.operators.envelope import changes, parse_events, route
 from tideline.operators.counters import counters, scores
+from tideline.operators.envelope import changes, parse_events
 from tideline.operators.gauges import gauges
 from tideline.operators.reconcile import (
     all_in_sync,
@@ -22,9 +22,9 @@ from tideline.operators.state import (
     customer_documents,
     customer_hashes,
     deleted_keys,
+    latest_of,
     latest_per_key,
     live_rows,
-    merge_latest,
     order_documents,
     orphans,
     survive_truncates,
@@ -34,8 +34,9 @@ from tideline.plans import logs
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
 from tideline.rules import Rules
 from tideline.schema import CUSTOMERS, ORDERS
-from tideline.session import cut_lineage
+from tideline.session import new_folder
 from tideline.sources.log import topic_end_offsets
+from tideline.streaming.tables import StateTables
 
 PYTHON, SCALA = Rules.python_job(), Rules.scala_job()
 PURGE_FROM_ID = 1_000
@@ -43,25 +44,25 @@ TRUNCATED_AT = "1998-01-01 00:00:00"
 
 
 def doc_state_orders(spark, sf_dir):
-    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES))
+    return order_documents(latest_of(logs.order_changes(spark, sf_dir), ORDERS, ORDER_VALUES))
 
 
 def doc_state_customers(spark, sf_dir):
-    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
+    return customer_documents(latest_of(logs.customer_changes(spark, sf_dir), CUSTOMERS, CUSTOMER_VALUES))
 
 
 def doc_state_orders_python(spark, sf_dir):
     """Deletes leave the before-image in the store."""
-    return order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES), PYTHON)
+    return order_documents(latest_of(logs.order_changes(spark, sf_dir), ORDERS, ORDER_VALUES), PYTHON)
 
 
 def doc_state_customers_python(spark, sf_dir):
-    return customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES), PYTHON)
+    return customer_documents(latest_of(logs.customer_changes(spark, sf_dir), CUSTOMERS, CUSTOMER_VALUES), PYTHON)
 
 
 def doc_state_orders_scala(spark, sf_dir):
     """Amounts as doubles."""
-    latest = latest_per_key(changes(logs.orders_log(spark, sf_dir), SCALA), ORDER_VALUES)
+    latest = latest_of(changes(logs.orders_log(spark, sf_dir), SCALA), ORDERS, ORDER_VALUES)
     return order_documents(latest, SCALA)
 
 
@@ -70,7 +71,7 @@ def doc_delete(spark, sf_dir):
 
 
 def kv_customer_hash(spark, sf_dir):
-    return customer_hashes(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
+    return customer_hashes(latest_of(logs.customer_changes(spark, sf_dir), CUSTOMERS, CUSTOMER_VALUES))
 
 
 def latest_change(spark, sf_dir):
@@ -79,18 +80,19 @@ def latest_change(spark, sf_dir):
 
 
 def merged_state(spark, sf_dir):
-    """Updates and deletes folded into the stored state that the creates left."""
+    """Updates and deletes on top of the stored, folded state that the creates left."""
     flat = logs.both_changes(spark, sf_dir)
-    state = cut_lineage(latest_per_key(flat.where(F.col("op") == "c")))
-    newest = cut_lineage(latest_per_key(flat.where(F.col("op") != "c")))
-    merged = merge_latest(state, newest)
-    return merged.select("table", "id", "op", F.col("ord.offset").alias("offset"))
+    table = StateTables.at(spark, new_folder(spark, "merged")).latest
+    table.write_batch(latest_per_key(flat.where(F.col("op") == "c")), 0)
+    table.fold()
+    table.write_batch(latest_per_key(flat.where(F.col("op") != "c")), 1)
+    return table.read().select("table", "id", "op", F.col("ord.offset").alias("offset"))
 
 
 def truncate_event(spark, sf_dir):
     """Orders after their table was truncated at an instant in the middle of the log."""
     log = logs.orders_log(spark, sf_dir)
-    # The latest order id stands for the server that reports the truncate.
+    # The record takes the last offset; its commit time is what places it among the changes.
     instant = F.unix_millis(F.lit(TRUNCATED_AT).cast("timestamp"))
     cut = log.agg(F.max("offset").alias("offset")).select(
         F.lit(None).cast("binary").alias("key"),
@@ -103,18 +105,18 @@ def truncate_event(spark, sf_dir):
     )
     log = log.unionByName(cut)
     kept = survive_truncates(changes(log), parse_events(log, fields=("id",)))
-    return order_documents(latest_per_key(kept, ORDER_VALUES))
+    return order_documents(latest_of(kept, ORDERS, ORDER_VALUES))
 
 
 def cascade_delete(spark, sf_dir):
-    live = live_rows(latest_per_key(logs.order_changes(spark, sf_dir), ["op", "customer_id", "ord"]))
+    live = live_rows(latest_of(logs.order_changes(spark, sf_dir), ORDERS, ["op", "customer_id", "ord"]))
     kept = cascade_deletes(live, logs.customer_changes(spark, sf_dir))
     return kept.select("id", "customer_id")
 
 
 def fk_orphans(spark, sf_dir):
-    orders = order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES))
-    customers = customer_documents(latest_per_key(logs.customer_changes(spark, sf_dir), CUSTOMER_VALUES))
+    orders = order_documents(latest_of(logs.order_changes(spark, sf_dir), ORDERS, ORDER_VALUES))
+    customers = customer_documents(latest_of(logs.customer_changes(spark, sf_dir), CUSTOMERS, CUSTOMER_VALUES))
     return orphans(orders, customers).select("_id", "customer_id")
 
 
@@ -145,7 +147,7 @@ def both_stores_up(spark, sf_dir):
 def rows_reconciled(spark, sf_dir):
     """Row-level differences between the order table and the state of its log."""
     source = logs.order_table(spark, sf_dir).drop("order_date")
-    target = order_documents(latest_per_key(logs.order_changes(spark, sf_dir), ORDER_VALUES)).withColumnRenamed("_id", "id")
+    target = order_documents(latest_of(logs.order_changes(spark, sf_dir), ORDERS, ORDER_VALUES)).withColumnRenamed("_id", "id")
     return reconcile_rows(source, target, "id")
 
 
