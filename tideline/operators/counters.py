@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import counter_sign, customer_key, decode_amount, status_key
@@ -48,32 +48,44 @@ def orders_by_status(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     return keyed.where(F.col("key").isNotNull()).groupBy("key").agg(_order_sums()[0].alias("value"))
 
 
-def counters(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """All counter keys in one pass: ``(key, value)``.
-
-    Rows are first summed per table and status, which leaves a handful of rows for the
-    second, key-wise sum. Any subset of a log gives its delta; deltas add up.
-    """
-    deletes_count = F.lit(rules.count_customer_deletes)
-    grouped = flat.groupBy("table", "status").agg(
+def _grouped(flat: DataFrame, *by: str) -> DataFrame:
+    """What any counter needs, summed over few groups before keys are built."""
+    return flat.groupBy("table", "status", *by).agg(
         *_order_sums(),
-        F.count_if(deletes_count | ~F.col("op").eqNullSafe("d")).cast("bigint").alias("upserts"),
+        F.count_if(~F.col("op").eqNullSafe("d")).cast("bigint").alias("upserts"),
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
     )
 
-    def entry(key, value):
-        return F.struct(key.alias("key"), value.cast(MONEY).alias("value"))
 
-    of_customers = F.array(entry(F.lit(KEY_CUSTOMERS_TOTAL), F.col("upserts")))
-    of_orders = F.array(
-        entry(F.lit(KEY_ORDERS_TOTAL), F.col("n")),
-        entry(F.lit(KEY_ORDERS_REVENUE), F.col("revenue")),
-        entry(status_key(F.col("status"), rules.null_status), F.col("n")),
-    )
-    entries = grouped.select(
-        F.inline(F.when(F.col("table") == CUSTOMERS, of_customers).when(F.col("table") == ORDERS, of_orders))
+def _entry(kind: str, key: Column, value: str) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.col(value).cast(MONEY).alias("value"))
+
+
+def _customer_entries(rules: Rules) -> list[Column]:
+    return [_entry(COUNTER, F.lit(KEY_CUSTOMERS_TOTAL), "rows" if rules.count_customer_deletes else "upserts")]
+
+
+def _order_entries(rules: Rules) -> list[Column]:
+    return [
+        _entry(COUNTER, F.lit(KEY_ORDERS_TOTAL), "n"),
+        _entry(COUNTER, F.lit(KEY_ORDERS_REVENUE), "revenue"),
+        _entry(COUNTER, status_key(F.col("status"), rules.null_status), "n"),
+    ]
+
+
+def _summed(grouped: DataFrame, of_customers: list[Column], of_orders: list[Column]) -> DataFrame:
+    entries = F.when(F.col("table") == CUSTOMERS, F.array(*of_customers)).when(
+        F.col("table") == ORDERS, F.array(*of_orders)
     )
-    keyed = entries.where(F.col("key").isNotNull())
-    return keyed.groupBy("key").agg(F.sum("value").cast(MONEY).alias("value"))
+    return add_deltas(grouped.select(F.inline(entries)).where(F.col("key").isNotNull()))
+
+
+def counters(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+    """All counter keys in one pass: ``(key, value)``.
+
+    Any subset of a log gives its delta; deltas add up.
+    """
+    return _summed(_grouped(flat), _customer_entries(rules), _order_entries(rules)).select("key", "value")
 
 
 def scores(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -84,16 +96,16 @@ def scores(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def deltas(flat: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Everything a set of changes adds: counters, scores and row counts, ``(kind, key, value)``."""
-
-    def of_kind(kind: str, rows: DataFrame, key: str, value: str) -> DataFrame:
-        return rows.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), F.col(value).cast(MONEY).alias("value"))
+    """Everything a set of changes adds: counters, scores and row counts, ``(kind, key, value)``.
 
-    counts = flat.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        of_kind(COUNTER, counters(flat, rules), "key", "value")
-        .unionByName(of_kind(SCORE, scores(flat, rules), "member", "score"))
-        .unionByName(of_kind(ROWS, counts, "table", "n"))
+    One pass: sums per table, status and customer give all of them.
+    """
+    rows = _entry(ROWS, F.col("table"), "rows")
+    score = _entry(SCORE, customer_key(F.col("customer_id"), rules.null_member), "upserts")
+    # Groups of deletes alone give no score entry, so no member starts at zero.
+    scored = F.when(F.col("upserts") > 0, score)
+    return _summed(
+        _grouped(flat, "customer_id"), [*_customer_entries(rules), rows], [*_order_entries(rules), scored, rows]
     )
 
 
