@@ -59,7 +59,7 @@ def text_slices(texts: list[str], chars: int = 2_000_000):
     """Consecutive texts of about ``chars`` characters together, so a batch never grows with the rows."""
     start, held = 0, 0
     for i, text in enumerate(texts):
-        held += len(text)
+        held += len(text) + 40
         if held >= chars:
             yield start, texts[start : i + 1]
             start, held = i + 1, 0

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.bpe import encoded_digests
 from tideline.llm.frames import table
+from tideline.llm.packing import pack_documents
+from tideline.llm.pii import pii_digest
+from tideline.llm.probminhash import near_duplicate_classes
 from tideline.llm.token_counts import token_counts
 from tideline.session import prepare
 
@@ -14,15 +17,30 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(prepare(spark), sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
+    "op10_probminhash": op10_probminhash,
 }
