@@ -10,7 +10,9 @@ from tideline.llm.frames import table
 from tideline.llm.packing import pack_documents
 from tideline.llm.pii import pii_digest
 from tideline.llm.probminhash import near_duplicate_classes
+from tideline.llm.quality import quality_verdicts
 from tideline.llm.token_counts import token_counts
+from tideline.llm.url_filters import RULES, judge_urls
 from tideline.session import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -25,6 +27,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(prepare(spark), sf_dir, "pages"), RULES)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(prepare(spark), sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -40,6 +50,8 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op3_url_filters": op3_url_filters,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
     "op10_probminhash": op10_probminhash,
