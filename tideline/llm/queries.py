@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.bpe import encoded_digests
 from tideline.llm.frames import table
+from tideline.llm.neighbours import nearest_neighbours
 from tideline.llm.packing import pack_documents
 from tideline.llm.pii import pii_digest
 from tideline.llm.probminhash import near_duplicate_classes
@@ -31,6 +32,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(prepare(spark), sf_dir, "pages"), RULES)
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(prepare(spark), sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(prepare(spark), sf_dir, "documents"))
 
@@ -51,6 +57,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
     "op3_url_filters": op3_url_filters,
+    "op4_neighbours": op4_neighbours,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
