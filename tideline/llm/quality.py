@@ -186,3 +186,13 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int =
     return judged.unionByName(
         stats.where("base_failed").select(*counts, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2"))
     )
+
+
+def with_quality(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs`` without the rows that the rules or the outlier test reject.
+
+    Repeated rows of an id stay or go together: all must be kept.
+    """
+    verdicts = quality_verdicts(docs, **parameters).groupBy("doc_id").agg(F.min("kept").alias("_kept"))
+    kept = verdicts.where("_kept").select("doc_id")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")

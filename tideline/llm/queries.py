@@ -12,7 +12,9 @@ from tideline.llm.packing import pack_documents
 from tideline.llm.pii import pii_digest
 from tideline.llm.probminhash import near_duplicate_classes
 from tideline.llm.quality import quality_verdicts
+from tideline.llm.secrets import secrets_digest
 from tideline.llm.token_counts import token_counts
+from tideline.llm.toxicity import toxicity_scores
 from tideline.llm.url_filters import RULES, judge_urls
 from tideline.session import prepare
 
@@ -37,6 +39,11 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return toxicity_scores(docs, table(spark, sf_dir, "labels"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(prepare(spark), sf_dir, "documents"))
 
@@ -49,6 +56,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(prepare(spark), sf_dir, "documents"))
 
@@ -58,8 +69,10 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_url_filters": op3_url_filters,
     "op4_neighbours": op4_neighbours,
+    "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
+    "op9_secrets": op9_secrets,
     "op10_probminhash": op10_probminhash,
 }
