@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import counter_sign, customer_key, decode_amount, status_key
-from tideline.operators.envelope import route
+from tideline.operators.envelope import change_order, route
+from tideline.operators.state import survive_truncates
 from tideline.rules import DEFAULT, Rules
 from tideline.schema import (
     CUSTOMERS,
@@ -131,9 +132,11 @@ def signed_images(parsed: DataFrame) -> DataFrame:
 def net_counters(parsed: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """True totals by table and status: what the source holds, not how often it changed.
 
-    Needs full before-images in the log.
+    Needs full before-images in the log. A truncate empties its table, so images from before the
+    last one do not count.
     """
-    rows = signed_images(parsed).where(F.col("table").isin(CUSTOMERS, ORDERS))
+    placed = parsed.withColumn("table", F.col("source.table")).withColumn("ord", change_order())
+    rows = signed_images(survive_truncates(placed, parsed)).where(F.col("table").isin(CUSTOMERS, ORDERS))
     amount = F.coalesce(decode_amount(F.col("record.total_amount")), F.lit(0).cast("decimal(12,2)"))
     status = F.col("record.status")
     if rules.null_status is not None:

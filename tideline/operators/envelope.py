@@ -39,14 +39,17 @@ def drop_empty_image(events: DataFrame) -> DataFrame:
 
 
 def change_order(events_have_offset: bool = True) -> Column:
-    """Sort key of changes: commit time, log position, then offset within a partition.
+    """Sort key of changes: commit time, log file, position and row, then offset within a partition.
 
-    A snapshot read without a position comes before every change. Offsets alone compare
+    Commit times have steps of a second, and positions start again in each log file, whose
+    number its name ends with. A snapshot read without a position comes before every change. Offsets alone compare
     only within one partition, so a log whose partition count changes needs positions.
     """
     return F.struct(
         F.coalesce(F.col("source.ts_ms"), F.lit(-1)).cast("bigint").alias("ts_ms"),
+        F.coalesce(F.regexp_extract("source.file", "([0-9]{1,18})$", 1).try_cast("bigint"), F.lit(-1)).alias("file"),
         F.coalesce(F.col("source.pos"), F.lit(-1)).cast("bigint").alias("pos"),
+        F.coalesce(F.col("source.row"), F.lit(-1)).cast("bigint").alias("row"),
         F.when(F.col("op") == "r", 0).otherwise(1).alias("is_change"),
         (F.col("offset") if events_have_offset else F.lit(0)).cast("bigint").alias("offset"),
     )

@@ -38,6 +38,13 @@ def _named(rows: DataFrame, key: str, value: str, names: dict[str, str]) -> Data
     return rows.select(label.alias("name"), F.col(value).cast("double").alias("value")).where("name is not null")
 
 
+def _every(rows: DataFrame, key: str, value: str, names: list[str]) -> DataFrame:
+    """Rows of all ``names``: one that was read but has no row is zero, one whose value is NULL could not be read."""
+    expected = rows.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
+    known = rows.select(key, value, F.lit(True).alias("_read"))
+    return expected.join(known, key, "left").select(key, F.when(F.col("_read"), F.col(value)).otherwise(0).alias(value))
+
+
 def _single(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select(F.lit(name).alias("name"), value.cast("double").alias("value"))
 
@@ -46,13 +53,17 @@ def gauges(
     source_counts: DataFrame, target_counts: DataFrame, counter_table: DataFrame, scores: DataFrame, offsets: DataFrame
 ) -> DataFrame:
     """Counts of both sides, serving counters, best score, log ends, health and sync flags."""
+    source_counts = _every(source_counts, "table", "source_rows", list(SOURCE_GAUGES))
+    target_counts = _every(target_counts, "table", "target_rows", list(TARGET_GAUGES))
+    counter_table = _every(counter_table, "key", "value", list(COUNTER_GAUGES))
+    offsets = _every(offsets, "topic", "end_offset", list(OFFSET_GAUGES))
     both = source_counts.join(target_counts, ["table"], "full")
     up = both.agg(F.min(both_readable(F.col("source_rows"), F.col("target_rows"))).alias("up"))
     parts = [
         _named(source_counts, "table", "source_rows", SOURCE_GAUGES),
         _named(target_counts, "table", "target_rows", TARGET_GAUGES),
         _named(counter_table, "key", "value", COUNTER_GAUGES),
-        _single(top_members(scores, 1), TOP_SCORE_GAUGE, F.col("score")),
+        _single(top_members(scores, 1).agg(F.coalesce(F.max("score"), F.lit(0)).alias("score")), TOP_SCORE_GAUGE, F.col("score")),
         _named(offsets, "topic", "end_offset", OFFSET_GAUGES),
         _single(up, UP_GAUGE, F.col("up")),
         _single(all_in_sync(reconcile_counts(source_counts, target_counts)), IN_SYNC_GAUGE, F.col("in_sync")),

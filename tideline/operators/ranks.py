@@ -31,15 +31,37 @@ def _running(by: list[str], order: str):
 
 
 def _bucketed(counted: DataFrame, edges: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Order-keeping bucket of each value between its group's least and largest one."""
-    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    place = F.floor((F.col(value).cast("double") - F.col("lo")) / width * BUCKETS)
-    bucket = F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(0)).cast("int")
+    """Order-keeping bucket of each value between its group's least and largest finite one.
+
+    Both edges keep the value's own type, so they fall apart whenever they differ: whole and
+    decimal numbers are subtracted exactly, others by halves, which cannot overflow. The two
+    infinities and NaN, the largest of all, have buckets of their own.
+    """
+    exact = counted.schema[value].dataType.typeName() in ("byte", "short", "integer", "long", "decimal")
+
+    def apart(a: Column) -> Column:
+        low = F.col("lo")
+        if exact:
+            return (a.cast("decimal(38,10)") - low.cast("decimal(38,10)")).cast("double")
+        return a.cast("double") / 2 - low.cast("double") / 2
+
+    width = F.nullif(apart(F.col("hi")), F.lit(0.0))
+    place = F.floor(apart(F.col(value)) / width * BUCKETS)
+    number = F.col(value).cast("double")
+    bucket = (
+        F.when(F.isnan(number), BUCKETS + 1)
+        .when(number == float("inf"), BUCKETS)
+        .when(number == float("-inf"), -1)
+        .otherwise(F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(0)))
+        .cast("int")
+    )
     return join_small(counted, edges, by).withColumn("bucket", bucket).drop("lo", "hi")
 
 
 def _edges(value: str) -> list[Column]:
-    return [F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")]
+    number = F.col(value).cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), F.col(value))
+    return [F.min(finite).alias("lo"), F.max(finite).alias("hi")]
 
 
 def pick_by_index(
@@ -52,8 +74,8 @@ def pick_by_index(
 
     While a group has more values than one task should walk through, they are counted
     into value buckets, which combines before the shuffle, and only the bucket that holds
-    the position is looked at closer. Each round parts the least from the largest value,
-    so it ends; the readings themselves are scanned again rather than shuffled.
+    the position is looked at closer. Each round parts the least from the largest finite
+    value, and infinities and NaN from both, so it ends; the readings themselves are scanned again rather than shuffled.
     """
     rows = rows.where(F.col(value).isNotNull()).select(*groups, value)
     n = F.count(F.lit(1)).cast("bigint").alias("n")

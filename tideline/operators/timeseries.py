@@ -71,9 +71,16 @@ def trailing_rate(
     )
 
 
-def last_reading(readings: DataFrame, name: str = "name", ts: str = "ts", value: str = "value") -> DataFrame:
+def _newest(value: str, ts: str, tie: str | None) -> Column:
+    """The last value; of equal times the one with the larger ``tie``, or else the larger value."""
+    return F.max_by(value, F.struct(ts, tie or value)).alias(value)
+
+
+def last_reading(
+    readings: DataFrame, name: str = "name", ts: str = "ts", value: str = "value", tie: str | None = None
+) -> DataFrame:
     known = readings.where(F.col(value).isNotNull())
-    return known.groupBy(name).agg(F.max_by(value, ts).alias(value), F.max(ts).alias(ts))
+    return known.groupBy(name).agg(_newest(value, ts, tie), F.max(ts).alias(ts))
 
 
 def recent(readings: DataFrame, interval: str, ts: str = "ts") -> DataFrame:
@@ -83,12 +90,12 @@ def recent(readings: DataFrame, interval: str, ts: str = "ts") -> DataFrame:
 
 
 def resample(
-    readings: DataFrame, step: str, name: str = "name", ts: str = "ts", value: str = "value"
+    readings: DataFrame, step: str, name: str = "name", ts: str = "ts", value: str = "value", tie: str | None = None
 ) -> DataFrame:
     """Last reading of each series in each step."""
     return (
         readings.groupBy(name, F.window(ts, step).alias("w"))
-        .agg(F.max_by(value, ts).alias(value))
+        .agg(_newest(value, ts, tie))
         .select(name, F.col("w.start").alias("step_start"), value)
     )
 

@@ -19,8 +19,8 @@ from tideline.schema import CUSTOMERS, ORDERS
 from tideline.session import new_folder
 from tideline.sources import feed
 from tideline.sources.log import read_files, stream_files, subscribe
-from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, to_parquet
-from tideline.streaming.progress import progress_rows
+from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, start, to_parquet
+from tideline.streaming.progress import ProgressLog
 from tideline.streaming.tables import BatchTable, StateTables
 
 PARTS = ("c", "u", "d")
@@ -72,7 +72,7 @@ def sink_preview(spark, sf_dir):
     log.arrive_all()
     name = "preview_" + log.root.rsplit("-", 1)[1]
     preview(log.stream(), name, log.checkpoint).awaitTermination()
-    return spark.table(name).groupBy("table", "op").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return spark.table(name).select("table", "op", "n")
 
 
 def stream_apply(spark, sf_dir):
@@ -167,7 +167,7 @@ def stream_agg(spark, sf_dir):
     totals = flat.groupBy(status_key(F.col("status")).alias("key")).agg(F.sum(sign).cast("bigint").alias("value"))
     out = BatchTable(spark, f"{log.root}/totals", "key string, value bigint", lambda d: d, lambda a, b: b)
     running_aggregate(totals, out, log.checkpoint)
-    return out.batches(out.batch_ids()[-1:])
+    return out.last_batch()
 
 
 def batch_counts(spark, sf_dir):
@@ -179,9 +179,33 @@ def batch_counts(spark, sf_dir):
 def batch_progress(spark, sf_dir):
     """Input rows per micro-batch as the engine reports them."""
     log = Arriving(spark, sf_dir)
-    queries = log.apply_parts()
-    rows = feed.union_all([progress_rows(spark, q) for q in queries])
-    return rows.where(F.col("num_input_rows") > 0).select("batch_id", "num_input_rows")
+    progress = ProgressLog(spark, f"{log.root}/progress", lines=2)
+    try:
+        log.apply_parts()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        progress.close()
+    return progress.rows().where(F.col("num_input_rows") > 0).select("batch_id", "num_input_rows")
+
+
+def stream_new_checkpoint(spark, sf_dir):
+    """Kept tables, checkpoint gone, the log replayed from the start: counters and scores as from one pass."""
+    log = Arriving(spark, sf_dir)
+    log.apply_parts()
+    log.tables.fold()
+    run_available(log.stream(), ChangeSink(log.tables), f"{log.root}/second-checkpoint")
+    return log.tables.counters()
+
+
+def rebuild_then_stream(spark, sf_dir):
+    """Tables rebuilt from the creates, then a stream that goes on with the updates and deletes."""
+    log = Arriving(spark, sf_dir)
+    log.arrive("c")
+    rebuild(read_files(spark, log.path), log.tables)
+    later = f"{log.root}/later"
+    feed.to_log(log.events.where("op <> 'c'")).write.parquet(later)
+    start(stream_files(spark, later), ChangeSink(log.tables), log.checkpoint, None, from_start=False).awaitTermination()
+    return order_documents(log.tables.latest.read())
 
 
 QUERIES = {
@@ -197,6 +221,8 @@ QUERIES = {
     "stream_agg": stream_agg,
     "batch_counts": batch_counts,
     "batch_progress": batch_progress,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "rebuild_then_stream": rebuild_then_stream,
 }
 
 _DOCUMENTS = f"""
@@ -228,6 +254,8 @@ select 'customer:' || id as key, cast(id as varchar) as id, nm as name, {masked(
     "stream_agg": f"""
 with {ORDER_CTE}
 select 'orders:status:' || st as key, cast(sum(case op when 'd' then -1 else 1 end) as bigint) as value from oe group by st""",
+    "stream_new_checkpoint": COUNTERS_SQL,
+    "rebuild_then_stream": _DOCUMENTS,
     "batch_counts": _PER_PART.format(batch="batch", n="n"),
     "batch_progress": _PER_PART.format(batch="batch_id", n="num_input_rows"),
 }

@@ -53,13 +53,15 @@ def record_schema(fields=SINK_FIELDS) -> T.StructType:
 
 
 def event_schema(fields=SINK_FIELDS) -> T.StructType:
-    """Envelope with the asked record fields; ``ts_ms`` and ``pos`` are optional in a log."""
+    """Envelope with the asked record fields; ``ts_ms``, ``file``, ``pos`` and ``row`` are optional in a log."""
     record = record_schema(fields)
     source = (
         T.StructType()
         .add("table", T.StringType())
         .add("ts_ms", T.LongType())
+        .add("file", T.StringType())
         .add("pos", T.LongType())
+        .add("row", T.LongType())
     )
     return (
         T.StructType()

@@ -34,21 +34,25 @@ def stream_kafka(spark: SparkSession, servers: str, tables: list[str], **options
 
 
 def read_kafka(spark: SparkSession, servers: str, tables: list[str]) -> DataFrame:
-    """The whole log as a batch, for a rebuild."""
-    options = kafka_options(servers, tables) | {"endingOffsets": "latest"}
+    """The whole log as a batch, for a rebuild; lost records fail it."""
+    options = kafka_options(servers, tables, fail_on_data_loss=True) | {"endingOffsets": "latest"}
     return spark.read.format("kafka").options(**options).load()
 
 
-def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A log kept as parquet files, read as they arrive. Lost files are tolerated."""
-    reader = spark.readStream.schema(LOG_SCHEMA).option("ignoreMissingFiles", "true")
+def stream_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, tolerate_loss: bool = True
+) -> DataFrame:
+    """A log kept as parquet files, read as they arrive. Lost files are tolerated unless told otherwise."""
+    reader = spark.readStream.schema(LOG_SCHEMA).option("ignoreMissingFiles", str(tolerate_loss).lower())
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    """The whole log as a batch; a file that is lost or unreadable fails it, whatever the session allows."""
+    strict = {"ignoreMissingFiles": "false", "ignoreCorruptFiles": "false"}
+    return spark.read.schema(LOG_SCHEMA).options(**strict).parquet(path)
 
 
 def subscribe(log: DataFrame, tables: list[str]) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.counters import deltas
@@ -25,18 +26,20 @@ class ChangeSink:
     hold: bool = True
     # fold the tables after every so many batches; never on its own when None
     fold_every: int | None = None
+    # of the checkpoint; the newest one of the tables when None
+    epoch: int | None = None
     # called between the writes; tests use it to fail half-way
     after_documents: Callable[[int], None] = field(default=lambda batch_id: None)
 
     def __call__(self, flat: DataFrame, batch_id: int) -> None:
+        epoch = self.tables.epoch() if self.epoch is None else self.epoch
         if self.hold:
             flat.persist()
         try:
-            if flat.isEmpty():
-                return
-            self.tables.latest.write_batch(latest_per_key(flat), batch_id)
-            self.after_documents(batch_id)
-            self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id)
+            if not flat.isEmpty():
+                self.tables.latest.write_batch(latest_per_key(flat), batch_id, epoch)
+                self.after_documents(batch_id)
+                self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id, epoch)
         finally:
             if self.hold:
                 flat.unpersist()
@@ -46,9 +49,19 @@ class ChangeSink:
 
 
 def start(
-    log: DataFrame, sink: ChangeSink, checkpoint: str, interval: str | None = "5 seconds", wrapped: bool = False
+    log: DataFrame,
+    sink: ChangeSink,
+    checkpoint: str,
+    interval: str | None = "5 seconds",
+    wrapped: bool = False,
+    from_start: bool = True,
 ) -> StreamingQuery:
-    """Run a log stream into the sink; without an interval, take what is there and stop."""
+    """Run a log stream into the sink; without an interval, take what is there and stop.
+
+    A new checkpoint over kept tables reads the log from the start, so its batches replace what is
+    there. Say ``from_start=False`` if the log itself begins where the tables end.
+    """
+    sink = replace(sink, epoch=sink.tables.epoch_of(checkpoint, from_start))
     writer = (
         changes(log, sink.rules, wrapped)
         .writeStream.foreachBatch(sink)
@@ -67,17 +80,18 @@ def run_available(log: DataFrame, sink: ChangeSink, checkpoint: str) -> Streamin
 
 
 def rebuild(log: DataFrame, tables: StateTables, rules: Rules = DEFAULT, wrapped: bool = False) -> None:
-    """Fill fresh tables from a whole log as one batch."""
-    ChangeSink(tables, rules, hold=False)(changes(log, rules, wrapped), 0)
+    """State of a whole log as one batch, in place of what the tables held."""
+    epoch = tables.open_epoch(replaces=True)
+    ChangeSink(tables, rules, hold=False, epoch=epoch)(changes(log, rules, wrapped), 0)
 
 
 def preview(log: DataFrame, name: str, checkpoint: str, rules: Rules = DEFAULT, sink: str = "memory") -> StreamingQuery:
-    """Flat changes to a console or an in-memory table, for looking at small streams only."""
-    flat = changes(log, rules, with_order=False)
+    """Changes by table and op to a console or an in-memory table: a few rows, however long the stream."""
+    totals = changes(log, rules, with_order=False).groupBy("table", "op").agg(F.count("*").cast("bigint").alias("n"))
     return (
-        flat.writeStream.format(sink)
+        totals.writeStream.format(sink)
         .queryName(name)
-        .outputMode("append")
+        .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

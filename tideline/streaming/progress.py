@@ -2,23 +2,83 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = "batch_id bigint, ts string, num_input_rows bigint, batch_ms bigint, input_rate double, process_rate double"
+_STORED = f"{PROGRESS_SCHEMA}, query_id string"
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query. Spark keeps a fixed number of entries, 100 by default."""
-    rows = [
-        (
-            int(p["batchId"]),
-            p["timestamp"],
-            int(p["numInputRows"]),
-            int(p["durationMs"].get("triggerExecution", 0)),
-            float(p.get("inputRowsPerSecond") or 0.0),
-            float(p.get("processedRowsPerSecond") or 0.0),
+def _row(p: dict) -> tuple:
+    return (
+        int(p["batchId"]),
+        p["timestamp"],
+        int(p["numInputRows"]),
+        int(p["durationMs"].get("triggerExecution", 0)),
+        float(p.get("inputRowsPerSecond") or 0.0),
+        float(p.get("processedRowsPerSecond") or 0.0),
+    )
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes the progress of every batch to a folder, where it stays.
+
+    A query itself remembers its last 100 entries only. Lines are small and come once a batch, so the
+    driver writes them as files of ``lines`` each, and the rest when a query ends.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, lines: int = 50):
+        self.spark, self.path, self.lines = spark, path, lines
+        self._held: dict[str, list[str]] = {}
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = json.loads(event.progress.json)
+        names = [part.split()[0] for part in PROGRESS_SCHEMA.split(", ")]
+        line = dict(zip(names, _row(progress))) | {"query_id": progress["id"]}
+        held = self._held.setdefault(progress["id"], [])
+        held.append(json.dumps(line))
+        if len(held) >= self.lines:
+            self._write(progress["id"])
+
+    def onQueryTerminated(self, event) -> None:
+        self._write(str(event.id))
+
+    def _write(self, query_id: str) -> None:
+        held = self._held.pop(query_id, [])
+        if not held:
+            return
+        first = json.loads(held[0])["batch_id"]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{query_id}-{first:012d}.json")
+        store = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        out = store.create(path, True)
+        try:
+            out.write(bytearray(("\n".join(held) + "\n").encode()))
+        finally:
+            out.close()
+
+    def rows(self) -> DataFrame:
+        """Every batch of every query once, however many there were; lines not yet in a file are written first."""
+        for query_id in list(self._held):
+            self._write(query_id)
+        stored = self.spark.read.schema(_STORED).json(f"{self.path}/*.json")
+        return stored.groupBy("query_id", "batch_id").agg(
+            *[F.max_by(c, F.struct("num_input_rows", "ts")).alias(c) for c in ("ts", "num_input_rows", "batch_ms", "input_rate", "process_rate")]
         )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+
+
+def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Recent progress of a query. Spark keeps a fixed number of entries, 100 by default; ``ProgressLog`` keeps all."""
+    return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS_SCHEMA)

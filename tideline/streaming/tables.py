@@ -1,9 +1,14 @@
 """Tables written one folder per micro-batch, and folded now and then.
 
 A batch writes its own folder and overwrites it when it is retried, so a retry replaces
-its rows instead of adding to them. A fold sums the batches up to one into a new base
-folder; nothing is rewritten in place. A folder counts once Spark has put its success
-mark there, so readers see whole batches and whole folds only.
+its rows instead of adding to them. Batch numbers start again with every checkpoint, so
+folders lie under the epoch of their checkpoint. An epoch that reads its log from the start
+replaces the epochs before it as soon as its first batch is there; one that goes on where
+another ended adds to them. A fold sums the batches up to one into a new base folder;
+nothing is rewritten in place. What the base before last covers is removed, so neither
+the folders nor the listing grow with the batches ever written, and a reader that has
+just listed its files keeps them over one more fold. A folder counts once Spark has put its
+success mark there, so readers see whole batches and whole folds only.
 """
 
 from __future__ import annotations
@@ -21,17 +26,46 @@ from tideline.operators.state import latest_per_key, merge_latest
 LATEST_SCHEMA = """
     table string, id bigint, op string, name string, masked_email string, customer_id bigint,
     total_amount decimal(12,2), status string,
-    ord struct<ts_ms: bigint, pos: bigint, is_change: int, offset: bigint>
+    ord struct<ts_ms: bigint, file: bigint, pos: bigint, row: bigint, is_change: int, offset: bigint>
 """
 LATEST_COLUMNS = ["op", "name", "masked_email", "customer_id", "total_amount", "status", "ord"]
 DELTA_SCHEMA = "kind string, key string, value decimal(38,2)"
 
 
-def _done(spark: SparkSession, pattern: str, tag: str) -> list[int]:
-    """Numbers of the finished ``tag=N`` folders, in order."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{tag}=*/_SUCCESS")
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files)
+class Folders:
+    """Listing, marking and removing folders of the shared store."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._store = self._path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def found(self, pattern: str) -> list[str]:
+        return [f.getPath().toString() for f in self._store.globStatus(self._path(pattern)) or []]
+
+    def make(self, path: str) -> None:
+        self._store.mkdirs(self._path(path))
+
+    def remove(self, path: str) -> None:
+        self._store.delete(self._path(path), True)
+
+
+Place = tuple[int, int]  # epoch and batch
+
+
+def _folder(place: Place, tag: str) -> str:
+    return f"epoch={place[0]}/{tag}={place[1]}"
+
+
+def _places(folders: Folders, root: str, tag: str) -> list[Place]:
+    """Epoch and number of the finished ``epoch=E/tag=N`` folders, in order."""
+    parts = [path.split("/")[-3:-1] for path in folders.found(f"{root}/epoch=*/{tag}=*/_SUCCESS")]
+    return sorted((int(e.split("=")[1]), int(n.split("=")[1])) for e, n in parts)
+
+
+def epochs(folders: Folders, marks: str) -> dict[int, bool]:
+    """Epoch -> whether it replaces the ones before it."""
+    names = [path.split("/")[-1].split("-") for path in folders.found(f"{marks}/epoch=*")]
+    return {int(name[0].split("=")[1]): name[1] == "replaces" for name in names}
 
 
 @dataclass(frozen=True)
@@ -46,53 +80,86 @@ class BatchTable:
     merge: Callable[[DataFrame, DataFrame], DataFrame]
     # folders inside a batch or base, so that a reader of one table skips the others
     split_by: tuple[str, ...] = ()
+    # where epochs are marked; without it there is epoch 0 alone
+    marks: str | None = None
 
     def _write(self, rows: DataFrame, path: str) -> None:
         rows.write.mode("overwrite").partitionBy(*self.split_by).parquet(path)
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        self._write(rows, f"{self.path}/batches/batch={batch_id}")
+    def _folders(self) -> Folders:
+        return Folders(self.spark, self.path)
+
+    def write_batch(self, rows: DataFrame, batch_id: int, epoch: int = 0) -> None:
+        self._write(rows, f"{self.path}/batches/{_folder((epoch, batch_id), 'batch')}")
+
+    def _finished(self, tag: str) -> list[Place]:
+        """Finished batches or bases that count: from the last replacing epoch on that has any."""
+        folders = self._folders()
+        batches = _places(folders, f"{self.path}/batches", "batch")
+        bases = _places(folders, f"{self.path}/base", "upto")
+        begun = {e for e, _ in batches + bases}
+        replacing = [e for e, fresh in epochs(folders, self.marks).items() if fresh and e in begun] if self.marks else []
+        first = max(replacing, default=0)
+        return [p for p in (batches if tag == "batch" else bases) if p[0] >= first]
 
     def batch_ids(self) -> list[int]:
-        return _done(self.spark, f"{self.path}/batches", "batch")
+        return [n for _, n in self._finished("batch")]
+
+    def base(self) -> Place | None:
+        return max(self._finished("upto"), default=None)
 
     def base_id(self) -> int | None:
-        folds = _done(self.spark, f"{self.path}/base", "upto")
-        return folds[-1] if folds else None
+        base = self.base()
+        return base[1] if base else None
 
     def _read(self, kind: str, folders: list[str]) -> DataFrame:
-        """Rows of the folders, with the folder's own number as a last column."""
+        """Rows of the folders, with the folder's epoch and own number as last columns."""
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         root = f"{self.path}/{kind}"
         reader = self.spark.read.schema(self.schema).option("basePath", root)
         return reader.parquet(*[f"{root}/{f}" for f in folders])
 
-    def batches(self, ids: list[int]) -> DataFrame:
-        return self._read("batches", [f"batch={i}" for i in ids]).drop("batch")
+    def batches(self, places: list[Place]) -> DataFrame:
+        return self._read("batches", [_folder(p, "batch") for p in places]).drop("batch", "epoch")
+
+    def last_batch(self) -> DataFrame:
+        return self.batches(self._finished("batch")[-1:])
 
     def by_batch(self) -> DataFrame:
-        """Rows of every finished batch with their ``batch``."""
-        return self._read("batches", [f"batch={i}" for i in self.batch_ids()])
+        """Rows of every batch still kept, with their ``epoch`` and ``batch``."""
+        return self._read("batches", [_folder(p, "batch") for p in self._finished("batch")])
 
     def read(self) -> DataFrame:
         """The table as of the last finished batch."""
-        base = self.base_id()
-        newer = [i for i in self.batch_ids() if base is None or i > base]
+        base = self.base()
+        newer = [p for p in self._finished("batch") if base is None or p > base]
         if base is None:
             return self.combine(self.batches(newer))
-        whole = self._read("base", [f"upto={base}"]).drop("upto")
+        whole = self._read("base", [_folder(base, "upto")]).drop("upto", "epoch")
         if not newer:
             return whole
         return self.merge(whole, self.combine(self.batches(newer)))
 
     def fold(self) -> int | None:
         """Write a new base up to the last finished batch. Run it between batches."""
-        ids = self.batch_ids()
-        if not ids or ids[-1] == self.base_id():
+        places, before = self._finished("batch"), self.base()
+        if not places or (before and places[-1] <= before):
             return None
-        self._write(self.read(), f"{self.path}/base/upto={ids[-1]}")
-        return ids[-1]
+        self._write(self.read(), f"{self.path}/base/{_folder(places[-1], 'upto')}")
+        if before:
+            self._drop_covered(before)
+        return places[-1][1]
+
+    def _drop_covered(self, base: Place) -> None:
+        """Removes the batches that a base covers and the bases before it; the newest base is another one."""
+        folders = self._folders()
+        for p in _places(folders, f"{self.path}/batches", "batch"):
+            if p <= base:
+                folders.remove(f"{self.path}/batches/{_folder(p, 'batch')}")
+        for p in _places(folders, f"{self.path}/base", "upto"):
+            if p < base:
+                folders.remove(f"{self.path}/base/{_folder(p, 'upto')}")
 
 
 @dataclass(frozen=True)
@@ -104,18 +171,51 @@ class StateTables:
 
     latest: BatchTable
     deltas: BatchTable
+    marks: str
 
     @staticmethod
     def at(spark: SparkSession, root: str) -> StateTables:
+        marks = f"{root}/epochs"
         return StateTables(
             BatchTable(
-                spark, f"{root}/latest", LATEST_SCHEMA, partial(latest_per_key, keep=LATEST_COLUMNS), merge_latest, ("table",)
+                spark, f"{root}/latest", LATEST_SCHEMA, partial(latest_per_key, keep=LATEST_COLUMNS), merge_latest, ("table",), marks
             ),
             BatchTable(
-                spark, f"{root}/deltas", DELTA_SCHEMA, add_deltas, lambda a, b: add_deltas(a.unionByName(b)), ("kind",)
+                spark, f"{root}/deltas", DELTA_SCHEMA, add_deltas, lambda a, b: add_deltas(a.unionByName(b)), ("kind",), marks
             ),
+            marks,
         )
 
+    def epoch(self) -> int:
+        """The newest epoch, 0 before any is opened."""
+        return max(epochs(Folders(self.latest.spark, self.marks), self.marks), default=0)
+
+    def open_epoch(self, replaces: bool) -> int:
+        """A new epoch: one that reads its log from the start, or one that goes on after the others."""
+        folders = Folders(self.latest.spark, self.marks)
+        number = max(epochs(folders, self.marks), default=-1) + 1
+        self.mark_epoch(number, replaces)
+        return number
+
+    def mark_epoch(self, number: int, replaces: bool) -> None:
+        Folders(self.latest.spark, self.marks).make(f"{self.marks}/epoch={number}-{'replaces' if replaces else 'adds'}")
+
+    def epoch_of(self, checkpoint: str, replaces: bool) -> int:
+        """The epoch of a checkpoint; a checkpoint without one gets a new one and keeps it.
+
+        The checkpoint is marked first, so a start that fails in between takes the same number again.
+        """
+        folders = Folders(self.latest.spark, checkpoint)
+        found = folders.found(f"{checkpoint}/epoch=*")
+        if found:
+            number, kind = found[0].split("/")[-1].split("=")[1].split("-")
+            self.mark_epoch(int(number), kind == "replaces")
+            return int(number)
+        number = max(epochs(Folders(self.latest.spark, self.marks), self.marks), default=-1) + 1
+        folders.make(f"{checkpoint}/epoch={number}-{'replaces' if replaces else 'adds'}")
+        self.mark_epoch(number, replaces)
+        return number
+
     def counters(self) -> DataFrame:
         return self.deltas.read().where(F.col("kind") == COUNTER).select("key", "value")
 
@@ -127,7 +227,8 @@ class StateTables:
         """Changes per micro-batch and table, for the batches that are still kept."""
         rows = self.deltas.by_batch().where(F.col("kind") == ROWS)
         return rows.select(
-            F.col("batch").cast("bigint").alias("batch"), F.col("key").alias("table"), F.col("value").cast("bigint").alias("n")
+            F.col("batch").cast("bigint").alias("batch"), F.col("key").alias("table"), F.col("value").cast("bigint").alias("n"),
+            F.col("epoch").cast("bigint").alias("epoch"),
         )
 
     def fold(self) -> None:
