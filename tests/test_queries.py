@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.compare import assert_same, duck
 from tests.conftest import SF_SMALL
+from tideline.plans import all_oracles as oracle_sql
+from tideline.plans import all_queries as queries
 
 
 @pytest.fixture(scope="module")
