@@ -127,8 +127,8 @@ def level_results(samples: DataFrame, readings: DataFrame) -> DataFrame:
     """One row per ramp level from its rate samples and its batch readings.
 
     ``samples``: run_id, level, kafka_rate, mongo_rate per sampling step.
-    ``readings``: run_id, level, target_tps, ts_us, spark_ms, arrived (did the record
-    reach the target in time), drain_s.
+    ``readings``: run_id, level, target_tps, ts_us, spark_ms, stored (is the record in the
+    source), arrived (did it reach the target in time), drain_s. Rates are per second.
     """
 
     def mean_positive(c: str) -> Column:
@@ -145,6 +145,7 @@ def level_results(samples: DataFrame, readings: DataFrame) -> DataFrame:
     totals = readings.groupBy(*LEVEL).agg(
         F.max("target_tps").alias("target_tps"),
         F.count(F.lit(1)).cast("bigint").alias("records_inserted"),
+        F.count_if("stored").cast("bigint").alias("mysql_delta"),
         F.count_if("arrived").cast("bigint").alias("mongo_delta"),
         span_s.alias("inject_s"),
         F.max("drain_s").cast("double").alias("drain_s"),
@@ -152,21 +153,19 @@ def level_results(samples: DataFrame, readings: DataFrame) -> DataFrame:
     )
     p95 = batch_p95(readings, LEVEL, "spark_ms").withColumnRenamed("p95", "spark_batch_p95_ms")
     joined = totals.join(rates, LEVEL, "left").join(p95, LEVEL, "left")
-    hours = F.col("inject_s") / 3600
-    total_hours = (F.col("inject_s") + F.col("drain_s")) / 3600
     return joined.select(
         *LEVEL,
         "target_tps",
         "records_inserted",
-        F.col("records_inserted").alias("mysql_delta"),
+        "mysql_delta",
         "mongo_delta",
-        lag_remaining(F.col("records_inserted"), F.col("mongo_delta")).alias("lag_remaining"),
-        (F.col("mongo_delta") >= F.col("records_inserted")).alias("synced"),
+        lag_remaining(F.col("mysql_delta"), F.col("mongo_delta")).alias("lag_remaining"),
+        (F.col("mongo_delta") >= F.col("mysql_delta")).alias("synced"),
         F.round("inject_s", 1).alias("inject_elapsed_s"),
         F.round("drain_s", 1).alias("drain_elapsed_s"),
         F.round(F.col("inject_s") + F.col("drain_s"), 1).alias("total_elapsed_s"),
-        per_second(F.col("records_inserted"), hours).alias("inject_tps"),
-        per_second(F.col("mongo_delta"), total_hours).alias("e2e_tps"),
+        per_second(F.col("records_inserted"), F.col("inject_s")).alias("inject_tps"),
+        per_second(F.col("mongo_delta"), F.col("inject_s") + F.col("drain_s")).alias("e2e_tps"),
         "spark_batch_avg_ms",
         F.coalesce(F.col("spark_batch_p95_ms").cast("double"), F.lit(0.0)).alias("spark_batch_p95_ms"),
         "kafka_rate_avg",
@@ -183,21 +182,27 @@ def sync_rate(synced: Column, sent: Column) -> Column:
     return percent(synced, sent)
 
 
-def run_report(levels: DataFrame) -> DataFrame:
-    """Nested report per run: the ramp in level order, the bottleneck and the summary."""
+def run_report(levels: DataFrame, sustained: DataFrame) -> DataFrame:
+    """Nested report per run: configured levels, the ramp in level order, the test at a held rate and the summary.
+
+    ``sustained`` has the columns of ``levels`` and at most one row per run.
+    """
     ramp = ramp_levels(levels)
-    entry = F.struct("level", "target_tps", "inject_tps", "e2e_tps", "lag_remaining", "synced")
+    entry = F.struct("level", *[c for c in ramp.columns if c not in LEVEL])
     # A run has as many entries as its configuration has levels.
     ramps = ramp.groupBy("run_id").agg(F.array_sort(F.collect_list(entry)).alias("ramp_up"))
+    planned = levels.groupBy("run_id").agg(F.array_sort(F.collect_list("target_tps")).alias("tps_levels"))
+    held = sustained.select("run_id", F.struct(*[c for c in sustained.columns if c not in LEVEL]).alias("sustained"))
     summary = max_passing(levels)
     broken = first_bottleneck(levels).select(
         "run_id", F.struct("at_tps", "e2e_tps", "stage", "lag").alias("bottleneck")
     )
-    joined = ramps.join(summary, ["run_id"]).join(broken, ["run_id"], "left")
+    joined = ramps.join(summary, ["run_id"]).join(planned, ["run_id"]).join(held, ["run_id"], "left").join(broken, ["run_id"], "left")
     return joined.select(
         "run_id",
-        F.struct(F.col("sustained_tps").alias("sustained_target_tps")).alias("config"),
+        F.struct("tps_levels", F.col("sustained_tps").alias("sustained_target_tps")).alias("config"),
         "ramp_up",
+        "sustained",
         F.struct(
             "max_e2e_tps", F.col("bottleneck").isNotNull().alias("bottleneck_detected"), "bottleneck"
         ).alias("summary"),

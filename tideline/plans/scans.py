@@ -85,6 +85,14 @@ def written_reports(spark, sf_dir):
             in_time.cast("double").alias("mysql_tps"),
         ).alias("throughput_baseline"),
         F.struct(F.count_if(F.col("name") == "click").cast("bigint").alias("spark_workers")).alias("config"),
+        F.when(
+            F.count_if(F.col("name") == "view") > F.count_if(F.col("name") == "click"),
+            F.struct(
+                F.count_if(F.col("name") == "click").cast("double").alias("baseline_tps"),
+                F.count_if(F.col("name") == "view").cast("double").alias("scaled_tps"),
+                F.max(F.when(F.col("name") == "click", value)).alias("baseline_p95_s"),
+            ),
+        ).alias("comparison"),
     )
     path = new_folder(spark, "reports")
     whole.join(groups, ["run_id"]).write.json(path)
@@ -176,8 +184,15 @@ select {_DAY} as run_id,
   cast(count(*) as double) as throughput_e2e,
   cast(count(*) filter (value <= 300) as double) as throughput_mysql,
   cast(0 as double) as sync_rate_pct, cast(0 as double) as kafka_partitions,
-  cast(count(*) filter (event_type='click') as double) as spark_workers
-from events group by 1""",
+  cast(count(*) filter (event_type='click') as double) as spark_workers,
+  cast(case when v > c then c else 0 end as double) as baseline_tps,
+  cast(case when v > c then v else 0 end as double) as scaled_tps,
+  cast(0 as double) as throughput_improvement_pct,
+  case when v > c then coalesce(max(value) filter (event_type='click'), 0) else 0 end as baseline_p95_s,
+  cast(0 as double) as scaled_p95_s
+from (select *, count(*) filter (event_type='view') over (partition by {_DAY}) v,
+             count(*) filter (event_type='click') over (partition by {_DAY}) c from events)
+group by 1, v, c""",
     "worst_group_latency": f"""
 with g as (select {_DAY} as run_id, event_type, min(value) a, coalesce(max(value) filter (value > 250), 0) b
            from events group by 1, 2)

@@ -11,7 +11,9 @@ REPORT_SCHEMA = """
     latency struct<p50_s: double, p95_s: double, p99_s: double, avg_s: double>,
     throughput_baseline struct<e2e_tps: double, mysql_tps: double, sync_rate_pct: double>,
     redis_latency map<string, struct<p50_ms: double, p99_ms: double>>,
-    config struct<kafka_partitions_orders: bigint, spark_workers: bigint>
+    config struct<kafka_partitions_orders: bigint, spark_workers: bigint>,
+    comparison struct<baseline_tps: double, scaled_tps: double, throughput_improvement_pct: double,
+                      baseline_p95_s: double, scaled_p95_s: double>
 """
 _READINGS = {
     "latency_p50": "latency.p50_s",
@@ -23,6 +25,11 @@ _READINGS = {
     "sync_rate_pct": "throughput_baseline.sync_rate_pct",
     "kafka_partitions": "config.kafka_partitions_orders",
     "spark_workers": "config.spark_workers",
+    "baseline_tps": "comparison.baseline_tps",
+    "scaled_tps": "comparison.scaled_tps",
+    "throughput_improvement_pct": "comparison.throughput_improvement_pct",
+    "baseline_p95_s": "comparison.baseline_p95_s",
+    "scaled_p95_s": "comparison.scaled_p95_s",
 }
 
 
