@@ -11,6 +11,7 @@ from tideline.schema import CUSTOMERS, ORDERS, SINK_FIELDS, STATUSES, DEFAULT_ST
 
 FLAT_COLUMNS = ["op", "table", "id", "name", "masked_email", "customer_id", "total_amount", "status"]
 FOLLOWED = [CUSTOMERS, ORDERS]
+PLACE = ("topic", "partition", "offset")
 
 
 def parse_events(
@@ -79,14 +80,14 @@ def _judged(log: DataFrame, rules: Rules, wrapped: bool, keep: tuple[str, ...])
 
 def reject_ledger(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False) -> DataFrame:
     """Every event that changes nothing, with its place in the log and the reason."""
-    judged = _judged(log, rules, wrapped, ("topic", "partition", "offset"))
+    judged = _judged(log, rules, wrapped, PLACE)
     return judged.where(F.col("reason").isNotNull()).select(
-        "topic", "partition", "offset", "op", F.col("source.table").alias("table"), "reason"
+        *PLACE, "op", F.col("source.table").alias("table"), "reason"
     )
 
 
-def flatten(events: DataFrame, rules: Rules = DEFAULT, with_order: bool = False) -> DataFrame:
-    """The flat change row. Raw e-mail and phone end here."""
+def flatten(events: DataFrame, rules: Rules = DEFAULT, with_order: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The flat change row, and the kept columns beside it. Raw e-mail and phone end here."""
     amount = decode_amount(F.col("record.total_amount"))
     if rules.bad_amount_as_zero:
         amount = F.coalesce(amount, F.lit(0).cast("decimal(12,2)"))
@@ -105,7 +106,7 @@ def flatten(events: DataFrame, rules: Rules = DEFAULT, with_order: bool = False)
     ]
     if with_order:
         columns.append(change_order().alias("ord"))
-    return events.select(*columns)
+    return events.select(*columns, *keep)
 
 
 def changes(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False, with_order: bool = True) -> DataFrame:
@@ -114,6 +115,12 @@ def changes(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False, with_
     return flatten(judged.where(F.col("reason").isNull()), rules, with_order)
 
 
+def judged_changes(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False) -> DataFrame:
+    """``changes`` and, with a ``reason`` and their place in the log, the events that change no row: one parse for both."""
+    judged = _judged(log, rules, wrapped, PLACE)
+    return flatten(judged, rules, True, ("reason", *PLACE))
+
+
 def after_only(events: DataFrame) -> DataFrame:
     """Columns of the after-image; a delete gives a row of NULLs."""
     return events.select("after.*")

@@ -96,6 +96,11 @@ def survive_truncates(changes: DataFrame, events: DataFrame) -> DataFrame:
         .groupBy("table")
         .agg(F.max("cut").alias("cut"))
     )
+    return after_cuts(changes, cuts)
+
+
+def after_cuts(changes: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Changes after the ``cut`` of their table; a table without one keeps all."""
     joined = join_small(changes, cuts, ["table"], "left")
     return joined.where(F.col("cut").isNull() | (F.col("ord") > F.col("cut"))).drop("cut")
 

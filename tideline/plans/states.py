@@ -89,8 +89,8 @@ def merged_state(spark, sf_dir):
     return table.read().select("table", "id", "op", F.col("ord.offset").alias("offset"))
 
 
-def truncate_event(spark, sf_dir):
-    """Orders after their table was truncated at an instant in the middle of the log."""
+def truncated_log(spark, sf_dir):
+    """The order log with a truncate at an instant in its middle."""
     log = logs.orders_log(spark, sf_dir)
     # The record takes the last offset; its commit time is what places it among the changes.
     instant = F.unix_millis(F.lit(TRUNCATED_AT).cast("timestamp"))
@@ -103,7 +103,12 @@ def truncate_event(spark, sf_dir):
         "offset",
         F.lit(TRUNCATED_AT).cast("timestamp").alias("timestamp"),
     )
-    log = log.unionByName(cut)
+    return log.unionByName(cut)
+
+
+def truncate_event(spark, sf_dir):
+    """Orders after their table was truncated in the middle of the log."""
+    log = truncated_log(spark, sf_dir)
     kept = survive_truncates(changes(log), parse_events(log, fields=("id",)))
     return order_documents(latest_of(kept, ORDERS, ORDER_VALUES))
 

@@ -12,7 +12,7 @@ from tideline.functions import status_key
 from tideline.operators.counters import top_members
 from tideline.operators.envelope import changes, route
 from tideline.operators.state import customer_hashes, order_documents
-from tideline.plans import logs
+from tideline.plans import envelopes, logs, states
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
 from tideline.schema import CUSTOMERS, ORDERS
@@ -197,6 +197,25 @@ def stream_new_checkpoint(spark, sf_dir):
     return log.tables.counters()
 
 
+def _streamed(spark, log):
+    """Tables after a stored log went through the stream."""
+    root = new_folder(spark, "stored")
+    log.write.parquet(f"{root}/log")
+    tables = StateTables.at(spark, f"{root}/tables")
+    run_available(stream_files(spark, f"{root}/log"), ChangeSink(tables), f"{root}/checkpoint")
+    return tables
+
+
+def stream_truncate(spark, sf_dir):
+    """Order documents after a truncate went by in the stream."""
+    return order_documents(_streamed(spark, states.truncated_log(spark, sf_dir)).current())
+
+
+def stream_rejects(spark, sf_dir):
+    """The ledger that the stream keeps of events that change no row."""
+    return _streamed(spark, logs.rough_log(spark, sf_dir)).rejects.read()
+
+
 def rebuild_then_stream(spark, sf_dir):
     """Tables rebuilt from the creates, then a stream that goes on with the updates and deletes."""
     log = Arriving(spark, sf_dir)
@@ -223,6 +242,8 @@ QUERIES = {
     "batch_progress": batch_progress,
     "stream_new_checkpoint": stream_new_checkpoint,
     "rebuild_then_stream": rebuild_then_stream,
+    "stream_truncate": stream_truncate,
+    "stream_rejects": stream_rejects,
 }
 
 _DOCUMENTS = f"""
@@ -256,6 +277,8 @@ with {ORDER_CTE}
 select 'orders:status:' || st as key, cast(sum(case op when 'd' then -1 else 1 end) as bigint) as value from oe group by st""",
     "stream_new_checkpoint": COUNTERS_SQL,
     "rebuild_then_stream": _DOCUMENTS,
+    "stream_truncate": states.ORACLE["truncate_event"],
+    "stream_rejects": envelopes.ORACLE["reject_ledger"],
     "batch_counts": _PER_PART.format(batch="batch", n="n"),
     "batch_progress": _PER_PART.format(batch="batch_id", n="num_input_rows"),
 }

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.counters import deltas
-from tideline.operators.envelope import changes
+from tideline.operators.envelope import PLACE, changes, judged_changes
 from tideline.operators.state import latest_per_key
 from tideline.rules import DEFAULT, Rules
-from tideline.streaming.tables import BatchTable, StateTables
+from tideline.streaming.tables import BatchTable, StateTables, last_cuts
 
 
 @dataclass
 class ChangeSink:
-    """``foreachBatch`` target. Every write is keyed by the batch, so a retry replaces itself."""
+    """``foreachBatch`` target. Every write is keyed by the batch, so a retry replaces itself.
+
+    A batch is flat changes, or judged ones: those with a ``reason`` go to the ledger of rejects, and
+    truncates among them also to the cuts that ``StateTables.current`` applies.
+    """
 
     tables: StateTables
     rules: Rules = DEFAULT
@@ -33,21 +37,32 @@ class ChangeSink:
 
     def __call__(self, flat: DataFrame, batch_id: int) -> None:
         epoch = self.tables.epoch() if self.epoch is None else self.epoch
-        if self.hold:
-            flat.persist()
+        held = flat.persist() if self.hold else None
         try:
+            if "reason" in flat.columns:
+                self._set_aside(flat.where(F.col("reason").isNotNull()), batch_id, epoch)
+                flat = flat.where(F.col("reason").isNull()).drop("reason", *PLACE)
             if not flat.isEmpty():
                 self.tables.latest.write_batch(latest_per_key(flat), batch_id, epoch)
                 self.after_documents(batch_id)
                 self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id, epoch)
         finally:
-            if self.hold:
-                flat.unpersist()
+            if held is not None:
+                held.unpersist()
         # A batch retried after its fold writes a folder that the base already covers.
         if self.fold_every and (batch_id + 1) % self.fold_every == 0:
             self.tables.fold()
 
 
+    def _set_aside(self, rejected: DataFrame, batch_id: int, epoch: int) -> None:
+        if rejected.isEmpty():
+            return
+        self.tables.rejects.write_batch(rejected.select(*PLACE, "op", "table", "reason"), batch_id, epoch)
+        truncates = rejected.where(F.col("reason") == "truncate")
+        if not truncates.isEmpty():
+            self.tables.cuts.write_batch(last_cuts(truncates.select("table", F.col("ord").alias("cut"))), batch_id, epoch)
+
+
 def start(
     log: DataFrame,
     sink: ChangeSink,
@@ -63,7 +78,7 @@ def start(
     """
     sink = replace(sink, epoch=sink.tables.epoch_of(checkpoint, from_start))
     writer = (
-        changes(log, sink.rules, wrapped)
+        judged_changes(log, sink.rules, wrapped)
         .writeStream.foreachBatch(sink)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -82,7 +97,7 @@ def run_available(log: DataFrame, sink: ChangeSink, checkpoint: str) -> Streamin
 def rebuild(log: DataFrame, tables: StateTables, rules: Rules = DEFAULT, wrapped: bool = False) -> None:
     """State of a whole log as one batch, in place of what the tables held."""
     epoch = tables.open_epoch(replaces=True)
-    ChangeSink(tables, rules, hold=False, epoch=epoch)(changes(log, rules, wrapped), 0)
+    ChangeSink(tables, rules, hold=False, epoch=epoch)(judged_changes(log, rules, wrapped), 0)
 
 
 def preview(log: DataFrame, name: str, checkpoint: str, rules: Rules = DEFAULT, sink: str = "memory") -> StreamingQuery:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.counters import COUNTER, ROWS, SCORE, add_deltas
-from tideline.operators.state import latest_per_key, merge_latest
+from tideline.operators.state import after_cuts, latest_per_key, merge_latest
 
 LATEST_SCHEMA = """
     table string, id bigint, op string, name string, masked_email string, customer_id bigint,
@@ -29,6 +29,10 @@ LATEST_SCHEMA = """
     ord struct<ts_ms: bigint, file: bigint, pos: bigint, row: bigint, is_change: int, offset: bigint>
 """
 LATEST_COLUMNS = ["op", "name", "masked_email", "customer_id", "total_amount", "status", "ord"]
+CUT_SCHEMA = """
+    table string, cut struct<ts_ms: bigint, file: bigint, pos: bigint, row: bigint, is_change: int, offset: bigint>
+"""
+REJECT_SCHEMA = "topic string, partition int, offset bigint, op string, table string, reason string"
 DELTA_SCHEMA = "kind string, key string, value decimal(38,2)"
 
 
@@ -162,15 +166,22 @@ class BatchTable:
                 folders.remove(f"{self.path}/base/{_folder(p, 'upto')}")
 
 
+def last_cuts(cuts: DataFrame) -> DataFrame:
+    return cuts.groupBy("table").agg(F.max("cut").alias("cut"))
+
+
 @dataclass(frozen=True)
 class StateTables:
-    """What the change sink keeps: the latest change of each key, and deltas that add up.
+    """What the change sink keeps: the latest change of each key, deltas that add up, truncates and rejects.
 
-    Deltas of all kinds share one table, so a batch has two writes.
+    Deltas of all kinds share one table, so a batch has two writes; batches with events that change no row have
+    a third one, and those with truncates a fourth.
     """
 
     latest: BatchTable
     deltas: BatchTable
+    cuts: BatchTable
+    rejects: BatchTable
     marks: str
 
     @staticmethod
@@ -183,6 +194,8 @@ class StateTables:
             BatchTable(
                 spark, f"{root}/deltas", DELTA_SCHEMA, add_deltas, lambda a, b: add_deltas(a.unionByName(b)), ("kind",), marks
             ),
+            BatchTable(spark, f"{root}/cuts", CUT_SCHEMA, last_cuts, lambda a, b: last_cuts(a.unionByName(b)), (), marks),
+            BatchTable(spark, f"{root}/rejects", REJECT_SCHEMA, lambda d: d, DataFrame.unionByName, (), marks),
             marks,
         )
 
@@ -216,6 +229,10 @@ class StateTables:
         self.mark_epoch(number, replaces)
         return number
 
+    def current(self) -> DataFrame:
+        """The latest change of each key that its table's last truncate has left."""
+        return after_cuts(self.latest.read(), self.cuts.read())
+
     def counters(self) -> DataFrame:
         return self.deltas.read().where(F.col("kind") == COUNTER).select("key", "value")
 
