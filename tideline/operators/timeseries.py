@@ -12,20 +12,22 @@ MICROS = 1_000_000
 # Readings of one series that a task may sort.
 CHUNK_ROWS = 5_000_000
 MAX_CHUNK_SECONDS = 30 * 86_400
+# Steps that readings are counted in to size chunks; no chunk is shorter.
+STEP_SECONDS = 10
 
 
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def chunk_for(readings: DataFrame, seconds: int, name: str = "name", ts: str = "ts") -> int:
-    """Chunk length that keeps the busiest series near ``CHUNK_ROWS`` rows per chunk.
+def chunk_for(readings: DataFrame, name: str = "name", ts: str = "ts") -> int:
+    """Chunk length that keeps the busiest series near ``CHUNK_ROWS`` rows per chunk, whatever the window.
 
-    One counting pass, combined before the shuffle, over steps as long as the window.
+    One counting pass over short steps, combined before the shuffle.
     """
-    step = F.floor(micros(F.col(ts)) / (seconds * MICROS))
+    step = F.floor(micros(F.col(ts)) / (STEP_SECONDS * MICROS))
     busiest = readings.groupBy(name, step.alias("step")).count().agg(F.max("count")).first()[0] or 1
-    return int(min(max(1, CHUNK_ROWS // busiest) * seconds, max(MAX_CHUNK_SECONDS, seconds)))
+    return int(min(max(1, CHUNK_ROWS // busiest) * STEP_SECONDS, MAX_CHUNK_SECONDS))
 
 
 def trailing_rate(
@@ -34,13 +36,12 @@ def trailing_rate(
 ) -> DataFrame:
     """Per-second increase over the trailing ``seconds``, counter resets included.
 
-    A reading below the one before counts as a restart from zero. A series is cut into
-    time chunks so that a busy one spreads over many tasks: each chunk gets the last
-    reading from before it, and the increases of its last ``seconds`` also go to the
-    next chunk. No extrapolation to the edges of the window.
+    A reading below the one before counts as a restart from zero. Every increase enters the sum
+    when it is read and leaves it when the window has passed, so the rate is a running sum; a
+    series is cut into time chunks of any length, each of which starts from the totals of the
+    chunks before it. Exact for whole and decimal values. No extrapolation to the edges of the window.
     """
-    chunk_seconds = chunk_seconds or chunk_for(readings, seconds, name, ts)
-    chunk_us = max(chunk_seconds, seconds) * MICROS
+    chunk_us = (chunk_seconds or chunk_for(readings, name, ts)) * MICROS
     order = ["us"] + ([tie] if tie else [])
     placed = readings.where(F.col(value).isNotNull()).select(
         F.col(name), F.col(ts), F.col(value), *([F.col(tie)] if tie else []),
@@ -58,16 +59,20 @@ def trailing_rate(
     rise = F.when(F.col("before").isNull(), F.lit(0)).when(
         F.col(value) < F.col("before"), F.col(value)
     ).otherwise(F.col(value) - F.col("before"))
-    stepped = stepped.withColumn("rise", rise)
-
-    to_next = F.col("us") >= (F.col("chunk") + 1) * chunk_us - seconds * MICROS
-    homes = F.when(to_next, F.array(F.col("chunk"), F.col("chunk") + 1)).otherwise(F.array(F.col("chunk")))
-    spread = stepped.withColumn("home", F.explode(homes))
-    trailing = Window.partitionBy(name, "home").orderBy("us").rangeBetween(-seconds * MICROS, 0)
-    rated = spread.withColumn("increase", F.sum("rise").over(trailing))
-    return rated.where(F.col("home") == F.col("chunk")).select(
-        name, ts, value, *([tie] if tie else []),
-        (F.col("increase").cast("double") / seconds).alias("rate"),
+    kept = F.struct(ts, value, *([tie] if tie else []))
+    stepped = stepped.select(name, "us", kept.alias("reading"), rise.alias("rise"))
+
+    # A reading exactly as old as the window still counts: at one time, increases leave after those that enter.
+    enters = F.struct(F.col("us"), F.lit(0).alias("leaves"), F.col("rise").alias("delta"), F.col("reading"))
+    leaves = F.struct((F.col("us") + seconds * MICROS).alias("us"), F.lit(1).alias("leaves"), (-F.col("rise")).alias("delta"), F.lit(None).alias("reading"))
+    moves = stepped.select(name, F.inline(F.array(enters, leaves))).withColumn("chunk", F.floor(F.col("us") / chunk_us).cast("bigint"))
+    totals = moves.groupBy(name, "chunk").agg(F.sum("delta").alias("total"))
+    so_far = F.coalesce(F.sum("total").over(by_series.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = totals.select(name, "chunk", so_far.alias("start"))
+    running = Window.partitionBy(name, "chunk").orderBy("us", "leaves").rangeBetween(Window.unboundedPreceding, 0)
+    rated = moves.join(starts, [name, "chunk"]).withColumn("increase", F.col("start") + F.sum("delta").over(running))
+    return rated.where("leaves = 0").select(
+        name, "reading.*", (F.col("increase").cast("double") / seconds).alias("rate")
     )
 
 
