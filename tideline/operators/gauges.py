@@ -30,6 +30,22 @@ TOP_SCORE_GAUGE = "cdc_redis_top_customer_score"
 OFFSET_GAUGES = {topic_of(CUSTOMERS): "cdc_kafka_customers_offset", topic_of(ORDERS): "cdc_kafka_orders_offset"}
 UP_GAUGE = "cdc_pipeline_up"
 IN_SYNC_GAUGE = "cdc_mysql_mongo_in_sync"
+REPORT_GAUGES = {
+    "latency_p50": "cdc_benchmark_latency_p50",
+    "latency_p95": "cdc_benchmark_latency_p95",
+    "latency_p99": "cdc_benchmark_latency_p99",
+    "latency_avg": "cdc_benchmark_latency_avg",
+    "throughput_e2e": "cdc_benchmark_throughput_e2e",
+    "throughput_mysql": "cdc_benchmark_throughput_mysql",
+    "sync_rate_pct": "cdc_benchmark_sync_rate_pct",
+    "kafka_partitions": "cdc_benchmark_kafka_partitions",
+    "spark_workers": "cdc_benchmark_spark_workers",
+    "baseline_tps": "cdc_scale_baseline_tps",
+    "scaled_tps": "cdc_scale_scaled_tps",
+    "throughput_improvement_pct": "cdc_scale_improvement_pct",
+    "baseline_p95_s": "cdc_scale_baseline_p95",
+    "scaled_p95_s": "cdc_scale_scaled_p95",
+}
 # ---- end of fixed values ----
 
 
@@ -69,3 +85,14 @@ def gauges(
         _single(all_in_sync(reconcile_counts(source_counts, target_counts)), IN_SYNC_GAUGE, F.col("in_sync")),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def report_gauges(readings: DataFrame, at: Column) -> DataFrame:
+    """Report readings, one column each, as gauges ``(ts, name, value)`` taken at a time of their own."""
+    named = [F.struct(F.lit(gauge).alias("name"), F.col(column).alias("value")) for column, gauge in REPORT_GAUGES.items()]
+    return readings.select(at.alias("ts"), F.inline(F.array(*named)))
+
+
+def taken(gauge_rows: DataFrame, at: Column) -> DataFrame:
+    """Gauges with the time of their reading: rows of the history that rates and last values run over."""
+    return gauge_rows.select(at.alias("ts"), "name", "value")

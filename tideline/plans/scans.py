@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.operators.envelope import changes, parse_events
+from tideline.operators.gauges import REPORT_GAUGES, report_gauges
 from tideline.operators.reconcile import table_counts
 from tideline.operators.state import ORDER_VALUES, latest_of, latest_per_key, live_rows, order_documents
+from tideline.operators.timeseries import last_reading
 from tideline.plans import logs
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE
 from tideline.schema import CUSTOMERS, ORDERS
@@ -103,17 +105,29 @@ def report_scan(spark, sf_dir):
     return report_readings(written_reports(spark, sf_dir))
 
 
+def gauge_history(spark, sf_dir):
+    """Benchmark and scaling gauges of every day's report, each taken at the start of its day."""
+    readings = report_readings(written_reports(spark, sf_dir))
+    return report_gauges(readings, F.to_timestamp_ntz("run_id", F.lit("yyyy-MM-dd")))
+
+
+def gauge_last(spark, sf_dir):
+    """The newest value of each of these gauges."""
+    return last_reading(gauge_history(spark, sf_dir)).select("name", "value")
+
+
 def worst_latency(spark, sf_dir):
     return worst_group_latency(written_reports(spark, sf_dir))
 
 
 def metrics_text_scan(spark, sf_dir):
-    """Readings written as exposition text, comments and broken lines among them."""
+    """Readings written as exposition text, with comments and broken lines among those of every name."""
     events = logs.readings(spark, sf_dir)
+    spoilt = F.col("event_id") % 7
     line = (
-        F.when(F.col("name") == "error", F.concat(F.lit("# TYPE cdc_error gauge "), F.col("value").cast("string")))
-        .when(F.col("name") == "signup", F.lit("cdc_signup n/a"))
-        .when(F.col("name") == "view", F.concat(F.lit("cdc_view {k} "), F.col("value").cast("string")))
+        F.when(spoilt == 0, F.concat(F.lit("# TYPE cdc_"), F.col("name"), F.lit(" gauge "), F.col("value").cast("string")))
+        .when(spoilt == 1, F.concat(F.lit("cdc_"), F.col("name"), F.lit(" n/a")))
+        .when(spoilt == 2, F.concat(F.lit("cdc_"), F.col("name"), F.lit(" {k} "), F.col("value").cast("string")))
         .otherwise(F.concat(F.lit("cdc_"), F.col("name"), F.lit(" "), F.col("value").cast("string")))
     )
     path = new_folder(spark, "metrics")
@@ -141,6 +155,8 @@ QUERIES = {
     "count_state": count_state,
     "topic_end_offsets": offsets_by_topic,
     "report_scan": report_scan,
+    "gauge_history": gauge_history,
+    "gauge_last": gauge_last,
     "worst_group_latency": worst_latency,
     "metrics_text_scan": metrics_text_scan,
     "seed_rows": seed_rows,
@@ -199,7 +215,7 @@ with g as (select {_DAY} as run_id, event_type, min(value) a, coalesce(max(value
 select run_id, max(a) as p50_ms, max(b) as p99_ms from g group by 1""",
     "metrics_text_scan": """
 select 'cdc_' || event_type as name, cast(cast(value as decimal(18,2)) as double) as value
-from events where event_type in ('click', 'purchase')""",
+from events where event_id % 7 > 2""",
     "seed_rows": f"""
 with {CUSTOMER_CTE},
 s(id, name, email, phone) as (values
@@ -216,3 +232,13 @@ s(id, customer_id, total_amount, status) as (values
 select id, cid as customer_id, amt as total_amount, st as status from ob where id not in (1,2,3,4)
 union all select * from s""",
 }
+
+_HISTORY = f"""
+with r as ({ORACLE["report_scan"]})
+{" union all ".join(
+    f"select strptime(run_id, '%Y-%m-%d') as ts, '{gauge}' as name, {column} as value from r" for column, gauge in REPORT_GAUGES.items()
+)}"""
+ORACLE |= {
+    "gauge_history": _HISTORY,
+    "gauge_last": f"select name, arg_max(value, ts) as value from ({_HISTORY}) group by name",
+}
