@@ -27,19 +27,24 @@ CUTOFF = 41.0
 LEAST_ROWS = 200
 
 
-def base_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, counts of the base rules and the number of upper-case letters."""
-    text = F.col("text")
-    words = F.filter(F.split(text, SPACES), lambda w: w != "")
+def _held(frame: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with more columns, through a generator: the optimizer does not work them out again wherever they are used."""
+    return frame.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def base_statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, lang, source, counts of the base rules and the number of upper-case letters.
+
+    With ``carry`` each row comes along whole, as ``row``.
+    """
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    text, none = F.col("text"), F.array().cast("array<string>")
+    bare = F.expr("trim(BOTH ' \t\n\x0B\f\r' FROM text)")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
-    # Going through a generator keeps the optimizer from splitting again wherever the arrays are used.
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", whole_text().alias("text")).select(
-        "doc_id", "lang", "source", "text", F.inline(F.array(F.struct(words.alias("words"), lines.alias("lines"))))
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", whole_text().alias("text"), *row)
+    cut = _held(rows, words=F.when(bare == "", none).otherwise(F.split(bare, SPACES)), lines=lines)
     w = F.col("words")
     n = F.size(w)
-    triples = F.arrays_zip(w.alias("a"), F.slice(w, 2, n).alias("b"), F.slice(w, 3, n).alias("c"))
-    windows = F.transform(F.slice(triples, 1, F.greatest(n - 2, F.lit(0))), lambda t: F.xxhash64(t["a"], t["b"], t["c"]))
     stripped = text
     for s in SYMBOLS:
         stripped = F.replace(stripped, F.lit(s), F.lit(""))
@@ -50,26 +55,37 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.length(stripped)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")).alias("n_upper"),
-        F.explode(F.array(F.when(n >= 3, windows).otherwise(F.array().cast("array<long>")))).alias("windows"),
+        *(["row"] if carry else []),
+        F.inline(F.array(F.struct(F.transform(w, lambda x: F.xxhash64(x)).alias("h")))),
     )
-    return counted.withColumn("n_repeat_words", _repeated_words(F.col("windows"))).drop("windows")
-
-
-def _repeated_words(windows: Column) -> Column:
-    """Words that lie in a window found at least twice. Only texts with such windows are sorted."""
+    h = F.col("h")
+    starts = F.slice(h, F.lit(1), F.greatest(F.size(h) - 2, F.lit(0)))
+    counted = _held(counted, windows=F.transform(starts, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))).drop("h")
+    windows = F.col("windows")
+    repeats = F.size(windows) > F.size(F.array_distinct(windows))
+    counted = _held(counted, ordered=F.when(repeats, F.sort_array(windows)))
+    ordered = F.col("ordered")
+    # Windows found twice or more: in order, those equal to the one before.
+    twice = F.array_distinct(F.filter(ordered, lambda x, i: x == F.get(ordered, i - 1)))
+    counted = _held(counted, twice=F.when(ordered.isNotNull(), twice)).drop("ordered")
+    return counted.withColumn("n_repeat_words", _repeated_words(windows, F.col("twice"))).drop("windows", "twice")
+
+
+def _repeated_words(windows: Column, twice: Column) -> Column:
+    """Words that lie in a window of ``twice``. Looked up one by one while there are few of these, by sorting beyond."""
     n = F.size(windows)
-    placed = F.array_sort(F.arrays_zip(windows.alias("h"), F.sequence(F.lit(0), n - 1).alias("i")))
+    few = F.filter(F.transform(windows, lambda x, i: F.when(F.array_contains(twice, x), i)), lambda i: i.isNotNull())
+    placed = F.sort_array(F.arrays_zip(windows.alias("h"), F.sequence(F.lit(0), n - 1).alias("i")))
     before = F.concat(F.array(F.lit(None).cast("struct<h:bigint,i:int>")), placed)
-    after = F.slice(placed, F.lit(2), n)
-    three = F.arrays_zip(placed.alias("p"), before.alias("q"), after.alias("r"))
-    twice = F.filter(
+    three = F.arrays_zip(placed.alias("p"), before.alias("q"), F.slice(placed, F.lit(2), n).alias("r"))
+    many = F.filter(
         three,
         lambda t: t["p"].isNotNull()
         & (F.coalesce(t["p"]["h"] == t["q"]["h"], F.lit(False)) | F.coalesce(t["p"]["h"] == t["r"]["h"], F.lit(False))),
     )
-    at = F.transform(twice, lambda t: t["p"]["i"])
-    words = F.array_distinct(F.concat(at, F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2)))
-    return F.when(n > F.size(F.array_distinct(windows)), F.size(words)).otherwise(0).cast("long")
+    at = F.when(F.size(twice) <= 64, few).otherwise(F.transform(many, lambda t: t["p"]["i"]))
+    words = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(i, i + 1, i + 2))))
+    return F.when(F.size(twice) > 0, F.size(words)).otherwise(0).cast("long")
 
 
 def _transformed(rows: DataFrame) -> DataFrame:
@@ -141,8 +157,8 @@ def _start(rows: DataFrame) -> DataFrame:
     return _distances(rows, kept_table(middle.select("grp", *[f"m{i}" for i in p], *spread, *zeros), "centres"))
 
 
-def mcd_distances(rows: DataFrame, kept_share: float = 0.75, steps: int = 3) -> DataFrame:
-    """``rows`` (grp and the statistics) with ``d2`` from the reweighted estimate of each group."""
+def mcd_factors(rows: DataFrame, kept_share: float = 0.75, steps: int = 3) -> DataFrame:
+    """Centre and Cholesky factor of each group of ``rows`` (grp and the statistics): the reweighted estimate."""
     measured = _start(rows)
     # Consistency at the normal distribution of a covariance taken over the nearer three quarters.
     scale = 1.5
@@ -152,47 +168,56 @@ def mcd_distances(rows: DataFrame, kept_share: float = 0.75, steps: int = 3) ->
             core = measured.join(limit, "grp").where("d2 <= limit")
         else:
             core, scale = measured.where(F.col("d2") <= 15.0), 1.0  # the reweighted step
-        measured = _distances(rows, kept_table(_factors(core.groupBy("grp").agg(*_moments()), scale), "centres"))
-    return measured
+        factors = kept_table(_factors(core.groupBy("grp").agg(*_moments()), scale), "centres")
+        measured = _distances(rows, factors)
+    return factors
 
 
-def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """doc_id, counts, base_failed, kept and the distance ``d2`` of each row of ``docs``.
+COUNTS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
-    ``docs``: doc_id, text, lang, source and any other columns. A null text is empty; a null language or source
-    is a group of its own; rows that fail the base rules have no distance. Repeated rows and ids give a row each,
-    an empty table none.
-    """
+
+def _judged_by_rules(docs: DataFrame, carry: bool = False) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    stats = _transformed(base_statistics(docs)).withColumn("base_failed", failed)
-    stats = kept_table(stats, "statistics")
+    return _transformed(base_statistics(docs, carry)).withColumn("base_failed", failed)
+
+
+def _grouped(rows: DataFrame, names: DataFrame) -> DataFrame:
+    same = rows["lang"].eqNullSafe(names["lang"]) & rows["source"].eqNullSafe(names["source"])
+    return rows.join(names, same, "left").select(rows["*"], "grp")
+
+
+def _fitted(stats: DataFrame, least_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Group of each language and source, and each group's estimate, from the rows that pass the rules."""
     passed = stats.where(~F.col("base_failed"))
     sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("n"))
     language = F.concat(F.lit("l"), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")))
-    names = sizes.select(
-        "lang",
-        "source",
-        F.when(F.col("n") < least_rows, language)
-        .otherwise(F.concat(language, F.lit("|s"), F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
-        .alias("grp"),
-    )
-    names = kept_table(names, "groups")
-    same = stats["lang"].eqNullSafe(names["lang"]) & stats["source"].eqNullSafe(names["source"])
-    rows = passed.join(names, same).select(passed["*"], "grp")
-    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = mcd_distances(rows.select(*counts, *STATS, "grp")).select(
-        *counts, (F.coalesce("d2", F.lit(0.0)) <= cutoff).alias("kept"), "d2"
-    )
-    return judged.unionByName(
-        stats.where("base_failed").select(*counts, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2"))
-    )
+    both = F.concat(language, F.lit("|s"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    names = kept_table(sizes.select("lang", "source", F.when(F.col("n") < least_rows, language).otherwise(both).alias("grp")), "groups")
+    return names, mcd_factors(_grouped(passed.select("lang", "source", *STATS), names).select("grp", *STATS))
+
+
+def _near_enough(cutoff: float) -> Column:
+    return ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
+
+
+def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """doc_id, counts, base_failed, kept and the distance ``d2`` of each row of ``docs``.
+
+    ``docs``: doc_id, text, lang, source and any other columns. A null text is empty; a null language or source
+    is a group of its own. Repeated rows and ids give a row each, an empty table none.
+    """
+    stats = kept_table(_judged_by_rules(docs), "statistics")
+    names, factors = _fitted(stats, least_rows)
+    measured = _distances(_grouped(stats.select(*COUNTS, *STATS, "lang", "source"), names), factors)
+    return measured.select(*COUNTS, _near_enough(cutoff).alias("kept"), "d2")
 
 
-def with_quality(docs: DataFrame, **parameters) -> DataFrame:
+def with_quality(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
     """``docs`` without the rows that the rules or the outlier test reject.
 
-    Repeated rows of an id stay or go together: all must be kept.
+    The statistics are worked out again beside the whole rows, which then meet only the small table of
+    groups: no text goes through a shuffle.
     """
-    verdicts = quality_verdicts(docs, **parameters).groupBy("doc_id").agg(F.min("kept").alias("_kept"))
-    kept = verdicts.where("_kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    names, factors = _fitted(kept_table(_judged_by_rules(docs), "statistics"), least_rows)
+    rows = _judged_by_rules(docs, carry=True).select("row", "lang", "source", "base_failed", *STATS)
+    return _distances(_grouped(rows, names), factors).where(_near_enough(cutoff)).select("row.*")
