@@ -91,7 +91,7 @@ class WordBpe:
     def encode_chunks(self, chunks: list[str], cache: Cache) -> list[list[int]]:
         """Ids of chunks by way of their words, of which ``cache`` keeps the ids."""
         split = [self.words(c) for c in chunks]
-        for w in cache.missing({w for row in split for w in row}):
+        for w in cache.missing(split):
             cache[w] = self.encode_word(w)
         return [cache[row[0]] if len(row) == 1 else [i for w in row for i in cache[w]] for row in split]
 
@@ -102,7 +102,7 @@ class WordBpe:
 
 @functools.cache
 def _coder(path: str) -> tuple[WordBpe, Cache, Cache]:
-    return WordBpe(path), Cache(300_000), Cache(250_000)
+    return WordBpe(path), Cache("bpe", 300_000), Cache("bpe", 250_000)
 
 
 def encode_texts(texts: list[str], path: str):
@@ -118,7 +118,7 @@ def encode_texts(texts: list[str], path: str):
                 cut.append(row)
             else:
                 cut.append(chunks(text))
-        missing = cache.missing({c for row in cut for c in row})
+        missing = cache.missing(cut)
         # A special string can only be a chunk of its own where it was cut out as one.
         for c in [c for c in missing if c in coder.specials]:
             cache[c] = (pack("<I", coder.specials[c]), c)

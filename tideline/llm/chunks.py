@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain, filterfalse
 
 # The white space of the published tokenizer files' patterns.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -13,7 +14,7 @@ BEYOND_LATIN = re.compile("[^\\x00-\\u017f]")
 
 _CHUNK = re.compile(f"[^{SPACES}]+")
 _SPACED_CHUNK = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
-_SEPARATORS = re.compile("[\\x1c-\\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_alphabet() -> list[str]:
@@ -28,7 +29,7 @@ def byte_alphabet() -> list[str]:
 
 def chunks(text: str) -> list[str]:
     """Runs without white space. ``str.split`` also cuts at the four separator controls."""
-    return _CHUNK.findall(text) if _SEPARATORS.search(text) else text.split()
+    return _CHUNK.findall(text) if any(map(text.__contains__, _SEPARATORS)) else text.split()
 
 
 def spaced_chunks(text: str) -> list[str]:
@@ -37,22 +38,39 @@ def spaced_chunks(text: str) -> list[str]:
 
 
 class Cache(dict):
-    """Values for the life of a Python worker, in two generations of at most ``bound`` entries each."""
+    """Values for the life of a Python worker, in two generations of at most ``bound`` entries each.
 
-    def __init__(self, bound: int = 250_000):
-        super().__init__()
-        self.bound, self.older = bound, {}
+    A worker serves several operators one after another. Once the caches of one ``owner`` are read, those
+    of the others are emptied, so a worker holds no more than one operator needs.
+    """
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys without a value. Afterwards every other key can be read from this dict."""
-        fresh = [k for k in keys if k not in self]
+    _all: list[Cache] = []
+    _reading = ""
+
+    def __init__(self, owner: str, bound: int):
+        super().__init__()
+        self.owner, self.bound, self.older = owner, bound, {}
+        Cache._all.append(self)
+
+    def _claim(self) -> None:
+        for other in Cache._all:
+            if other.owner != self.owner:
+                other.clear()
+                other.older = {}
+        Cache._reading = self.owner
+
+    def missing(self, rows: list[list[str]]) -> list[str]:
+        """The keys in ``rows`` without a value. Afterwards every other key can be read from this dict."""
+        if Cache._reading != self.owner:
+            self._claim()
+        fresh = set(chain.from_iterable(filterfalse(self.__contains__, row) for row in rows))
         if self and len(self) + len(fresh) > self.bound:
             self.older = dict(self)
             self.clear()
-            fresh = list(keys)
+            fresh = set(chain.from_iterable(rows))
         found = [k for k in fresh if k in self.older]
         self.update((k, self.older[k]) for k in found)
-        return [k for k in fresh if k not in self] if found else fresh
+        return [k for k in fresh if k not in self] if found else list(fresh)
 
 
 def text_slices(texts: list[str], chars: int = 2_000_000):

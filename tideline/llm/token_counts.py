@@ -94,7 +94,7 @@ class RankMerger:
     def chunk_counts(self, chunks: list[str], cache: Cache) -> list[int]:
         """Counts of chunks by way of their pre-tokens, of which ``cache`` keeps the counts."""
         split = [self.split(chunk) for chunk in chunks]
-        words = cache.missing({w for row in split for w in row})
+        words = cache.missing(split)
         if words:
             cache.update(zip(words, self.surviving(words).tolist()))
         return [cache[row[0]] if len(row) == 1 else sum([cache[w] for w in row]) for row in split]
@@ -102,7 +102,7 @@ class RankMerger:
 
 @functools.cache
 def _merger(path: str) -> tuple[RankMerger, Cache, Cache]:
-    return RankMerger(path), Cache(500_000), Cache(400_000)
+    return RankMerger(path), Cache("tokens", 500_000), Cache("tokens", 400_000)
 
 
 def count_tokens(texts: list[str], path: str) -> list[int]:
@@ -115,7 +115,7 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
             found = len(merger.special.findall(text)) if merger.special and "<|" in text else 0
             specials.append(found)
             cut.append([c for s in merger.special.split(text) for c in spaced_chunks(s)] if found else spaced_chunks(text))
-        missing = cache.missing({c for row in cut for c in row})
+        missing = cache.missing(cut)
         cache.update(zip(missing, merger.chunk_counts(missing, words)))
         out.extend(sum(map(cache.__getitem__, row)) + n for row, n in zip(cut, specials))
     return out

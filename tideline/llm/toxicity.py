@@ -56,6 +56,9 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
     return table.reshape(_CLASSES, _CLASSES, _CLASSES)
 
 
+_NOTHING: list = []
+
+
 @dataclass
 class Restorer:
     """Viterbi decoding under the character model."""
@@ -131,7 +134,7 @@ def features_of(word: str) -> list[str]:
 @functools.lru_cache(maxsize=1)
 def _restorer(raw: bytes) -> tuple[Restorer, Cache]:
     shape = (_CLASSES, _CLASSES, _CLASSES)
-    return Restorer(np.frombuffer(raw, dtype=np.float32).reshape(shape)), Cache(200_000)
+    return Restorer(np.frombuffer(raw, dtype=np.float32).reshape(shape)), Cache("toxicity", 0)
 
 
 def counted_features(texts: list[str], trigrams: bytes, index: dict[str, int] | None):
@@ -141,14 +144,16 @@ def counted_features(texts: list[str], trigrams: bytes, index: dict[str, int] |
 
     def looked_up(words: list[str]) -> list:
         every = [f for w in words for f in features_of(w)]
-        return every if index is None else [index[f] for f in every if f in index]
+        found = every if index is None else [index[f] for f in every if f in index]
+        return found or _NOTHING
 
     if getattr(cache, "space", None) != space:  # the cached features are those of one index
         cache.clear()
         cache.older, cache.space = {}, space
+        cache.bound = 40_000 if index is None else 200_000  # lists of names are long, those of numbers mostly empty
     for _, part in text_slices(texts):
         cut = [chunks(t) for t in part]
-        for c in cache.missing({c for row in cut for c in row}):
+        for c in cache.missing(cut):
             cache[c] = looked_up(restorer.words(c))
         for text, row in zip(part, cut):
             found = Counter([f for hit in map(cache.__getitem__, row) if hit for f in hit])
