@@ -15,6 +15,7 @@ where a bound on their similarity lets them.
 from __future__ import annotations
 
 import functools
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 @functools.cache
 def _word_hashes() -> Cache:
-    return Cache(400_000)
+    return Cache("minhash", 250_000)
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
@@ -52,7 +53,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
     """
     cut = [t.lower().split() for t in texts]
     cache = _word_hashes()
-    for w in cache.missing({w for row in cut for w in row}):
+    for w in cache.missing(cut):
         cache[w] = xxhash.xxh3_64_intdigest(w)
     sizes = np.array([len(row) for row in cut], dtype=np.int64)
     flat = np.fromiter((cache[w] for row in cut for w in row), dtype=np.uint64, count=int(sizes.sum()))
@@ -139,30 +140,79 @@ def sketch(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) -> D
     return map_arrow(id_and_text(docs), step, "doc_id long, print binary, bands array<long>")
 
 
-def _own_shingles(texts: DataFrame) -> DataFrame:
-    """node, shingle and the shingle's share of the text's weight."""
+def _weighed_shingles(texts: DataFrame) -> DataFrame:
+    """node, shingle and its weight, with the weight and the number of all shingles of the text.
+
+    One more row of each text, under a negative number of its own, carries these two alone.
+    """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, elements, shares = [], [], []
+        out: list[tuple[np.ndarray, ...]] = []
         nodes = np.asarray(batch.column(0))
         for start, part in text_slices(batch.column(1).to_pylist()):
             row, element, weight, _ = shingles(part)
-            all_ = np.bincount(row, weights=weight, minlength=len(part))
-            ids.append(nodes[start + row])
-            elements.append(element.astype(np.int64))
-            shares.append(weight / all_[row])
+            total = np.bincount(row, weights=weight, minlength=len(part))
+            count = np.bincount(row, minlength=len(part))
+            own = nodes[start : start + len(part)]
+            out.append((own[row], element.astype(np.int64), weight.astype(float), total[row], count[row]))
+            out.append((own, -1 - own, np.zeros(len(part)), total, count))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(c)) for c in (ids, elements, shares)], ["node", "shingle", "share"]
+            [pa.array(np.concatenate(c)) for c in zip(*out)], ["node", "shingle", "weight", "total", "kinds"]
         )
 
-    return map_arrow(texts.select("node", "text"), step, "node long, shingle long, share double")
+    return map_arrow(texts.select("node", "text"), step, "node long, shingle long, weight double, total double, kinds long")
 
 
-def _within_bound(a: Column, b: Column, threshold: float) -> Column:
-    """Whether texts with shares ``a`` and ``b`` of shingles of their own can be that similar."""
+def _shares(texts: DataFrame) -> DataFrame:
+    """node; own: weight of the shingles that no other text holds; total: weight of all; extra: of repetitions."""
+    return (
+        _weighed_shingles(texts)
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("node", "weight", "total", "kinds")])
+        .where("n = 1 or shingle < 0")
+        .groupBy("node")
+        .agg(*[F.max(c).alias(c) for c in ("n", "total", "kinds")], F.sum("weight").alias("own"))
+        # An id with several texts is bounded by none of them.
+        .select(
+            "node",
+            F.when(F.col("n") == 1, F.col("own")).otherwise(0.0).alias("own"),
+            F.when(F.col("n") == 1, F.col("total")).otherwise(1e12).alias("total"),
+            F.when(F.col("n") == 1, F.col("total") - F.col("kinds")).otherwise(1e12).alias("extra"),
+        )
+    )
+
+
+def _shares_within(a: Column, b: Column, threshold: float) -> Column:
+    """Whether texts with these shares of shingles of their own can be that similar.
+
+    A collision needs a common shingle: with x and y scaled to 1 the similarity is at most (1-a)(1-b)/(1-ab).
+    """
     return (1 - a) * (1 - b) >= F.lit(threshold - 1e-9) * (1 - a * b)
 
 
+def _within_bound(x: str, y: str, threshold: float) -> Column:
+    """Whether two nodes can be that similar, by shares and by absolute weights.
+
+    No term of the similarity exceeds max(x, y) / sum of max(x, y), so with m at least the sum of max(x, y)
+    over common shingles, it is at most m / (m + what x holds alone + what y holds alone).
+    """
+    own_a, total_a, extra_a = (F.col(f"{x}.{c}") for c in ("own", "total", "extra"))
+    own_b, total_b, extra_b = (F.col(f"{y}.{c}") for c in ("own", "total", "extra"))
+    held = _weights_within((own_a, total_a, total_a - own_a, extra_a), (own_b, total_b, total_b - own_b, extra_b), threshold)
+    return held & _shares_within(own_a / total_a, own_b / total_b, threshold)
+
+
+def _weights_within(a: tuple[Column, ...], b: tuple[Column, ...], threshold: float) -> Column:
+    """The bound by weights. Each side: own, total, what it can share, extra.
+
+    It grows with the last two and falls with the first two, so for two sets of nodes the least own and total
+    and the most of the others bound every pair.
+    """
+    common = F.least(a[2] + b[3], b[2] + a[3])
+    alone = F.greatest(a[0], a[1] - common) + F.greatest(b[0], b[1] - common)
+    return common >= F.lit(threshold - 1e-9) * (common + alone)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -210,12 +260,13 @@ def near_duplicate_classes(
     """doc_id and class_id (the smallest doc_id of the class) of each row of ``docs`` (doc_id, text, any other columns).
 
     Rows with the same words always share a class, and so do rows with the same id. A null text, an empty one
-    or one without words is alone in its class. An empty table gives no rows.
+    or one without words is alone in its class, and so is a row without an id, whose class is null. An empty
+    table gives no rows.
     """
     docs = id_and_text(docs)
     sketched = kept_table(sketch(docs, bands, band_rows), "sketch")
     nodes = kept_table(
-        sketched.where(F.col("print").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),
+        sketched.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),
         "nodes",
     )
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
@@ -226,49 +277,50 @@ def near_duplicate_classes(
     candidates = members.select("node").distinct()
     texts = kept_table(docs.withColumnRenamed("doc_id", "node").join(candidates, "node").distinct(), "texts")
 
-    alone = (
-        _own_shingles(texts)
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("node").alias("node"), F.max("share").alias("share"))
-        .where("n = 1")
-        .groupBy("node")
-        .agg(F.least(F.sum("share"), F.lit(1.0)).alias("own"))
-    )
-    own = F.coalesce("own", F.lit(0.0)).alias("own")
-    shares = kept_table(candidates.join(alone, "node", "left").select("node", own), "shares")
-    members = kept_table(members.join(shares.where(F.col("own") <= 1 - threshold + 1e-9), "node").select("bucket", "node", "own"), "members")
+    known = ["own", "total", "extra"]
+    shares = kept_table(_shares(texts).where(F.col("own") <= (1 - threshold + 1e-9) * F.col("total")), "shares")
+    members = kept_table(members.join(shares, "node").select("bucket", "node", *known), "members")
 
-    leaders = members.groupBy("bucket").agg(F.min(F.struct("own", "node")).alias("lead")).select(
-        "bucket", F.col("lead.node").alias("b"), F.col("lead.own").alias("own_b")
-    )
+    lead = members.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("total"), "node", *known)).alias("lead"))
+    leaders = lead.select("bucket", *[F.col(f"lead.{c}").alias(c) for c in ("node", *known)])
     stars = (
-        members.join(leaders, "bucket")
-        .where((F.col("node") != F.col("b")) & _within_bound(F.col("own"), F.col("own_b"), threshold))
-        .select(F.col("node").alias("a"), "b")
+        members.alias("x")
+        .join(leaders.alias("y"), "bucket")
+        .where((F.col("x.node") != F.col("y.node")) & _within_bound("x", "y", threshold))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
     links = kept_table(verified(stars, texts, threshold), "links")
     labels = components(links)
 
-    placed = kept_table(
-        members.join(labels, "node", "left").select("bucket", "node", "own", F.coalesce("label", "node").alias("part")), "placed"
+    placed = members.join(labels, "node", "left").select("bucket", "node", *known, F.coalesce("label", "node").alias("part"))
+    placed = kept_table(placed, "placed")
+    parts = placed.groupBy("bucket", "part").agg(
+        F.min(F.col("own") / F.col("total")).alias("least"),
+        F.min("own").alias("own"),
+        F.min("total").alias("total"),
+        F.max(F.col("total") - F.col("own")).alias("shared"),
+        F.max("extra").alias("extra"),
     )
-    parts = placed.groupBy("bucket", "part").agg(F.min("own").alias("least"))
     mixed = parts.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     parts = kept_table(parts.join(mixed, "bucket"), "parts")
     meet = (
         parts.alias("x")
         .join(parts.alias("y"), "bucket")
-        .where((F.col("x.part") < F.col("y.part")) & _within_bound(F.col("x.least"), F.col("y.least"), threshold))
+        .where(
+            (F.col("x.part") < F.col("y.part"))
+            & _shares_within(F.col("x.least"), F.col("y.least"), threshold)
+            & _weights_within(*[tuple(F.col(f"{s}.{c}") for c in ("own", "total", "shared", "extra")) for s in "xy"], threshold)
+        )
         .select("bucket", F.col("x.part").alias("part_a"), F.col("y.part").alias("part_b"))
     )
-    side_a = placed.select("bucket", F.col("part").alias("part_a"), F.col("node").alias("a"), F.col("own").alias("own_a"))
-    side_b = placed.select("bucket", F.col("part").alias("part_b"), F.col("node").alias("b"), F.col("own").alias("own_b"))
+    side_a = placed.select("bucket", F.col("part").alias("part_a"), F.struct("node", *known).alias("a"))
+    side_b = placed.select("bucket", F.col("part").alias("part_b"), F.struct("node", *known).alias("b"))
     across = (
         meet.join(side_a, ["bucket", "part_a"])
         .join(side_b, ["bucket", "part_b"])
-        .where(_within_bound(F.col("own_a"), F.col("own_b"), threshold))
-        .select("a", "b")
+        .where(_within_bound("a", "b", threshold))
+        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
         .distinct()
     )
     more = kept_table(verified(across, texts, threshold), "links")
@@ -276,13 +328,19 @@ def near_duplicate_classes(
         labels = components(links.union(more))
 
     classes = nodes.select("print", "node").join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("class_id"))
-    return sketched.select("doc_id", "print").join(classes, "print", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")
+    return sketched.select("doc_id", "print").join(classes, "print", "left").select("doc_id", own)
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each class; repeated rows of it are left once."""
+    """``docs`` with the row of the smallest doc_id of each class; repeated rows of it are left once.
+
+    Rows without an id all stay.
+    """
     classes = near_duplicate_classes(docs, **parameters)
-    chosen = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = docs.join(chosen, "doc_id")
-    once = kept.where("_rows = 1").drop("_rows")
-    return once.union(kept.where("_rows > 1").dropDuplicates(["doc_id"]).drop("_rows")).select(docs.columns)
+    chosen = classes.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"))
+    # The whole row travels as one field, so no name of its columns can clash.
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    kept = rows.join(chosen, "id")
+    parts = [kept.where("n = 1"), kept.where("n > 1").dropDuplicates(["id"]), rows.where("id is null")]
+    return reduce(DataFrame.unionAll, [p.select("row") for p in parts]).select("row.*")
