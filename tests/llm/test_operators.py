@@ -341,6 +341,22 @@ def test_secrets(spark, small):
     assert secrets.secrets_digest(none_of(small)).count() == 0
 
 
+def test_random_secrets_of_any_length_are_novel():
+    rng = random.Random(7)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for symbols in ("0123456789ABCDEF", base64, base64[:62]):
+        for n in (24, 63, 64, 65, 96, 127, 256, 800, 1000, 4000):
+            keys = ["".join(rng.choices(symbols, k=n - 2)) + "7Q" for _ in range(20)]
+            found = [(16, 3, 16 + n) in secrets.find_in_text(f"the auth header {k} and") for k in keys]
+            assert sum(found) >= 19, (symbols, n)
+    hyphens = "-".join("".join(rng.choices("0123456789ABCDEF", k=4)) for _ in range(24))
+    assert secrets.find_in_text(f"license key {hyphens} x") == [(12, 3, 12 + len(hyphens))]
+    digits = "".join(rng.choices("ABCDEF", k=40)) + "4071" * 4 + "7Q" + "".join(rng.choices("0123456789ABCDEF", k=40))
+    assert secrets.find_in_text(f"the auth header {digits} and") == [(16, 3, 114), (56, 2, 73)]
+    known = "/".join(["https.www.example.com.api_key.user", "session.cookie.signature1", "client_secret.password"] * 8)
+    assert len(known) > 500 and secrets.find_in_text(f"the auth header {known} and") == []
+
+
 def brute_classes(docs):
     """doc_id -> smallest id of its class, by exact similarity over all pairs that share a shingle."""
     rows = [(i, t) for i, t in texts_of(docs) if i is not None]

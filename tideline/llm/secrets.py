@@ -21,9 +21,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")  # whole runs of [0-9a-f]+ with 16 or more characters
 KINDS = ["assign", "access", "hex", "novel"]
+_CODED = 64  # zstandard leaves fewer literals than this as they are
+_BEHIND = 1500  # so much of a long candidate is known to its next piece
 
 _SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|private|cookie|session|signature|login", re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+LEAST = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{LEAST},}}")
 _SHAPE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.DOTALL)
 IDENTIFIERS = (
     "import return class function public private static const string value config settings options default "
@@ -36,13 +39,32 @@ IDENTIFIERS = (
 
 
 def marginal_bytes(candidate: str, around: str) -> int:
-    """Bytes that the candidate adds to a frame primed with ``around`` and the identifiers."""
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + around.encode(errors="replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    """Bytes that the candidate adds to frames primed with ``around``, the identifiers and its own last characters.
+
+    It is measured in pieces of equal size under ``_CODED`` bytes: from there on zstandard also Huffman-codes what
+    it has not seen, and a random string over few symbols would cost less than its length.
+    """
     parameters = zstandard.ZstdCompressionParameters.from_level(
         3, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0
     )
-    frame = zstandard.ZstdCompressor(dict_data=primed, compression_params=parameters)
-    return len(frame.compress(candidate.encode())) - len(frame.compress(b""))
+    size = -(-len(candidate) // -(-len(candidate) // (_CODED - 1)))
+    added = 0
+    for at in range(0, len(candidate), size):
+        beside = f"{around} {candidate[max(0, at - _BEHIND) : at]}" if at else around
+        primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + beside.encode(errors="replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        frame = zstandard.ZstdCompressor(dict_data=primed, compression_params=parameters)
+        added += len(frame.compress(candidate[at : at + size].encode())) - len(frame.compress(b""))
+    return added
+
+
+def outside(text: str, start: int, stop: int, spans: list[tuple[int, int, int]], first: int) -> str:
+    """What the sorted spans from number ``first`` on leave of text[start:stop]."""
+    rest, at = [], start
+    while first < len(spans) and spans[first][0] < stop:
+        rest.append(text[at : max(at, spans[first][0])])
+        at = max(at, spans[first][2])
+        first += 1
+    return "".join([*rest, text[at:stop]])
 
 
 def find_in_text(text: str, novelty: float = 0.8, nearby: int = 48, around: int = 1500) -> list[tuple[int, int, int]]:
@@ -60,12 +82,13 @@ def find_in_text(text: str, novelty: float = 0.8, nearby: int = 48, around: int
         start, stop = m.span()
         while covered < len(spans) and spans[covered][2] <= start:
             covered += 1
-        if (covered < len(spans) and spans[covered][0] < stop) or not _SHAPE.match(m.group()):
+        rest = outside(text, start, stop, spans, covered)
+        if len(rest) < LEAST or not _SHAPE.match(rest):
             continue
         if not _SENSITIVE.search(text, max(0, start - nearby), start):
             continue
         beside = (text[max(0, start - around) : start] + " " + text[stop : stop + around]).replace(m.group(), " ")
-        if marginal_bytes(m.group(), beside) >= novelty * (stop - start):
+        if marginal_bytes(rest, beside) >= novelty * len(rest):
             novel.append((start, 3, stop))
     return sorted(spans + novel) if novel else spans
 
