@@ -224,6 +224,22 @@ def test_decoding_restores_disguised_words():
     assert restorer.spaced("x i d i o t yes") and restorer.decode("q" * 5000)
 
 
+def test_every_disguise_is_decoded():
+    text = "the moron and the idiot saw trash in a clown worthless hat so the loser is an ass " * 50
+    codes = toxicity._CLASS[[ord(c) for c in text]].astype(int)
+    counts = np.zeros((64, 64, 64))
+    np.add.at(counts, (codes[:-2], codes[1:-1], codes[2:]), 1)
+    restorer = toxicity.Restorer(counts)
+    for written, meant in {
+        "id!0t": "idiot", "1d!0t": "idiot", "tr@5h": "trash", "l0$3r": "loser", "idio7": "idiot", "idi07": "idiot", "a$$": "ass", "@$$": "ass", "455": "ass",
+        "(1d10t!),": "idiot", "1d10t!!": "idiot", "idioot": "idiot", "m_0_r_0_n": "moron", "$$t.r.a$h": "trash", "IDI07": "idiot",
+    }.items():
+        assert meant in restorer.words(written), written
+    for written in ("i d i 0 t", "1 D 1 0 7", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i  d  i  o  t", "a\u3000s\u3000s", "@ $ $", "so h a t  i d i o t", "t h e\ni d i o t", "x | i d i o t | x"):
+        assert {"idiot", "ass"} & set(restorer.spaced(written)), written
+    assert restorer.spaced("a b cd e f") == [] and restorer.words("hat,") == ["hat"]
+
+
 def base_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     count, at, seen, dup = Counter(zip(words, words[1:], words[2:])), set(), set(), 0

@@ -1,7 +1,7 @@
 """Toxicity scores of texts restored by noisy-channel decoding.
 
 A character model counted over all documents and a channel of leetspeak, separators and repetition span a
-lattice over each suspicious chunk; Viterbi decoding restores it. Restored words and their beginnings feed a
+lattice over each chunk that is not a plain word; Viterbi decoding restores it. Restored words and their beginnings feed a
 logistic model learned from labelled documents.
 """
 
@@ -28,9 +28,12 @@ LEET = {
 }
 _LETTER = r"[^\W\d_]"
 _WORD = re.compile(rf"{_LETTER}+")
-_SUSPICIOUS = re.compile(rf"{_LETTER}[^\w\s]+{_LETTER}|{_LETTER}[\d_]+{_LETTER}|(?<!\w)[\d@$!|+€(]+{_LETTER}{{2}}|({_LETTER})\1\1")
-_SPACED = re.compile(rf"(?<!\S){_LETTER}(?: {_LETTER}){{3,}}(?!\S)")
-_EDGES = re.compile(r"[^\w@$!|+€(]+|[\W_]+$")
+_SIGNS = re.escape("".join(c for c in LEET if not c.isdigit()))
+_REPEATED = re.compile(rf"({_LETTER})\1")
+_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[{_SIGNS}])(?:\s+(?:[^\W_]|[{_SIGNS}])){{2,}}(?!\S)")
+_GAP = re.compile(r"\s+")
+_SEPARATORS = re.compile(rf"[^\w{_SIGNS}]+|_+")
+_HEAD, _TAIL = re.compile(r"^[\W_]+"), re.compile(r"[\W_]+$")
 
 #: Classes of the character model: 0 for everything between words, a-z, and the letters of Latin-1.
 _CLASS = np.zeros(0x110000, dtype=np.uint8)
@@ -76,8 +79,11 @@ class Restorer:
         backed = 4.0 * single / single.sum()
         self.cost = -np.log((self.trigrams + backed) / (pair + 4.0)).astype(np.float32)
 
-    def decode(self, token: str) -> str:
-        """The cheapest reading of a lower-cased token: each place emits a letter, a letter it stands for, or nothing."""
+    def decode(self, token: str, keep: bool = False) -> str:
+        """The cheapest reading of a lower-cased token: each place emits a letter, a letter it stands for, or nothing.
+
+        With ``keep`` every sign that may stand for a letter does.
+        """
         # state: last two classes -> (cost, last letter, back pointer)
         paths: dict[tuple[int, int], tuple[float, str, tuple | None]] = {(0, 0): (0.0, "", None)}
         before, run = "", 0
@@ -86,7 +92,7 @@ class Restorer:
             before = c
             letters = [(c, 0.0)] if c.isalpha() else [(x, self.leet_cost) for x in LEET.get(c, "")]
             if not c.isalpha():
-                skip = self.drop_cost if c in LEET else 0.2
+                skip = 0.2 if c not in LEET else None if keep else self.drop_cost
             else:
                 skip = None if run == 1 else self.double_cost if run == 2 else self.repeat_cost
             new: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
@@ -110,21 +116,40 @@ class Restorer:
             best = best[2]
         return "".join(reversed(out))
 
+    def readings(self, written: str) -> list[str]:
+        """The cheapest reading, and the one without signs thrown in: short words are cheaper to drop than to restore."""
+        keep = any(map(LEET.__contains__, written))
+        return list(dict.fromkeys(filter(None, [self.decode(written), self.decode(written, True) if keep else ""])))
+
     def words(self, chunk: str) -> list[str]:
-        """Words of a chunk as written, and the decoded one where it looks disguised."""
+        """Words of a chunk as written, and its decoded readings: signs at the ends may be letters or punctuation."""
         low = chunk.lower()
-        if low.isalpha() and not _SUSPICIOUS.search(low):
+        if low.isalpha() and not _REPEATED.search(low):
             return [low]
         found = _WORD.findall(low)
-        if found and _SUSPICIOUS.search(low):
-            restored = self.decode(_EDGES.sub("", low) or low)
-            if restored and restored not in found:
-                found.append(restored)
+        inner = _SEPARATORS.sub("", low)
+        for written in dict.fromkeys([inner, _HEAD.sub("", inner), _TAIL.sub("", inner), _HEAD.sub("", _TAIL.sub("", inner))]):
+            if len(written) > 1 and (written not in found or _REPEATED.search(written)):
+                found += [x for x in self.readings(written) if x not in found]
         return found
 
     def spaced(self, text: str) -> list[str]:
-        """Words written letter by letter."""
-        return [self.decode(m.group().lower().replace(" ", "")) for m in _SPACED.finditer(text)]
+        """Words written letter by letter: whole runs, and their parts between signs and between wider gaps."""
+        found = []
+        for m in _SPACED.finditer(text):
+            letters, gaps = _GAP.split(m.group().lower()), _GAP.findall(m.group())
+            widths = [("\n" in g, g.strip(" ") != "", len(g)) for g in gaps]
+            places = {}
+            for start, stop in [(0, len(letters)), *(x.span() for x in _WORD.finditer("".join(x[0] for x in letters)))]:
+                for widest in set(widths[start : stop - 1]):
+                    at = start
+                    for k in range(start + 1, stop + 1):
+                        if k == stop or widths[k - 1] > widest:
+                            if k - at > 2:
+                                places[at, k] = 0
+                            at = k
+            found += [x for at, k in sorted(places) for x in self.readings("".join(letters[at:k]))]
+        return found
 
 
 def features_of(word: str) -> list[str]:
