@@ -1,12 +1,13 @@
 """Secrets by patterns and by dictionary-primed zstandard novelty.
 
-Beside the base patterns, long strings after a sensitive word are measured: how many bytes does one add to a
+Beside the base patterns, long strings near a sensitive word or next to a found secret are measured: how many bytes does one add to a
 zstandard frame whose dictionary holds the code around it and common identifiers? Words and identifiers that
 occur nearby cost little; a random string costs about its own length and is reported.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -28,6 +29,8 @@ _SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|priva
 LEAST = 16
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{LEAST},}}")
 _SHAPE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.DOTALL)
+_BETWEEN = re.compile(r"(?:\\[nrt]|[\W_])*+")  # white space, quotes and separators, also as escapes
+_TAIL = re.compile(r"(?:\\[nrt]|[\W_])*+([A-Za-z0-9+/=]+)(?:\\[nrt]|[^\w-])*+-----END")  # a key's last line
 IDENTIFIERS = (
     "import return class function public private static const string value config settings options default "
     "request response header headers content application json authorization bearer basic username password "
@@ -76,20 +79,48 @@ def find_in_text(text: str, novelty: float = 0.8, nearby: int = 48, around: int
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     spans.sort()
-    novel = []
+    held = []  # of each candidate: its place, what the base spans leave of it, whether it is in a sensitive context
     covered = 0
     for m in _CANDIDATE.finditer(text):
         start, stop = m.span()
         while covered < len(spans) and spans[covered][2] <= start:
             covered += 1
-        rest = outside(text, start, stop, spans, covered)
-        if len(rest) < LEAST or not _SHAPE.match(rest):
-            continue
-        if not _SENSITIVE.search(text, max(0, start - nearby), start):
-            continue
-        beside = (text[max(0, start - around) : start] + " " + text[stop : stop + around]).replace(m.group(), " ")
-        if marginal_bytes(rest, beside) >= novelty * len(rest):
+        assigned = covered < len(spans) and spans[covered][0] < stop and spans[covered][1] < 2
+        following = bisect.bisect_left(spans, (stop,))  # a word that begins the next span speaks of that one
+        after = min(stop + nearby, spans[following][0]) if following < len(spans) else stop + nearby
+        sensitive = assigned or _SENSITIVE.search(text, max(0, start - nearby), start) or _SENSITIVE.search(text, stop, after)
+        held.append((start, stop, outside(text, start, stop, spans, covered), bool(sensitive)))
+    if not any(c[3] for c in held):
+        return spans
+
+    def is_novel(start: int, stop: int, rest: str) -> bool:
+        beside = (text[max(0, start - around) : start] + " " + text[stop : stop + around]).replace(text[start:stop], " ")
+        return marginal_bytes(rest, beside) >= novelty * len(rest)
+
+    # A secret may go over several candidates: those beside a found one are in its context, to either side.
+    found: list[bool | None] = [None] * len(held)
+    for way in (1, -1):
+        before = None
+        for k in range(len(held))[::way]:
+            start, stop, rest, sensitive = held[k]
+            carried = alike = False
+            if before is not None and found[before]:
+                first, second = sorted((held[before][:2], (start, stop)))
+                carried = _BETWEEN.fullmatch(text, first[1], second[0]) is not None
+                alike = carried and first[1] - first[0] == second[1] - second[0]  # lines of one width
+            before = k
+            if found[k] is not None or not (sensitive or carried):
+                continue
+            if len(rest) < LEAST:
+                found[k] = True  # the base spans have it
+            elif alike or _SHAPE.match(rest):
+                found[k] = is_novel(start, stop, rest)
+    novel = []
+    for (start, stop, rest, _), hit in zip(held, found):
+        if hit and len(rest) >= LEAST:
             novel.append((start, 3, stop))
+        if hit and (tail := _TAIL.match(text, stop)) and tail.end(1) - tail.start(1) < LEAST:
+            novel.append((tail.start(1), 3, tail.end(1)))
     return sorted(spans + novel) if novel else spans
 
 
