@@ -13,6 +13,7 @@ from tideline.llm.pii import pii_digest
 from tideline.llm.probminhash import near_duplicate_classes
 from tideline.llm.quality import quality_verdicts
 from tideline.llm.secrets import secrets_digest
+from tideline.llm.spelling import spelling_variants
 from tideline.llm.token_counts import token_counts
 from tideline.llm.toxicity import toxicity_scores
 from tideline.llm.url_filters import RULES, judge_urls
@@ -64,6 +65,10 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -75,4 +80,5 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
     "op10_probminhash": op10_probminhash,
+    "op11_spelling": op11_spelling,
 }
