@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.alignment import alignment_digests
 from tideline.llm.bpe import encoded_digests
 from tideline.llm.frames import table
 from tideline.llm.neighbours import nearest_neighbours
@@ -15,12 +16,14 @@ from tideline.llm.quality import quality_verdicts
 from tideline.llm.secrets import secrets_digest
 from tideline.llm.spelling import spelling_variants
 from tideline.llm.token_counts import token_counts
+from tideline.llm.token_store import stored_digests
 from tideline.llm.toxicity import toxicity_scores
 from tideline.llm.url_filters import RULES, judge_urls
 from tideline.session import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +72,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(prepare(spark), sf_dir, "documents"))
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_digests(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return alignment_digests(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -81,4 +93,6 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_probminhash": op10_probminhash,
     "op11_spelling": op11_spelling,
+    "op12_token_store": op12_token_store,
+    "op13_alignment": op13_alignment,
 }
