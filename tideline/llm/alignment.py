@@ -22,7 +22,7 @@ from tideline.llm.frames import id_and_text, kept_table, map_arrow
 from tideline.llm.library_ids import library_ids
 
 # Characters that are tokenized and aligned at once.
-_CHARS = 1_000_000
+_CHARS = 300_000
 
 
 def byte_level_tokens(path: str) -> list[bytes]:

@@ -73,6 +73,32 @@ class Cache(dict):
         return [k for k in fresh if k not in self] if found else list(fresh)
 
 
+    def values(self, rows: list[list[str]]) -> tuple[list[list], list[list[int]], list[str]]:
+        """Values of each row with None where one is not known, the places of these, and the keys without a value.
+
+        Each key is looked up once. Once the caller has put the missing values in, ``fill`` completes the rows.
+        """
+        if Cache._reading != self.owner:
+            self._claim()
+        if len(self) > self.bound:
+            self.older = dict(self)
+            self.clear()
+        get = self.get
+        got = [list(map(get, row)) for row in rows]
+        holes = [[i for i, x in enumerate(g) if x is None] for g in got]
+        fresh = {row[i] for row, at in zip(rows, holes) for i in at}
+        if self.older:
+            found = {k: v for k in fresh if (v := self.older.get(k)) is not None}
+            self.update(found)
+            fresh -= found.keys()
+        return got, holes, list(fresh)
+
+    def fill(self, rows: list[list[str]], got: list[list], holes: list[list[int]]) -> None:
+        for row, g, at in zip(rows, got, holes):
+            for i in at:
+                g[i] = self[row[i]]
+
+
 def text_slices(texts: list[str], chars: int = 2_000_000):
     """Consecutive texts of about ``chars`` characters together, so a batch never grows with the rows."""
     start, held = 0, 0

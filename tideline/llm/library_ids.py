@@ -7,16 +7,25 @@ pre-tokens a few, and only pre-tokens that a worker has never met go to the libr
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from array import array
 
-from tideline.llm.chunks import BEYOND_LATIN, LETTERS, NUMBERS, SPACES, Cache, chunks, spaced_chunks, text_slices
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tideline.llm.chunks import BEYOND_LATIN, LETTERS, NUMBERS, SPACES, Cache, byte_alphabet, chunks, spaced_chunks, text_slices
 
 # The split patterns of the published files, for a chunk below U+0180.
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
-_WORD = re.compile(f"{_ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+_WORD = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|{_ENDINGS}|[^{LETTERS}{NUMBERS}]+")
 _SPACED = re.compile(f"{_ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+")
+# Text that is cut at once.
+_SLICE_BYTES = 12_000_000
+# Signs that often end a chunk; together they are one pre-token.
+_STOPS = ".,;:!?#*$%&|<>()[]\"-"
 
 
 class LibraryIds:
@@ -37,16 +46,30 @@ class LibraryIds:
         found = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, found)) + ")") if specials and found else None
         self.spaced, self.chunks = spaced, spaced_chunks if spaced else chunks
-        self.cache, self.words = Cache(owner, 400_000), Cache(owner, 400_000)
-
-    def _encoded(self, strings: list[str]) -> list[bytes]:
-        return [array("I", got.ids).tobytes() for got in self.library.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def _split(self, chunk: str) -> list[str]:
-        """Pre-tokens of a chunk; one that the pattern does not cover stays whole, for the library to split."""
-        if BEYOND_LATIN.search(chunk) or (self.special and self.special.fullmatch(chunk)):
-            return [chunk]
-        return _SPACED.findall(chunk) if self.spaced else _WORD.findall(chunk.lower())
+        self.cache, self.words = Cache(owner, 250_000), Cache(owner, 300_000)
+        self.model, self.byte = self.library.model, byte_alphabet()
+        # Caches hold many small objects and no circles, which frequent collections would walk for nothing.
+        gc.set_threshold(500_000, 20, 50)
+
+    def _split(self, chunk: str) -> str | list[str] | None:
+        """The pre-token that a chunk is, or its pre-tokens; none for one that goes to the library as it is."""
+        if not chunk.isascii() and BEYOND_LATIN.search(chunk) or (self.special and "<|" in chunk and self.special.fullmatch(chunk)):
+            return None
+        if self.spaced:
+            return _SPACED.findall(chunk)
+        lower = chunk.lower()
+        if lower.isalpha():
+            return lower
+        word = lower.rstrip(_STOPS)
+        return [word, lower[len(word) :]] if word.isalpha() else _WORD.findall(lower)
+
+    def _merged(self, word: str) -> bytes:
+        """Ids of a pre-token by the library's model alone, which takes the byte alphabet."""
+        if word.isascii() and word.isprintable():
+            word = word.replace(" ", self.byte[32])
+        else:
+            word = "".join([self.byte[b] for b in word.encode()])
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _cut(self, text: str) -> list[str]:
         if self.special and "<|" in text and self.special.search(text):
@@ -54,18 +77,72 @@ class LibraryIds:
             return [c for i, s in enumerate(self.special.split(text)) for c in ([s] if i % 2 else self.chunks(s))]
         return self.chunks(text)
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of chunks that are not known yet."""
+        split = list(map(self._split, chunks))
+        whole = [c for c, words in zip(chunks, split) if words is None]
+        for c, got in zip(whole, self.library.encode_batch_fast(whole, add_special_tokens=False)):
+            self.cache[c] = array("I", got.ids).tobytes()
+        words: list[str] = []
+        for row in split:
+            if type(row) is str:
+                words.append(row)
+            elif row is not None:
+                words += row
+        (got,), (holes,), fresh = self.words.values([words])
+        self.words.update((w, self._merged(w)) for w in fresh)
+        self.words.fill([words], [got], [holes])
+        at, cache = 0, self.cache
+        for c, row in zip(chunks, split):
+            if type(row) is str:
+                cache[c] = got[at]
+                at += 1
+            elif row is not None:
+                cache[c] = b"".join(got[at : at + len(row)])
+                at += len(row)
+
     def of(self, texts: list[str]):
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        for _, part in text_slices(texts):
-            cut = [self._cut(text) for text in part]
-            missing = self.cache.missing(cut)
-            split = [self._split(c) for c in missing]
-            words = self.words.missing(split)
-            self.words.update(zip(words, self._encoded(words)))
-            ids = self.words
-            self.cache.update((c, ids[row[0]] if len(row) == 1 else b"".join([ids[w] for w in row])) for c, row in zip(missing, split))
-            for row in cut:
-                yield b"".join(map(self.cache.__getitem__, row))
+        for _, part in text_slices(texts, 500_000):
+            rows = [self._cut(text) for text in part]
+            got, holes, fresh = self.cache.values(rows)
+            self._learn(fresh)
+            self.cache.fill(rows, got, holes)
+            yield from map(b"".join, got)
+
+    def of_column(self, texts: pa.StringArray):
+        """``of`` for an Arrow column without nulls: chunks are cut and told apart by Arrow, so each is looked up once a slice."""
+        if self.spaced:
+            yield from self.of(texts.to_pylist())
+            return
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 8)
+        start = 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + _SLICE_BYTES)))
+            yield from self._of_slice(texts.slice(start, stop - start))
+            start = stop
+
+    def _of_slice(self, texts: pa.StringArray):
+        # Arrow also cuts at the four separator controls, and knows no special strings.
+        odd = pc.match_substring_regex(texts, "[\\x1c-\\x1f]|<\\|").to_numpy(zero_copy_only=False)
+        rows = pc.utf8_split_whitespace(texts)
+        told = rows.flatten().dictionary_encode()
+        strings = told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        (got,), (holes,), fresh = self.cache.values([strings])
+        self._learn(fresh)
+        self.cache.fill([strings], [got], [holes])
+        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
+        pool = np.frombuffer(b"".join(got), dtype="<u4")
+        which = told.indices.to_numpy()
+        n = sizes[which]
+        ends = np.cumsum(n)
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - n), n)
+        place += np.arange(len(place))
+        raw = memoryview(pool[place].tobytes())
+        cuts = rows.offsets.to_numpy()
+        at = (4 * np.r_[0, ends][cuts - cuts[0]]).tolist()
+        for k, special in enumerate(odd.tolist()):
+            yield next(self.of([texts[k].as_py()])) if special else bytes(raw[at[k] : at[k + 1]])
 
 
 @functools.cache

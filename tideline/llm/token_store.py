@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.frames import id_and_text
+from tideline.llm.frames import id_and_text, kept_table, map_arrow
 from tideline.llm.library_ids import library_ids
 from tideline.operators.joins import join_small
 from tideline.session import new_folder
@@ -39,7 +39,7 @@ from tideline.session import new_folder
 _TAIL = "<8sIIQQ"  # magic, version, bytes an id, documents, ids
 _MAGIC, _INDEX_MAGIC = b"TLIDS\0\0\1", b"TLMPH\0\0\1"
 _LEVELS, _BITS_PER_KEY = 32, 2
-# Text that one shard is meant to hold, and keys of one index segment.
+# Ids that one shard is meant to hold, and keys of one index segment.
 SHARD_BYTES, SEGMENT_KEYS = 64 << 20, 32_000
 _READ_AT_ONCE = 8 << 20
 
@@ -248,30 +248,44 @@ class Shard:
 _RUNS = "absent boolean, key long, shard int, record long, docs long, offset long, length long, ids long, hash long"
 
 
-def _write_shards(docs: DataFrame, tokenizer_path: str, root: str, shard_bytes: int, end_id: int) -> DataFrame:
+def _encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """doc_id and ids, 2 or 4 bytes each, of each row, the end id included."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        coder = library_ids(tokenizer_path, "store")
+        wide = _width(coder.library.get_vocab_size(), end_id) == 4
+        end = struct.pack("<I", end_id)
+        raw = [x + end if wide else np.frombuffer(x + end, "<u4").astype("<u2").tobytes() for x in coder.of_column(batch.column(1))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+
+    return map_arrow(id_and_text(docs), step, "doc_id long, ids binary")
+
+
+def _width(vocabulary: int, end_id: int) -> int:
+    """Bytes of an id in the files."""
+    return 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
+
+
+def _write_shards(encoded: DataFrame, width: int, root: str, shard_bytes: int) -> DataFrame:
     """Writes the shards, one task each, and returns the runs of equal keys in them."""
-    texts = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"), "text")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / shard_bytes))
+    size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    shards = max(encoded.sparkSession.sparkContext.defaultParallelism, math.ceil(size / shard_bytes))
     # Equal keys, and even equal rows, can go to several shards, so none grows with a hot key.
     order = ["doc_id", "tie", "row"]
-    ordered = texts.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    placed = encoded.select("doc_id", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("row"), "ids")
+    ordered = placed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "ids")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = library_ids(tokenizer_path, "store")
-        width = 2 if max(coder.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        end, number = struct.pack("<I", end_id), TaskContext.get().partitionId()
+        number = TaskContext.get().partitionId()
         keys: list[int | None] = []
         lengths = array("q")
 
         def parts() -> Iterator[bytes]:
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                for key, raw in zip(ids, coder.of(batch.column(1).to_pylist())):
-                    raw += end
-                    keys.append(key)
-                    lengths.append(len(raw) // 4)
-                    yield raw if width == 4 else np.frombuffer(raw, "<u4").astype("<u2").tobytes()
+                keys.extend(batch.column(0).to_pylist())
+                for raw in batch.column(1).to_pylist():
+                    lengths.append(len(raw) // width)
+                    yield raw
             ends = np.cumsum(np.frombuffer(lengths, dtype=np.int64)) if lengths else np.zeros(0, dtype=np.int64)
             yield ends.astype("<u8").tobytes()
             yield np.array([k or 0 for k in keys], dtype="<i8").tobytes()
@@ -412,7 +426,10 @@ def write_store(
     """
     spark = docs.sparkSession
     root = root or new_folder(spark, "tokens")
-    _write_shards(docs, tokenizer_path, root, shard_bytes, end_id).write.parquet(f"{root}/runs")
+    # Encoded once; sampling key ranges, and a retried shard, read the ids.
+    encoded = kept_table(_encoded(docs, tokenizer_path, end_id), "encoded")
+    width = _width(library_ids(tokenizer_path, "store").library.get_vocab_size(), end_id)
+    _write_shards(encoded, width, root, shard_bytes).write.parquet(f"{root}/runs")
     runs = spark.read.schema(_RUNS).parquet(f"{root}/runs")
     _starts(runs).write.parquet(f"{root}/totals")
     segments = max(1, math.ceil(runs.where("not absent").count() / segment_keys))
