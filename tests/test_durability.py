@@ -110,7 +110,7 @@ def test_kafka_rebuild_asks_for_every_record(spark, monkeypatch):
 
 def test_progress_outlives_the_query(spark):
     log = Arriving(spark, SF_SMALL)
-    progress = ProgressLog(spark, f"{log.root}/progress", lines=2)
+    progress = ProgressLog(spark, f"{log.root}/progress", together=2)
     try:
         log.apply_parts()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()

@@ -151,3 +151,68 @@ def test_stages(spark, target, injected, log_rate, stage):
 def test_sustained_floor(spark):
     row = spark.range(1).select(sustained_target(F.lit(None).cast("double")).alias("a"), sustained_target(F.lit(99.9)).alias("b")).first()
     assert (row.a, row.b) == (50, 79)
+
+
+def test_rates_forget_infinite_and_wide_readings(spark):
+    """What has left the window leaves no trace: nothing is subtracted from a running sum."""
+    begin = datetime(2024, 1, 1)
+    inf, nan = float("inf"), float("nan")
+    values = {"inf": [1.0, 2.0, inf, 3.0, 4.0, inf, inf, 5.0, 6.0, 7.0, 8.0], "nan": [1.0, nan, 3.0, 4.0, 5.0, 6.0], "wide": [1e17, 2e17, 1.0, 2.0, 3.0, 4.0, 5.0]}
+    rows = [(f"{n}{i}", n, begin + timedelta(seconds=6 * i), v) for n, vs in values.items() for i, v in enumerate(vs)]
+    rows += [(f"none{i}", None, begin + timedelta(seconds=i), float(i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, name string, ts timestamp_ntz, v double").repartition(4)
+    for chunk_seconds in (3, 10, 1000):
+        got = {r.k: r.rate for r in series.trailing_rate(df, 10, value="v", tie="k", chunk_seconds=chunk_seconds).collect()}
+        assert len(got) == len(rows)
+        assert got["inf2"] == inf and got["inf6"] == inf
+        assert got["inf4"] == pytest.approx((3 + 1) / 10) and got["inf9"] == got["inf10"] == pytest.approx(2 / 10)
+        assert got["nan1"] != got["nan1"] and got["nan5"] == pytest.approx(2 / 10)
+        assert got["wide6"] == pytest.approx(2 / 10)
+        assert got["none3"] == pytest.approx(3 / 10)
+
+
+def brute_extrapolated(points, seconds):
+    """The published rule, reading by reading."""
+    points, out = sorted(points), {}
+    for i, (ts, key, _) in enumerate(points):
+        inside = [p for p in points if ts - timedelta(seconds=seconds) <= p[0] <= ts]
+        rise = sum(b[2] if b[2] < a[2] else b[2] - a[2] for a, b in zip(inside, inside[1:]))
+        sampled = (inside[-1][0] - inside[0][0]).total_seconds()
+        if len(inside) < 2 or not sampled:
+            out[key] = None
+            continue
+        gap = sampled / (len(inside) - 1)
+        to_start = (inside[0][0] - (ts - timedelta(seconds=seconds))).total_seconds()
+        fill = gap / 2 if to_start >= gap * 1.1 else to_start
+        if rise > 0 and inside[0][2] >= 0:
+            fill = min(fill, sampled * inside[0][2] / rise)
+        out[key] = rise * (sampled + fill) / sampled / seconds
+    return out
+
+
+@pytest.mark.parametrize("chunk_seconds", [7, 30, 100])
+def test_extrapolated_rates(spark, chunk_seconds):
+    rng = random.Random(chunk_seconds + 1)
+    begin, rows, key = datetime(2024, 1, 1), [], 0
+    for name, n, gap in (("hot", 300, 3), ("sparse", 60, 40), ("single", 1, 1)):
+        at, value = begin, rng.randint(0, 3)
+        for _ in range(n):
+            at += timedelta(milliseconds=rng.randint(1, gap * 1000))
+            value = 0 if rng.random() < 0.05 else value + rng.randint(0, 9)
+            rows.append((key, name, at, value))
+            key += 1
+    df = spark.createDataFrame(rows, "k int, name string, ts timestamp_ntz, value bigint").repartition(8)
+    got = {r.k: r.rate for r in series.extrapolated_rate(df, 30, tie="k", chunk_seconds=chunk_seconds).collect()}
+    want = {}
+    for name in ("hot", "sparse", "single"):
+        want |= brute_extrapolated([(ts, k, v) for k, n, ts, v in rows if n == name], 30)
+    assert set(got) == set(want)
+    assert all((got[k] is None) == (want[k] is None) and (want[k] is None or abs(got[k] - want[k]) < 1e-9) for k in want)
+
+
+def test_rates_shuffle_readings_once(spark, capsys):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1), 1)], "name string, ts timestamp_ntz, value bigint")
+    series.trailing_rate(df, 30, chunk_seconds=30).explain()
+    plan = capsys.readouterr().out
+    # The readings and, far smaller, the last value of each chunk and what it carries over.
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange") <= 4

@@ -41,8 +41,10 @@ def test_restart_retry_and_fold(spark):
     log.arrive("u")
     stop = StopOnce(1)
     with pytest.raises(Exception, match="stopped half-way"):
-        log.apply(ChangeSink(log.tables, after_documents=stop))
-    assert log.tables.deltas.batch_ids() == [0] and log.tables.latest.batch_ids() == [0, 1]
+        log.apply(ChangeSink(log.tables, after_write=stop))
+    # What the failed batch wrote is there, and counts in no table.
+    assert (0, 1) in log.tables.latest._written()
+    assert log.tables.deltas.batch_ids() == [0] and log.tables.latest.batch_ids() == [0]
     log.apply()
     assert log.tables.latest.fold() == 1 and log.tables.latest.fold() is None
     log.arrive("d")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,15 +133,27 @@ def orphans(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return orders.where(F.col("customer_id").isNotNull()).join(known, ["customer_id"], "left_anti")
 
 
+def newest_wins(state: DataFrame, newest: DataFrame, keys: list[str] = KEYS) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``state`` that stay, rows of ``newest`` that count); together the last change of each key.
+
+    Both have one row per key. ``newest`` is broadcast, so ``state`` passes without a shuffle: once with all its
+    columns, once with keys and order to find late changes that are older than what is stored. Rows are settled by
+    order, so it does not matter which side a change came in.
+    """
+    sent = F.broadcast(newest.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("ord").alias("_ord")))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
+    kept = state.join(sent, same & (F.col("ord") <= F.col("_ord")), "left_anti")
+    later = state.select(*keys, "ord").join(sent, same & (F.col("ord") > F.col("_ord")), "left_semi").select(*keys)
+    return kept, newest.join(F.broadcast(later), keys, "left_anti")
+
+
 def merge_latest(state: DataFrame, newest: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Fold new changes into a state; both have one row per key and keep delete marks.
 
-    While the touched keys are few, rows of untouched ones pass through without a shuffle.
-    Touched keys are settled by order, so a late older change never wins.
+    While the touched keys are few, rows of the state pass through without a shuffle; with very many it is one shuffle.
     """
-    touched = cut_lineage(newest.select(*keys))
-    if touched.count() > MAX_BROADCAST_ROWS:
+    newest = cut_lineage(newest)
+    if newest.count() > MAX_BROADCAST_ROWS:
         return latest_per_key(state.unionByName(newest), keys=keys)
-    kept = state.join(F.broadcast(touched), keys, "left_anti")
-    met = state.join(F.broadcast(touched), keys, "left_semi")
-    return kept.unionByName(latest_per_key(met.unionByName(newest), keys=keys))
+    kept, fresh = newest_wins(state, newest, keys)
+    return kept.unionByName(fresh)

@@ -30,50 +30,166 @@ def chunk_for(readings: DataFrame, name: str = "name", ts: str = "ts") -> int:
     return int(min(max(1, CHUNK_ROWS // busiest) * STEP_SECONDS, MAX_CHUNK_SECONDS))
 
 
+def _chunks_per_window(seconds: int, chunk_seconds: int) -> int:
+    """Least number of equal chunks of whole microseconds, of at most ``chunk_seconds``, that make up a window."""
+    k = -(-seconds // chunk_seconds)
+    while seconds * MICROS % k:
+        k += 1
+    return k
+
+
+def _windows(readings: DataFrame, seconds: int, name: str, ts: str, value: str, tie: str | None, chunk_seconds: int | None) -> DataFrame:
+    """Each reading with what its trailing window of ``seconds`` holds, both edges included.
+
+    ``total``: the sum of all rises; ``after``: without that of the first reading; ``n``, ``first_us``,
+    ``first_value``. A reading below the one before is a restart, whose rise is the reading itself.
+
+    Time is cut into chunks, ``k`` of which make up a window. A window then is the end of the chunk ``k`` before,
+    the whole chunks between, and the start of its own chunk. Each chunk is therefore also sent ``k`` chunks on,
+    its times moved by a window: there a running sum from the last time back meets the running sum from the first
+    time on. Sums are only ever added to, so an infinite or very large reading counts as long as it is in the
+    window and leaves no trace afterwards. The readings are shuffled once, by series and chunk.
+    """
+    k = _chunks_per_window(seconds, min(seconds, chunk_seconds or chunk_for(readings, name, ts)))
+    chunk_us = seconds * MICROS // k
+    # A series without a name is one too, and joins would lose a key that is null.
+    keys = ["series", "chunk"]
+    known = readings.where(F.col(value).isNotNull()).select(
+        F.struct(F.col(name).alias("name")).alias("series"), F.col(ts).alias("ts"), F.col(value).alias("v"), (F.col(tie) if tie else F.lit(0)).alias("tie"), micros(F.col(ts)).alias("us")
+    ).withColumn("chunk", F.floor(F.col("us") / chunk_us).cast("bigint"))
+
+    # One row per series and chunk: small enough to look back over the whole series.
+    ends = known.groupBy(*keys).agg(F.max_by("v", F.struct("us", "tie")).alias("ended"))
+    by_series = Window.partitionBy("series").orderBy("chunk")
+    carried = ends.select(*keys, F.lag("ended").over(by_series).alias("carried"))
+    sides = F.array(F.struct(F.col("chunk"), F.lit(False).alias("old")), F.struct((F.col("chunk") + k).alias("chunk"), F.lit(True).alias("old")))
+    met = carried.select("series", "carried", F.inline(sides)).groupBy(*keys).agg(
+        F.max(F.when(~F.col("old"), F.struct("carried"))).alias("now"), F.max(F.when(F.col("old"), F.struct("carried"))).alias("then")
+    )
+
+    now = F.struct(F.col("chunk"), F.lit(False).alias("old"), F.col("us").alias("at"))
+    then = F.struct((F.col("chunk") + k).alias("chunk"), F.lit(True).alias("old"), (F.col("us") + seconds * MICROS).alias("at"))
+    # Dealt out before the join, so that the small side is the one that comes to the readings.
+    dealt = known.select("series", "ts", "v", "tie", "us", F.inline(F.array(now, then))).repartition(*keys).join(met, keys)
+    within = Window.partitionBy(*keys, "old").orderBy("us", "tie")
+    previous = F.lag("v").over(within)
+    before = F.when(F.row_number().over(within) > 1, previous).otherwise(F.when(F.col("old"), F.col("then.carried")).otherwise(F.col("now.carried")))
+    rises = dealt.withColumn("before", before).withColumn("first", F.row_number().over(within) == 1).withColumn(
+        "rise",
+        F.when(F.col("before").isNull() | (F.col("v") == F.col("before")), F.lit(0)).when(F.col("v") < F.col("before"), F.col("v")).otherwise(F.col("v") - F.col("before")),
+    )
+    later = Window.partitionBy(*keys, "old").orderBy(F.desc("us"), F.desc("tie")).rowsBetween(Window.unboundedPreceding, -1)
+    rises = rises.withColumn("later", F.when(F.col("old"), F.sum("rise").over(later)))
+
+    def if_old(x: Column) -> Column:
+        return F.when(F.col("old"), x)
+
+    def if_now(x: Column) -> Column:
+        return F.when(~F.col("old"), x)
+
+    back = Window.partitionBy(*keys).orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0)
+    on = Window.partitionBy(*keys).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    seen = rises.select(
+        *keys, "ts", "v", "tie", "us", "old", "rise", "first",
+        F.struct(
+            F.count(if_old(F.lit(1))).over(back).alias("n"),
+            F.sum(if_old(F.col("rise"))).over(back).alias("total"),
+            F.min(if_old(F.struct("us", "tie", "v", "later"))).over(back).alias("first"),
+        ).alias("tail"),
+        F.struct(
+            F.count(if_now(F.lit(1))).over(on).alias("n"),
+            F.sum(if_now(F.col("rise"))).over(on).alias("total"),
+            F.sum(if_now(F.when(~F.col("first"), F.col("rise")))).over(on).alias("after"),
+            F.min(if_now(F.struct("us", "tie", "v"))).over(on).alias("first"),
+        ).alias("head"),
+    )
+    rows = seen.where("not old")
+    zero = F.lit(0)
+    if k > 1:
+        # What lies between, from one row per chunk: the chunks in order, so that the first one's first rise can be left out.
+        whole = rises.where("not old").groupBy(*keys).agg(
+            F.count("*").alias("n"), F.sum("rise").alias("total"), F.sum(F.when(~F.col("first"), F.col("rise"))).alias("after"),
+            F.min(F.struct("us", "tie", "v")).alias("first"),
+        )
+        between = Window.partitionBy("series").orderBy("chunk").rangeBetween(-(k - 1), -1)
+        listed = whole.select(*keys, F.array_sort(F.collect_list(F.struct("chunk", "n", "total", "after", "first")).over(between)).alias("mid"))
+        rows = rows.join(listed, keys)
+        mid = F.col("mid")
+        number = F.aggregate(mid, F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+        whole_sum = F.when(F.size(mid) > 0, F.aggregate(F.slice(mid, 2, F.greatest(F.size(mid) - 1, F.lit(0))), F.get(mid, 0)["total"], lambda a, x: (a + x["total"]).cast(_type_of(whole, "total"))))
+        rest_sum = F.when(
+            F.size(mid) > 0,
+            F.aggregate(F.slice(mid, 2, F.greatest(F.size(mid) - 1, F.lit(0))), F.coalesce(F.get(mid, 0)["after"], zero.cast(_type_of(whole, "after"))), lambda a, x: (a + x["total"]).cast(_type_of(whole, "after"))),
+        )
+        rows = rows.withColumn("mid", F.struct(number.alias("n"), whole_sum.alias("total"), rest_sum.alias("after"), F.get(mid, 0)["first"].alias("first")))
+        has_mid, mid_n, mid_total, mid_after, mid_first = F.col("mid.n") > 0, F.col("mid.n"), F.coalesce("mid.total", zero), F.coalesce("mid.after", zero), F.col("mid.first")
+    else:
+        has_mid, mid_n, mid_total, mid_after, mid_first = F.lit(False), zero, zero, zero, F.lit(None)
+    head_total, head_after = F.coalesce("head.total", zero), F.coalesce("head.after", zero)
+    has_tail = F.col("tail.n") > 0
+    after = (
+        F.when(has_tail, F.coalesce("tail.first.later", zero) + mid_total + head_total).when(has_mid, mid_after + head_total).otherwise(head_after)
+    )
+
+    def first(field: str) -> Column:
+        between_ = F.when(has_mid, mid_first[field]) if k > 1 else F.lit(None)
+        return F.coalesce(F.when(has_tail, F.col(f"tail.first.{field}")), between_, F.col(f"head.first.{field}"))
+
+    return rows.select(
+        F.col("series.name").alias(name), F.col("ts").alias(ts), F.col("v").alias(value), *([F.col("tie").alias(tie)] if tie else []), "us",
+        (F.coalesce("tail.total", zero) + mid_total + head_total).alias("total"), after.alias("after"),
+        (F.col("tail.n") + mid_n + F.col("head.n")).alias("n"), first("us").alias("first_us"), first("v").alias("first_value"),
+    )
+
+
+def _type_of(frame: DataFrame, column: str) -> str:
+    return frame.schema[column].dataType.simpleString()
+
+
 def trailing_rate(
     readings: DataFrame, seconds: int, name: str = "name", ts: str = "ts", value: str = "value",
     tie: str | None = None, chunk_seconds: int | None = None,
 ) -> DataFrame:
     """Per-second increase over the trailing ``seconds``, counter resets included.
 
-    A reading below the one before counts as a restart from zero. Every increase enters the sum
-    when it is read and leaves it when the window has passed, so the rate is a running sum; a
-    series is cut into time chunks of any length, each of which starts from the totals of the
-    chunks before it. Exact for whole and decimal values. No extrapolation to the edges of the window.
+    A reading below the one before counts as a restart from zero; a reading exactly as old as the window still
+    counts. Exact for whole and decimal values; infinite ones and NaN leave the rate with the window. No
+    extrapolation to the edges of the window.
     """
-    chunk_us = (chunk_seconds or chunk_for(readings, name, ts)) * MICROS
-    order = ["us"] + ([tie] if tie else [])
-    placed = readings.where(F.col(value).isNotNull()).select(
-        F.col(name), F.col(ts), F.col(value), *([F.col(tie)] if tie else []),
-        micros(F.col(ts)).alias("us"),
-    ).withColumn("chunk", F.floor(F.col("us") / chunk_us).cast("bigint"))
+    rows = _windows(readings, seconds, name, ts, value, tie, chunk_seconds)
+    kept = [name, ts, value, *([tie] if tie else [])]
+    return rows.select(*kept, (F.col("total").cast("double") / seconds).alias("rate"))
 
-    # One row per series and chunk: small enough to look back over the whole series.
-    ends = placed.groupBy(name, "chunk").agg(F.max_by(value, F.struct(*order) if tie else "us").alias("ended"))
-    by_series = Window.partitionBy(name).orderBy("chunk")
-    carried = ends.select(name, "chunk", F.lag("ended").over(by_series).alias("carried"))
-
-    within = Window.partitionBy(name, "chunk").orderBy(*order)
-    before = F.coalesce(F.lag(value).over(within), F.col("carried"))
-    stepped = placed.join(carried, [name, "chunk"], "left").withColumn("before", before)
-    rise = F.when(F.col("before").isNull(), F.lit(0)).when(
-        F.col(value) < F.col("before"), F.col(value)
-    ).otherwise(F.col(value) - F.col("before"))
-    kept = F.struct(ts, value, *([tie] if tie else []))
-    stepped = stepped.select(name, "us", kept.alias("reading"), rise.alias("rise"))
-
-    # A reading exactly as old as the window still counts: at one time, increases leave after those that enter.
-    enters = F.struct(F.col("us"), F.lit(0).alias("leaves"), F.col("rise").alias("delta"), F.col("reading"))
-    leaves = F.struct((F.col("us") + seconds * MICROS).alias("us"), F.lit(1).alias("leaves"), (-F.col("rise")).alias("delta"), F.lit(None).alias("reading"))
-    moves = stepped.select(name, F.inline(F.array(enters, leaves))).withColumn("chunk", F.floor(F.col("us") / chunk_us).cast("bigint"))
-    totals = moves.groupBy(name, "chunk").agg(F.sum("delta").alias("total"))
-    so_far = F.coalesce(F.sum("total").over(by_series.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = totals.select(name, "chunk", so_far.alias("start"))
-    running = Window.partitionBy(name, "chunk").orderBy("us", "leaves").rangeBetween(Window.unboundedPreceding, 0)
-    rated = moves.join(starts, [name, "chunk"]).withColumn("increase", F.col("start") + F.sum("delta").over(running))
-    return rated.where("leaves = 0").select(
-        name, "reading.*", (F.col("increase").cast("double") / seconds).alias("rate")
+
+# A gap to the edge of the window of up to this many mean gaps is filled, a longer one by half a mean gap.
+FILL_UP_TO, ELSE_FILL = 1.1, 0.5
+
+
+def extrapolated_rate(
+    readings: DataFrame, seconds: int, name: str = "name", ts: str = "ts", value: str = "value",
+    tie: str | None = None, chunk_seconds: int | None = None,
+) -> DataFrame:
+    """Rate of a counter as dashboards show it: the increase between the first and the last reading of the window,
+    carried on to the window's edges.
+
+    The window ends at the reading. It is filled back to its start if the first reading is about a mean gap away at
+    most, else by half a mean gap, and never to before the counter would have been zero. NULL with fewer than two
+    readings, or if all are of one time.
+    """
+    rows = _windows(readings, seconds, name, ts, value, tie, chunk_seconds)
+    increase, first = F.col("after").cast("double"), F.col("first_value").cast("double")
+    rows = rows.select(
+        name, ts, value, *([tie] if tie else []), "n", increase.alias("increase"), first.alias("first"),
+        ((F.col("us") - F.col("first_us")) / F.lit(float(MICROS))).alias("sampled"),
+        ((F.col("first_us") - (F.col("us") - seconds * MICROS)) / F.lit(float(MICROS))).alias("to_start"),
     )
+    gap = F.col("sampled") / (F.col("n") - 1)
+    filled = F.when(F.col("to_start") >= gap * FILL_UP_TO, gap * ELSE_FILL).otherwise(F.col("to_start"))
+    to_zero = F.when((F.col("increase") > 0) & (F.col("first") >= 0), F.col("sampled") * (F.col("first") / F.col("increase")))
+    # ``least`` skips a missing bound.
+    factor = (F.col("sampled") + F.least(filled, to_zero)) / F.col("sampled") / F.lit(float(seconds))
+    rate = F.when((F.col("n") >= 2) & (F.col("sampled") > 0), F.col("increase") * factor)
+    return rows.select(name, ts, value, *([tie] if tie else []), rate.alias("rate"))
 
 
 def _newest(value: str, ts: str, tie: str | None) -> Column:

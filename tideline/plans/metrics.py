@@ -24,6 +24,12 @@ def rate_1h(spark, sf_dir):
     return _rate(spark, sf_dir, 3600)
 
 
+def rate_extrapolated(spark, sf_dir):
+    """Rates of an hour carried on to the edges of the window, as the dashboards' engine does."""
+    rated = series.extrapolated_rate(logs.readings(spark, sf_dir), 3600, tie="event_id")
+    return rated.select(*_RATE_COLUMNS)
+
+
 def last_reading(spark, sf_dir):
     return series.last_reading(logs.readings(spark, sf_dir))
 
@@ -78,6 +84,7 @@ def health_bands(spark, sf_dir):
 QUERIES = {
     "rate_30s": rate_30s,
     "rate_1h": rate_1h,
+    "rate_extrapolated": rate_extrapolated,
     "last_reading": last_reading,
     "recent_range": recent_range,
     "recent_day": recent_day,
@@ -102,6 +109,22 @@ select event_id, name, cast(sum(inc) over (partition by name order by ts
   range between interval {seconds} seconds preceding and current row) as double) / {seconds} as rate from i"""
 
 
+def _extrapolated_sql(seconds: int) -> str:
+    return f"""
+with {READINGS_CTE},
+p as (select *, lag(value) over (partition by name order by ts, event_id) prev from r),
+i as (select *, epoch_us(ts) as us, case when prev is null then 0 when value < prev then value else value - prev end inc from p),
+w as (select event_id, name, count(*) over w as n, sum(inc) over w - first_value(inc) over w as up, first_value(value) over w as v0,
+             us, first_value(us) over w as us0 from i
+      window w as (partition by name order by ts range between interval {seconds} seconds preceding and current row)),
+d as (select event_id, name, n, cast(up as double) as up, cast(v0 as double) as v0, (us - us0) / 1e6::double as sampled,
+             (us0 - (us - {seconds * 1_000_000})) / 1e6::double as gap0 from w),
+e as (select *, case when gap0 >= sampled / (n - 1) * 1.1::double then sampled / (n - 1) * 0.5::double else gap0 end as filled,
+             case when up > 0 and v0 >= 0 then sampled * (v0 / up) end as to_zero from d where n >= 2 and sampled > 0)
+select d.event_id, d.name, e.up * ((e.sampled + least(e.filled, e.to_zero)) / e.sampled / {seconds}::double) as rate
+from d left join e using (event_id)"""
+
+
 def _resample_sql(step: str) -> str:
     return f"""
 with {READINGS_CTE}
@@ -111,6 +134,7 @@ select name, time_bucket(interval {step}, ts) as step_start, arg_max(value, ts)
 ORACLE = {
     "rate_30s": _rate_sql(30),
     "rate_1h": _rate_sql(3600),
+    "rate_extrapolated": _extrapolated_sql(3600),
     "last_reading": f"with {READINGS_CTE} select name, arg_max(value, ts) as value, max(ts) as ts from r group by name",
     "recent_range": f"""
 with {READINGS_CTE}

@@ -82,11 +82,14 @@ def latest_change(spark, sf_dir):
 def merged_state(spark, sf_dir):
     """Updates and deletes on top of the stored, folded state that the creates left."""
     flat = logs.both_changes(spark, sf_dir)
-    table = StateTables.at(spark, new_folder(spark, "merged")).latest
-    table.write_batch(latest_per_key(flat.where(F.col("op") == "c")), 0)
-    table.fold()
-    table.write_batch(latest_per_key(flat.where(F.col("op") != "c")), 1)
-    return table.read().select("table", "id", "op", F.col("ord.offset").alias("offset"))
+    tables = StateTables.at(spark, new_folder(spark, "merged"))
+    for batch, part in enumerate((F.col("op") == "c", F.col("op") != "c")):
+        changed = flat.where(part)
+        tables.latest.write_batch(latest_per_key(changed), batch)
+        tables.commit(batch, changed.count(), ("latest",))
+        if batch == 0:
+            tables.latest.fold()
+    return tables.latest.read().select("table", "id", "op", F.col("ord.offset").alias("offset"))
 
 
 def truncated_log(spark, sf_dir):

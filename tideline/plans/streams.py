@@ -15,8 +15,8 @@ from tideline.operators.state import customer_hashes, order_documents
 from tideline.plans import envelopes, logs, states
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
-from tideline.schema import CUSTOMERS, ORDERS
-from tideline.session import new_folder
+from tideline.schema import CUSTOMERS, ORDERS, topic_of
+from tideline.session import cut_lineage, new_folder
 from tideline.sources import feed
 from tideline.sources.log import read_files, stream_files, subscribe
 from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, start, to_parquet
@@ -24,6 +24,8 @@ from tideline.streaming.progress import ProgressLog
 from tideline.streaming.tables import BatchTable, StateTables
 
 PARTS = ("c", "u", "d")
+# Between the creates and the updates of the derived customers.
+CUSTOMERS_CUT_MS = 800_000_000_000
 
 
 class Arriving:
@@ -99,13 +101,13 @@ def stream_top_customers(spark, sf_dir):
 
 
 class StopOnce:
-    """Fails the first time a batch gets half-way."""
+    """Fails the first time a batch has written a table."""
 
-    def __init__(self, batch_id):
-        self.batch_id, self.stopped = batch_id, False
+    def __init__(self, batch_id, table="latest"):
+        self.batch_id, self.table, self.stopped = batch_id, table, False
 
-    def __call__(self, batch_id):
-        if batch_id == self.batch_id and not self.stopped:
+    def __call__(self, table, batch_id):
+        if (table, batch_id) == (self.table, self.batch_id) and not self.stopped:
             self.stopped = True
             raise RuntimeError("stopped half-way through the batch, as the test asks")
 
@@ -118,7 +120,7 @@ def _restarted(spark, sf_dir):
     log.arrive("u")
     stop = StopOnce(1)
     try:
-        log.apply(ChangeSink(log.tables, after_documents=stop))
+        log.apply(ChangeSink(log.tables, after_write=stop))
     except Exception:
         if not stop.stopped:
             raise
@@ -179,7 +181,7 @@ def batch_counts(spark, sf_dir):
 def batch_progress(spark, sf_dir):
     """Input rows per micro-batch as the engine reports them."""
     log = Arriving(spark, sf_dir)
-    progress = ProgressLog(spark, f"{log.root}/progress", lines=2)
+    progress = ProgressLog(spark, f"{log.root}/progress", together=2)
     try:
         log.apply_parts()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
@@ -227,6 +229,44 @@ def rebuild_then_stream(spark, sf_dir):
     return order_documents(log.tables.latest.read())
 
 
+STEPS = ("latest", "deltas", "rejects", "cuts")
+
+
+def stream_atomic(spark, sf_dir):
+    """What readers see after a batch failed behind each of its writes, and after it went through.
+
+    The second batch holds updates, a truncate of the customers and events that change nothing, so it writes every table.
+    """
+    log = Arriving(spark, sf_dir)
+    log.arrive("c")
+    log.apply()
+    log.arrive("u")
+    truncate = F.struct(F.lit("t").alias("op"), F.struct(F.lit(CUSTOMERS).alias("table"), F.lit(CUSTOMERS_CUT_MS).alias("ts_ms")).alias("source"))
+    cut = read_files(spark, log.path).agg(F.max("offset").alias("offset")).select(
+        F.lit(None).cast("binary").alias("key"), F.to_json(truncate).cast("binary").alias("value"), F.lit(topic_of(CUSTOMERS)).alias("topic"),
+        F.lit(0).alias("partition"), "offset", F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    feed.tombstones(log.events).unionByName(cut).write.mode("append").parquet(log.path)
+    seen = []
+    for table in (*STEPS, None):
+        stop = StopOnce(1, table)
+        try:
+            log.apply(ChangeSink(log.tables, after_write=stop))
+        except Exception:
+            if not stop.stopped:
+                raise
+        view = log.tables.pinned()
+        shipped = order_documents(view.latest.read()).where("status = 'SHIPPED'").agg(F.count("*").alias("shipped_documents"))
+        counted = view.counters().agg(
+            F.coalesce(F.max(F.when(F.col("key") == status_key(F.lit("SHIPPED")), F.col("value"))), F.lit(0)).cast("bigint").alias("shipped_counted")
+        )
+        ledger = view.rejects.read().agg(F.count("*").alias("rejected"))
+        customers = route(view.current(), CUSTOMERS).agg(F.count("*").alias("customers"))
+        row = shipped.join(counted).join(ledger).join(customers).withColumn("failed_after", F.lit(table or "nothing"))
+        seen.append(cut_lineage(row))
+    return feed.union_all(seen)
+
+
 QUERIES = {
     "src_change_stream": src_change_stream,
     "sink_preview": sink_preview,
@@ -244,6 +284,7 @@ QUERIES = {
     "rebuild_then_stream": rebuild_then_stream,
     "stream_truncate": stream_truncate,
     "stream_rejects": stream_rejects,
+    "stream_atomic": stream_atomic,
 }
 
 _DOCUMENTS = f"""
@@ -279,6 +320,13 @@ select 'orders:status:' || st as key, cast(sum(case op when 'd' then -1 else 1 e
     "rebuild_then_stream": _DOCUMENTS,
     "stream_truncate": states.ORACLE["truncate_event"],
     "stream_rejects": envelopes.ORACLE["reject_ledger"],
+    "stream_atomic": f"""
+with {ORDER_CTE}, {CUSTOMER_CTE}, n as (
+  select (select count(*) from oe where op = 'u') as shipped, (select count(*) from oe where op = 'd') + (select count(*) from ce where op = 'd') + 1 as rejects,
+         (select count(*) from cb) as customers, (select count(*) from cb where id % 5 = 0 or id % 22 = 0) as later)
+select unnest(['latest', 'deltas', 'rejects', 'cuts']) as failed_after, 0::bigint as shipped_documents, 0::bigint as shipped_counted,
+       0::bigint as rejected, customers from n
+union all select 'nothing', shipped, shipped, rejects, later from n""",
     "batch_counts": _PER_PART.format(batch="batch", n="n"),
     "batch_progress": _PER_PART.format(batch="batch_id", n="num_input_rows"),
 }

@@ -3,64 +3,92 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tideline.operators.counters import deltas
+from tideline.operators.counters import ROWS, deltas
 from tideline.operators.envelope import PLACE, changes, judged_changes
 from tideline.operators.state import latest_per_key
 from tideline.rules import DEFAULT, Rules
-from tideline.streaming.tables import BatchTable, StateTables, last_cuts
+from tideline.streaming.folders import Folders
+from tideline.streaming.tables import LATEST_COLUMNS, BatchTable, StateTables, last_cuts, rows_key
 
 
-@dataclass
-class ChangeSink:
-    """``foreachBatch`` target. Every write is keyed by the batch, so a retry replaces itself.
-
-    A batch is flat changes, or judged ones: those with a ``reason`` go to the ledger of rejects, and
-    truncates among them also to the cuts that ``StateTables.current`` applies.
-    """
-
-    tables: StateTables
+@dataclass(kw_only=True)
+class _Options:
     rules: Rules = DEFAULT
-    # hold the parsed batch for the second write; a whole log is parsed twice instead
+    # hold the parsed batch for the later writes; a rebuild reads stored rows instead
     hold: bool = True
     # fold the tables after every so many batches; never on its own when None
     fold_every: int | None = None
     # of the checkpoint; the newest one of the tables when None
     epoch: int | None = None
-    # called between the writes; tests use it to fail half-way
-    after_documents: Callable[[int], None] = field(default=lambda batch_id: None)
+    # commit a batch without rows too, so that an empty log replaces what was there
+    commit_empty: bool = False
+    # called after each write with the table's name and the batch; tests use it to fail half-way
+    after_write: Callable[[str, int], None] = field(default=lambda table, batch_id: None)
+
+
+@dataclass
+class ChangeSink(_Options):
+    """``foreachBatch`` target: documents, deltas, truncates and rejects, then one commit record for all of them.
+
+    Every write is keyed by the batch, so a retry replaces itself, and no reader sees any of them before the
+    record. A batch that is committed already is left alone. The writes are independent of each other and run side
+    by side. A batch is flat changes, or judged ones: those with a ``reason`` go to the ledger of rejects, and
+    truncates among them also to the cuts that ``StateTables.current`` applies.
+    """
+
+    tables: StateTables
 
     def __call__(self, flat: DataFrame, batch_id: int) -> None:
         epoch = self.tables.epoch() if self.epoch is None else self.epoch
+        if not self.tables.commits.is_committed((epoch, batch_id)):
+            self._apply(flat, batch_id, epoch)
+        if self.fold_every and (batch_id + 1) % self.fold_every == 0:
+            self.tables.fold()
+
+    def _apply(self, flat: DataFrame, batch_id: int, epoch: int) -> None:
         held = flat.persist() if self.hold else None
         try:
-            if "reason" in flat.columns:
-                self._set_aside(flat.where(F.col("reason").isNotNull()), batch_id, epoch)
-                flat = flat.where(F.col("reason").isNull()).drop("reason", *PLACE)
-            if not flat.isEmpty():
-                self.tables.latest.write_batch(latest_per_key(flat), batch_id, epoch)
-                self.after_documents(batch_id)
-                self.tables.deltas.write_batch(deltas(flat, self.rules), batch_id, epoch)
+            judged = flat if "reason" in flat.columns else flat.withColumn("reason", F.lit(None).cast("string"))
+            # One look at the batch decides which tables get anything.
+            applied, rejected, cut = judged.agg(
+                F.count_if(F.col("reason").isNull()), F.count("reason"), F.count_if(F.col("reason") == "truncate")
+            ).first()
+            changed = judged.where(F.col("reason").isNull()).drop("reason", *PLACE)
+            writes: list[tuple[BatchTable, Callable[[], DataFrame]]] = []
+            if applied:
+                writes.append((self.tables.latest, lambda: latest_per_key(changed, keep=LATEST_COLUMNS)))
+                writes.append((self.tables.deltas, lambda: self._deltas(changed, epoch, batch_id)))
+            if rejected:
+                rest = judged.where(F.col("reason").isNotNull())
+                writes.append((self.tables.rejects, lambda: rest.select(*PLACE, "op", "table", "reason")))
+            if cut:
+                truncates = judged.where(F.col("reason") == "truncate")
+                writes.append((self.tables.cuts, lambda: last_cuts(truncates.select("table", F.col("ord").alias("cut")))))
+            if writes:
+                with ThreadPoolExecutor(len(writes)) as pool:
+                    for done in [pool.submit(inheritable_thread_target(self._write), t, rows, batch_id, epoch) for t, rows in writes]:
+                        done.result()
+            if writes or self.commit_empty:
+                self.tables.commit(batch_id, applied, tuple(t.name for t, _ in writes), epoch)
         finally:
             if held is not None:
                 held.unpersist()
-        # A batch retried after its fold writes a folder that the base already covers.
-        if self.fold_every and (batch_id + 1) % self.fold_every == 0:
-            self.tables.fold()
 
+    def _write(self, table: BatchTable, rows: Callable[[], DataFrame], batch_id: int, epoch: int) -> None:
+        table.write_batch(rows(), batch_id, epoch)
+        self.after_write(table.name, batch_id)
 
-    def _set_aside(self, rejected: DataFrame, batch_id: int, epoch: int) -> None:
-        if rejected.isEmpty():
-            return
-        self.tables.rejects.write_batch(rejected.select(*PLACE, "op", "table", "reason"), batch_id, epoch)
-        truncates = rejected.where(F.col("reason") == "truncate")
-        if not truncates.isEmpty():
-            self.tables.cuts.write_batch(last_cuts(truncates.select("table", F.col("ord").alias("cut"))), batch_id, epoch)
+    def _deltas(self, changed: DataFrame, epoch: int, batch_id: int) -> DataFrame:
+        key = F.when(F.col("kind") == ROWS, rows_key(epoch, batch_id)).otherwise(F.col("key"))
+        return deltas(changed, self.rules).withColumn("key", key)
 
 
 def start(
@@ -95,9 +123,17 @@ def run_available(log: DataFrame, sink: ChangeSink, checkpoint: str) -> Streamin
 
 
 def rebuild(log: DataFrame, tables: StateTables, rules: Rules = DEFAULT, wrapped: bool = False) -> None:
-    """State of a whole log as one batch, in place of what the tables held."""
+    """State of a whole log as one batch, in place of what the tables held, even if the log is empty.
+
+    The log is parsed once: judged rows are stored beside the tables while the batch is written from them.
+    """
     epoch = tables.open_epoch(replaces=True)
-    ChangeSink(tables, rules, hold=False, epoch=epoch)(judged_changes(log, rules, wrapped), 0)
+    folders, held = Folders(tables.latest.spark, tables.commits.path), f"{tables.commits.path}/rebuild-{epoch}"
+    judged = judged_changes(log, rules, wrapped)
+    judged.write.mode("overwrite").parquet(held)
+    stored = log.sparkSession.read.schema(judged.schema).parquet(held)
+    ChangeSink(tables, rules=rules, hold=False, epoch=epoch, commit_empty=True)(stored, 0)
+    folders.remove(held)
 
 
 def preview(log: DataFrame, name: str, checkpoint: str, rules: Rules = DEFAULT, sink: str = "memory") -> StreamingQuery:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tideline.streaming.folders import Folders
+
 PROGRESS_SCHEMA = "batch_id bigint, ts string, num_input_rows bigint, batch_ms bigint, input_rate double, process_rate double"
 _STORED = f"{PROGRESS_SCHEMA}, query_id string"
 
@@ -24,15 +26,15 @@ def _row(p: dict) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes the progress of every batch to a folder, where it stays.
+    """Writes the progress of every batch to a folder as it comes, where it stays.
 
-    A query itself remembers its last 100 entries only. Lines are small and come once a batch, so the
-    driver writes them as files of ``lines`` each, and the rest when a query ends.
+    A query itself remembers its last 100 entries only. A lost driver loses none that it was told of; ``together``
+    files become one, so that the folder grows slowly.
     """
 
-    def __init__(self, spark: SparkSession, path: str, lines: int = 50):
-        self.spark, self.path, self.lines = spark, path, lines
-        self._held: dict[str, list[str]] = {}
+    def __init__(self, spark: SparkSession, path: str, together: int = 50):
+        self.spark, self.path, self.together = spark, path, together
+        self._single: dict[str, list[tuple[str, str]]] = {}  # files of one line since the last longer one, by query
         spark.streams.addListener(self)
 
     def onQueryStarted(self, event) -> None:
@@ -41,35 +43,27 @@ class ProgressLog(StreamingQueryListener):
     def onQueryIdle(self, event) -> None:
         pass
 
+    def onQueryTerminated(self, event) -> None:
+        pass
+
     def onQueryProgress(self, event) -> None:
         progress = json.loads(event.progress.json)
         names = [part.split()[0] for part in PROGRESS_SCHEMA.split(", ")]
-        line = dict(zip(names, _row(progress))) | {"query_id": progress["id"]}
-        held = self._held.setdefault(progress["id"], [])
-        held.append(json.dumps(line))
-        if len(held) >= self.lines:
-            self._write(progress["id"])
-
-    def onQueryTerminated(self, event) -> None:
-        self._write(str(event.id))
-
-    def _write(self, query_id: str) -> None:
-        held = self._held.pop(query_id, [])
-        if not held:
-            return
-        first = json.loads(held[0])["batch_id"]
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{query_id}-{first:012d}.json")
-        store = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        out = store.create(path, True)
-        try:
-            out.write(bytearray(("\n".join(held) + "\n").encode()))
-        finally:
-            out.close()
+        line = json.dumps(dict(zip(names, _row(progress))) | {"query_id": progress["id"]})
+        folders = Folders(self.spark, self.path)
+        file = f"{self.path}/{progress['id']}-{progress['batchId']:012d}.json"
+        folders.write(file, line + "\n")
+        single = self._single.setdefault(progress["id"], [])
+        single.append((file, line))
+        if len(single) >= self.together:
+            # The lines of both are equal while both are there, and rows() counts each batch once.
+            folders.write(f"{self.path}/{progress['id']}-{progress['batchId']:012d}-all.json", "\n".join(text for _, text in single) + "\n")
+            for name in {name for name, _ in single}:
+                folders.remove(name)
+            single.clear()
 
     def rows(self) -> DataFrame:
-        """Every batch of every query once, however many there were; lines not yet in a file are written first."""
-        for query_id in list(self._held):
-            self._write(query_id)
+        """Every batch of every query once, however many there were."""
         stored = self.spark.read.schema(_STORED).json(f"{self.path}/*.json")
         return stored.groupBy("query_id", "batch_id").agg(
             *[F.max_by(c, F.struct("num_input_rows", "ts")).alias(c) for c in ("ts", "num_input_rows", "batch_ms", "input_rate", "process_rate")]
