@@ -8,6 +8,7 @@ tokens between two cuts are a group. Counts of the id pairs that end together ar
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 from dataclasses import dataclass
 
@@ -17,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.chunks import byte_alphabet, text_slices
+from tideline.llm.chunks import Cache, byte_alphabet, text_slices
 from tideline.llm.frames import id_and_text, kept_table, map_arrow
-from tideline.llm.library_ids import library_ids
+from tideline.llm.library_ids import LibraryIds
 
 # Characters that are tokenized and aligned at once.
 _CHARS = 300_000
@@ -54,9 +55,10 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.library = library_ids(path_a, "alignment", spaced=True, specials=False)
+        self.library = LibraryIds(path_a, "alignment", spaced=True, specials=False, bound=100_000)
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(path_a), piece_tokens(path_b)
+        self.pools = tuple(np.frombuffer(b"".join(x), dtype=np.uint8) for x in (self.bytes_a, self.bytes_b))
         self.sizes = tuple(np.array([len(t) for t in x], dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
         # An id as text before each separator.
         self.shown = tuple(np.array([[f"{i}{sep}" for i in range(len(x))] for sep in ",|;"], dtype=object) for x in (self.bytes_a, self.bytes_b))
@@ -64,13 +66,34 @@ class Pair:
     def tokens(self, texts: list[str]) -> tuple[Tokens, Tokens]:
         """Tokens of both sides; none for an empty text and for one whose bytes a side does not give back."""
         spaced = [" " + t for t in texts]
-        a = [np.frombuffer(raw, "<u4").astype(np.int64) for raw in self.library.of(spaced)]
-        b = [np.array(ids, dtype=np.int64) for ids in self.model.encode(texts, num_threads=1)]
-        for k, text in enumerate(spaced):
-            want = text.encode()
-            if text == " " or any(b"".join(map(table.__getitem__, ids[k].tolist())) != want for table, ids in ((self.bytes_a, a), (self.bytes_b, b))):
-                a[k] = b[k] = np.zeros(0, dtype=np.int64)
-        return Tokens.of(a, self.sizes[0]), Tokens.of(b, self.sizes[1])
+        raw = [t.encode() for t in spaced]
+        ids = (
+            [np.frombuffer(x, "<u4").astype(np.int64) for x in self.library.of(spaced)],
+            [np.array(x, dtype=np.int64) for x in self.model.encode(texts, num_threads=1)],
+        )
+        good = np.array([t != "" for t in texts])
+        for of_side, pool, sizes in zip(ids, self.pools, self.sizes):
+            good &= _gives_back(of_side, pool, sizes, raw)
+        none = np.zeros(0, dtype=np.int64)
+        return tuple(Tokens.of([x if ok else none for x, ok in zip(of_side, good)], sizes) for of_side, sizes in zip(ids, self.sizes))
+
+
+def _gives_back(ids: list[np.ndarray], pool: np.ndarray, sizes: np.ndarray, raw: list[bytes]) -> np.ndarray:
+    """Whether the joined bytes of each row of tokens are the text's own."""
+    flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
+    n = sizes[flat]
+    place = np.repeat((np.cumsum(sizes) - sizes)[flat] - (np.cumsum(n) - n), n)
+    joined = pool[place + np.arange(len(place))].tobytes()
+    if joined == b"".join(raw):
+        # Equal as a whole; rows are equal too if their lengths are.
+        ends = np.r_[0, np.cumsum(n)][np.cumsum([len(x) for x in ids])] if ids else np.zeros(0, dtype=np.int64)
+        return np.diff(np.r_[0, ends]) == np.array([len(x) for x in raw])
+    out, start = np.zeros(len(raw), dtype=bool), 0
+    for k, (x, want) in enumerate(zip(ids, raw)):
+        stop = start + int(sizes[x].sum())
+        out[k] = joined[start:stop] == want
+        start = stop
+    return out
 
 
 @functools.cache
@@ -78,6 +101,14 @@ def _pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
+def _done_with_texts() -> None:
+    """Frees what a worker held to tokenize, before steps that only count."""
+    if _pair.cache_info().currsize:
+        _pair.cache_clear()
+        Cache.drop("alignment")
+        gc.collect()
+
+
 @dataclass
 class Tokens:
     """Tokens of several documents in a row; places count on over the documents."""
@@ -227,6 +258,7 @@ def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
     """link, n (how often it occurs in all documents) and best (whether no link of its id of B occurs more often)."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        _done_with_texts()
         codes = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
         code, n = np.unique(codes, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], ["link", "n"])
@@ -254,6 +286,7 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     sent = spark.sparkContext.broadcast((link.astype(np.uint32), n, best))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        _done_with_texts()
         link, n, best = sent.value
         raw = batch.column(1).to_pylist()
         sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)

@@ -59,6 +59,14 @@ class Cache(dict):
                 other.older = {}
         Cache._reading = self.owner
 
+    @classmethod
+    def drop(cls, owner: str) -> None:
+        """Empties the caches of an owner and forgets them."""
+        for held in [c for c in cls._all if c.owner == owner]:
+            held.clear()
+            held.older = {}
+            cls._all.remove(held)
+
     def missing(self, rows: list[list[str]]) -> list[str]:
         """The keys in ``rows`` without a value. Afterwards every other key can be read from this dict."""
         if Cache._reading != self.owner:

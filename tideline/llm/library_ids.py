@@ -35,7 +35,7 @@ class LibraryIds:
     ``specials``: strings of special tokens inside a text are these tokens; else plain text.
     """
 
-    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True):
+    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True, bound: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,7 +46,7 @@ class LibraryIds:
         found = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, found)) + ")") if specials and found else None
         self.spaced, self.chunks = spaced, spaced_chunks if spaced else chunks
-        self.cache, self.words = Cache(owner, 250_000), Cache(owner, 300_000)
+        self.cache, self.words = Cache(owner, bound), Cache(owner, bound)
         self.model, self.byte = self.library.model, byte_alphabet()
         # Caches hold many small objects and no circles, which frequent collections would walk for nothing.
         gc.set_threshold(500_000, 20, 50)

@@ -27,6 +27,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -249,16 +250,20 @@ _RUNS = "absent boolean, key long, shard int, record long, docs long, offset lon
 
 
 def _encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id and ids, 2 or 4 bytes each, of each row, the end id included."""
+    """doc_id, number of ids and ids, 2 or 4 bytes each and compressed for the way, of each row, the end id included."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = library_ids(tokenizer_path, "store")
         wide = _width(coder.library.get_vocab_size(), end_id) == 4
-        end = struct.pack("<I", end_id)
-        raw = [x + end if wide else np.frombuffer(x + end, "<u4").astype("<u2").tobytes() for x in coder.of_column(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+        end, squeeze = struct.pack("<I", end_id), zstandard.ZstdCompressor(level=1).compress
+        n, packed = [], []
+        for raw in coder.of_column(batch.column(1)):
+            raw += end
+            n.append(len(raw) // 4)
+            packed.append(squeeze(raw if wide else np.frombuffer(raw, "<u4").astype("<u2").tobytes()))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n", "ids"])
 
-    return map_arrow(id_and_text(docs), step, "doc_id long, ids binary")
+    return map_arrow(id_and_text(docs), step, "doc_id long, n long, ids binary")
 
 
 def _width(vocabulary: int, end_id: int) -> int:
@@ -268,7 +273,7 @@ def _width(vocabulary: int, end_id: int) -> int:
 
 def _write_shards(encoded: DataFrame, width: int, root: str, shard_bytes: int) -> DataFrame:
     """Writes the shards, one task each, and returns the runs of equal keys in them."""
-    size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    size = (encoded.agg(F.sum("n")).first()[0] or 0) * width
     shards = max(encoded.sparkSession.sparkContext.defaultParallelism, math.ceil(size / shard_bytes))
     # Equal keys, and even equal rows, can go to several shards, so none grows with a hot key.
     order = ["doc_id", "tie", "row"]
@@ -279,11 +284,12 @@ def _write_shards(encoded: DataFrame, width: int, root: str, shard_bytes: int) -
         number = TaskContext.get().partitionId()
         keys: list[int | None] = []
         lengths = array("q")
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def parts() -> Iterator[bytes]:
             for batch in batches:
                 keys.extend(batch.column(0).to_pylist())
-                for raw in batch.column(1).to_pylist():
+                for raw in map(unpack, batch.column(1).to_pylist()):
                     lengths.append(len(raw) // width)
                     yield raw
             ends = np.cumsum(np.frombuffer(lengths, dtype=np.int64)) if lengths else np.zeros(0, dtype=np.int64)
