@@ -106,7 +106,7 @@ def test_pii_equals_its_sql(spark, tmp_path):
 def test_url_rules_and_trees(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url")
     odd = [None, "", "no scheme", "http://COM/x", "http://a.com?x=/en/", "HTTP://WWW.Example.COM/en/1#a", "x://net/es/" + "y" * 50_000, "a://b://c.net/fr/"]
-    pages = pages.union(spark.createDataFrame([(-i, u) for i, u in enumerate(odd)], "page_id long, url string")).withColumn("host", F.lit(1))
+    pages = pages.union(spark.createDataFrame([(-1 - i, u) for i, u in enumerate(odd)], "page_id long, url string")).withColumn("host", F.lit(1))
 
     def brute(url):
         rest = (url or "").partition("://")

@@ -8,8 +8,9 @@ exact similarity of the two texts decides.
 
 No group is compared pair by pair: texts with the same words are one node; a node whose own shingles (found
 in no other candidate) weigh too much cannot reach the threshold with anyone and is left out; the members of
-a bucket are compared with one leader; and only members that are still in different classes meet afterwards,
-where a bound on their similarity lets them.
+a bucket are compared with one leader; and members that are still in different classes are coded by their
+difference from that leader. Two of them meet only if their differences are small enough together, or share a
+shingle among their rarest ones.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.chunks import Cache, text_slices
@@ -239,6 +240,62 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return map_arrow(both, step, "a long, b long")
 
 
+def differences(refs: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, lead, size (shingles that one of the two texts holds and the other does not), weight (of the node's
+    shingles, repetitions twice) and these shingles, for each (node, lead)."""
+    own = texts.select("node", F.col("text").alias("text_node"))
+    led = texts.select(F.col("node").alias("lead"), F.col("text").alias("text_lead"))
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held: dict[str, tuple] = {}
+        sizes, weights, tokens = [], [], []
+        for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if len(held) > 200:
+                held.clear()
+            fresh = [t for t in dict.fromkeys(pair) if t not in held]
+            if fresh:
+                row, element, weight, _ = shingles(fresh)
+                held.update((t, (element[row == k], weight[row == k])) for k, t in enumerate(fresh))
+            (mine, weight), (other, _) = held[pair[0]], held[pair[1]]
+            apart = np.setxor1d(mine, other, assume_unique=True).astype(np.int64)
+            sizes.append(len(apart))
+            weights.append(float(2 * weight.sum() - len(weight)))
+            tokens.append(apart)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(weights, pa.float64()), pa.array(tokens, pa.list_(pa.int64()))],
+            ["node", "lead", "size", "weight", "shingles"],
+        )
+
+    both = refs.join(own, "node").join(led, "lead").select("node", "lead", "text_node", "text_lead")
+    return map_arrow(both, step, "node long, lead long, size long, weight double, shingles array<long>")
+
+
+def sharing_a_difference(coded: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different parts that can be similar for what they share of their differences from one leader.
+
+    ``coded``: node, lead, part, open (not of the leader's part), excess, size and shingles of the difference. The
+    texts x and y differ by |dx| + |dy| - 2 |dx & dy| shingles, so they need 2 |dx & dy| >= excess of x + excess of y,
+    and of two texts at least one is open. Shingles are taken rarest first; two sets that share k of theirs share
+    one of the first |set| - k + 1 of each.
+    """
+    least = coded.groupBy("lead").agg(F.min("excess").alias("any_least"), F.min(F.when(F.col("open"), F.col("excess"))).alias("open_least"))
+    # What the easiest partner asks for: any text for an open one, an open one for the others.
+    asked = F.ceil((F.col("excess") + F.when(F.col("open"), F.col("any_least")).otherwise(F.col("open_least"))) / 2 - F.lit(1e-6))
+    bound = coded.join(least, "lead").withColumn("kept", F.col("size") - F.greatest(asked, F.lit(1)) + 1).where("kept > 0")
+    each = bound.select("lead", "node", "part", "open", "excess", "size", "kept", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("lead", "shingle").agg(F.count("*").alias("often")).where("often > 1")
+    # A shingle of one text alone meets nobody, but takes its place among the first.
+    ranked = each.join(often, ["lead", "shingle"], "left").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lead", "node").orderBy(F.coalesce("often", F.lit(1)), "shingle"))
+    )
+    first = ranked.where("rank <= kept and often is not null").select("lead", "shingle", "node", "part", "open", "excess", "size")
+    x, y = first.where("open").alias("x"), first.alias("y")
+    met = x.join(y, [F.col("x.lead") == F.col("y.lead"), F.col("x.shingle") == F.col("y.shingle")]).where(
+        (F.col("x.part") != F.col("y.part")) & (F.col("x.excess") + F.col("y.excess") <= 2 * F.least("x.size", "y.size"))
+    )
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node of its component, for the nodes of ``links`` (a, b)."""
     edges = kept_table(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "edges")
@@ -294,21 +351,38 @@ def near_duplicate_classes(
     labels = components(links)
 
     placed = members.join(labels, "node", "left").select("bucket", "node", *known, F.coalesce("label", "node").alias("part"))
-    placed = kept_table(placed, "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("bucket")
+    led = leaders.select("bucket", F.col("node").alias("lead"), F.col("total").alias("lead_total"))
+    placed = kept_table(placed.join(mixed, "bucket").join(led, "bucket"), "placed")
+    # Members still apart are coded by their difference from the leader of their bucket.
+    lead_part = placed.where("node = lead").select("lead", F.col("part").alias("lead_part")).distinct()
+    refs = placed.select("node", "lead", "part", F.greatest("total", "lead_total").alias("most")).distinct().join(lead_part, "lead")
+    far = F.lit((1 - threshold) / (1 + threshold))
+    coded = differences(refs.select("node", "lead"), texts).join(refs, ["node", "lead"])
+    # An id with several texts is bounded by none of them.
+    excess = F.when(F.col("most") >= 1e12, F.lit(-1e12)).otherwise(F.col("size") - far * F.col("weight"))
+    coded = coded.select("node", "lead", "part", (F.col("part") != F.col("lead_part")).alias("open"), excess.alias("excess"), "size", "shingles")
+    coded = kept_table(coded, "coded")
+    known.append("excess")
+    excesses = coded.groupBy("node", "lead").agg(F.min("excess").alias("excess"))
+    placed = kept_table(placed.join(excesses, ["node", "lead"]), "placed")
     parts = placed.groupBy("bucket", "part").agg(
         F.min(F.col("own") / F.col("total")).alias("least"),
         F.min("own").alias("own"),
         F.min("total").alias("total"),
         F.max(F.col("total") - F.col("own")).alias("shared"),
         F.max("extra").alias("extra"),
+        F.min("excess").alias("excess"),
     )
-    mixed = parts.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    parts = kept_table(parts.join(mixed, "bucket"), "parts")
+    parts = kept_table(parts, "parts")
+    # Pairs that may be similar without any common difference; all others share one.
+    near = F.col("x.excess") + F.col("y.excess") <= 1e-6
     meet = (
         parts.alias("x")
         .join(parts.alias("y"), "bucket")
         .where(
             (F.col("x.part") < F.col("y.part"))
+            & near
             & _shares_within(F.col("x.least"), F.col("y.least"), threshold)
             & _weights_within(*[tuple(F.col(f"{s}.{c}") for c in ("own", "total", "shared", "extra")) for s in "xy"], threshold)
         )
@@ -319,8 +393,9 @@ def near_duplicate_classes(
     across = (
         meet.join(side_a, ["bucket", "part_a"])
         .join(side_b, ["bucket", "part_b"])
-        .where(_within_bound("a", "b", threshold))
+        .where((F.col("a.excess") + F.col("b.excess") <= 1e-6) & _within_bound("a", "b", threshold))
         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+        .union(sharing_a_difference(coded))
         .distinct()
     )
     more = kept_table(verified(across, texts, threshold), "links")

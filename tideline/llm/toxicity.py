@@ -159,20 +159,21 @@ def features_of(word: str) -> list[str]:
 @functools.lru_cache(maxsize=1)
 def _restorer(raw: bytes) -> tuple[Restorer, Cache]:
     shape = (_CLASSES, _CLASSES, _CLASSES)
+    Cache.drop("toxicity")  # of the restorer before
     return Restorer(np.frombuffer(raw, dtype=np.float32).reshape(shape)), Cache("toxicity", 0)
 
 
 def counted_features(texts: list[str], trigrams: bytes, index: dict[str, int] | None):
     """Counter of features of each text: of all, or of those in ``index`` by their number."""
     restorer, cache = _restorer(trigrams)
-    space = id(index) if index is None else len(index)
+    space = None if index is None else tuple(index.items())  # models of one size differ in their features
 
     def looked_up(words: list[str]) -> list:
         every = [f for w in words for f in features_of(w)]
         found = every if index is None else [index[f] for f in every if f in index]
         return found or _NOTHING
 
-    if getattr(cache, "space", None) != space:  # the cached features are those of one index
+    if getattr(cache, "space", ()) != space:  # the cached features are those of one index
         cache.clear()
         cache.older, cache.space = {}, space
         cache.bound = 40_000 if index is None else 200_000  # lists of names are long, those of numbers mostly empty
@@ -224,7 +225,7 @@ def _fit(rows: list[list[tuple[int, int]]], labels: np.ndarray, size: int, ridge
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, most_features: int = 1000, least_toxic: int = 4) -> Model:
-    """A model from labelled rows that are not held out; ``sample_rows`` bounds them (by a hash of the id, about that many).
+    """A model from labelled rows that are not held out; ``sample_rows`` bounds them (by a hash of the id, about that many ids, one text of each).
 
     The character model is counted over all of ``docs``. ``most_features`` bounds the features: those with the
     strongest excess among toxic documents. Without labelled toxic rows every score is the base rate.
@@ -235,7 +236,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, most_fe
     share = min(1.0, sample_rows / max(1, wanted.count()))
     wanted = wanted.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).join(wanted, "doc_id")
-    sample = kept_table(sample.select("doc_id", "text", "toxic").repartition(12), "sample")
+    # One text of an id, so that repeated rows do not outgrow the bound.
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
+    sample = kept_table(sample.repartition(12), "sample")
 
     def partial(batch: pa.RecordBatch) -> pa.RecordBatch:
         total: Counter = Counter()
