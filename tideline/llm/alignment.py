@@ -24,6 +24,8 @@ from tideline.llm.library_ids import LibraryIds
 
 # Characters that are tokenized and aligned at once.
 _CHARS = 300_000
+# Rows whose links are counted at once.
+_ROWS = 1_000
 
 
 def byte_level_tokens(path: str) -> list[bytes]:
@@ -259,8 +261,12 @@ def pair_counts(links: DataFrame, size_b: int) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         _done_with_texts()
-        codes = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-        code, n = np.unique(codes, return_counts=True)
+        code, n = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        for start in range(0, batch.num_rows, _ROWS):
+            more, times = np.unique(np.frombuffer(b"".join(batch.column(0).slice(start, _ROWS).to_pylist()), "<u4"), return_counts=True)
+            both, place = np.unique(np.concatenate([code, more]), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate([n, times]), minlength=len(both)).astype(np.int64)
+            code = both
         return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], ["link", "n"])
 
     counted = map_arrow(links.select("links"), step, "link long, n long").groupBy("link").agg(F.sum("n").alias("n"))
@@ -288,14 +294,16 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         _done_with_texts()
         link, n, best = sent.value
-        raw = batch.column(1).to_pylist()
-        sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
-        at = np.searchsorted(link, np.frombuffer(b"".join(raw), "<u4"))
-        sums = []
-        for values in (best.astype(np.int64), n):
-            total = np.r_[0, np.cumsum(values[at])] if len(at) else np.zeros(1, dtype=np.int64)
-            ends = np.cumsum(sizes)
-            sums.append(pa.array(total[ends] - total[ends - sizes]))
+        sums: tuple[list, list] = ([], [])
+        for start in range(0, batch.num_rows, _ROWS):
+            raw = batch.column(1).slice(start, _ROWS).to_pylist()
+            ends = np.cumsum([len(x) // 4 for x in raw])
+            at = np.searchsorted(link, np.frombuffer(b"".join(raw), "<u4"))
+            for held_sums, values in zip(sums, (best, n)):
+                total = np.zeros(len(at) + 1, dtype=np.int64)
+                np.cumsum(values[at], out=total[1:])
+                held_sums += np.diff(total[np.r_[0, ends]]).tolist()
+        sums = tuple(pa.array(x, pa.int64()) for x in sums)
         return pa.RecordBatch.from_arrays([batch.column(0), *sums], ["row", "n_best", "count_sum"])
 
     # The row travels as one field, so that only the links are worked on.
