@@ -114,12 +114,14 @@ def cascade_deletes(orders: DataFrame, customer_changes: DataFrame) -> DataFrame
     the customer delete itself. Orders placed after the customer came back stay.
     ``orders`` carries ``ord``; commit times compare across tables.
     """
-    gone = (
-        customer_changes.where(F.col("op") == "d")
-        .groupBy(F.col("id").alias("customer_id"))
-        .agg(F.max("ord.ts_ms").alias("gone_ms"))
-    )
-    joined = join_small(orders, gone, ["customer_id"], "left")
+    deleted = customer_changes.where(F.col("op") == "d")
+    return cascade_gone(orders, deleted.select(F.col("id").alias("customer_id"), F.col("ord.ts_ms").alias("gone_ms")))
+
+
+def cascade_gone(orders: DataFrame, gone: DataFrame) -> DataFrame:
+    """Orders placed after their customer's last delete; ``gone``: customer_id and gone_ms of deletes."""
+    last = gone.groupBy("customer_id").agg(F.max("gone_ms").alias("gone_ms"))
+    joined = join_small(orders, last, ["customer_id"], "left")
     return joined.where(F.col("gone_ms").isNull() | (F.col("ord.ts_ms") > F.col("gone_ms"))).drop("gone_ms")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions import status_key
 from tideline.operators.counters import top_members
 from tideline.operators.envelope import changes, route
-from tideline.operators.state import customer_hashes, order_documents
+from tideline.operators.state import customer_hashes, live_rows, order_documents
 from tideline.plans import envelopes, logs, states
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
@@ -20,6 +20,7 @@ from tideline.session import cut_lineage, new_folder
 from tideline.sources import feed
 from tideline.sources.log import read_files, stream_files, subscribe
 from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, start, to_parquet
+from tideline.streaming.net import keep_net_totals, net_table, net_totals
 from tideline.streaming.progress import ProgressLog
 from tideline.streaming.tables import BatchTable, StateTables
 
@@ -229,6 +230,34 @@ def rebuild_then_stream(spark, sf_dir):
     return order_documents(log.tables.latest.read())
 
 
+def stream_net_counters(spark, sf_dir):
+    """True totals from a log whose updates have no before-image, over a restart, with a truncate and late changes.
+
+    The order log comes in four parts, each to a query started anew: deletes first, updates, the truncate, creates last.
+    """
+    root = new_folder(spark, "net")
+    table = net_table(spark, f"{root}/net")
+    events = logs.order_events(spark, sf_dir).unionByName(logs.customer_events(spark, sf_dir))
+    bare = events.withColumn("before", F.when(F.col("op") == "d", F.col("before")))
+    truncate = states.truncated_log(spark, sf_dir).where(F.col("key").isNull())
+    for part in ("d", "u", "t", "c"):
+        rows = truncate if part == "t" else feed.to_log(bare.where(F.col("op") == part))
+        rows.write.mode("append").parquet(f"{root}/log")
+        keep_net_totals(stream_files(spark, f"{root}/log"), table, f"{root}/checkpoint", buckets=8).awaitTermination()
+    return net_totals(table)
+
+
+def stream_cascade(spark, sf_dir):
+    """Orders left after customer deletes that went by in the stream; the orders' creates come in last."""
+    log = Arriving(spark, sf_dir)
+    for part in ("d", "u", "c"):
+        log.arrive(part)
+        log.apply()
+        log.tables.fold()
+    rows = route(log.tables.after_cascades(), ORDERS)
+    return live_rows(rows).select("id", "customer_id")
+
+
 STEPS = ("latest", "deltas", "rejects", "cuts")
 
 
@@ -285,6 +314,8 @@ QUERIES = {
     "stream_truncate": stream_truncate,
     "stream_rejects": stream_rejects,
     "stream_atomic": stream_atomic,
+    "stream_net_counters": stream_net_counters,
+    "stream_cascade": stream_cascade,
 }
 
 _DOCUMENTS = f"""
@@ -320,6 +351,14 @@ select 'orders:status:' || st as key, cast(sum(case op when 'd' then -1 else 1 e
     "rebuild_then_stream": _DOCUMENTS,
     "stream_truncate": states.ORACLE["truncate_event"],
     "stream_rejects": envelopes.ORACLE["reject_ledger"],
+    "stream_net_counters": f"""
+with {ORDER_CTE}, {CUSTOMER_LATEST_CTE},
+kept as (select * from oe where ts > epoch_ms(timestamp '{states.TRUNCATED_AT}')
+         or (ts = epoch_ms(timestamp '{states.TRUNCATED_AT}') and off > (select max(off) from oe))),
+l as (select *, row_number() over (partition by id order by off desc) rn from kept)
+select 'orders' as "table", st as status, count(*) as n, cast(sum(amt) as decimal(38,2)) as amount from l where rn = 1 and op <> 'd' group by st
+union all select 'customers', null, count(*), cast(0 as decimal(38,2)) from cl where op <> 'd'""",
+    "stream_cascade": states.ORACLE["cascade_delete"],
     "stream_atomic": f"""
 with {ORDER_CTE}, {CUSTOMER_CTE}, n as (
   select (select count(*) from oe where op = 'u') as shipped, (select count(*) from oe where op = 'd') + (select count(*) from ce where op = 'd') + 1 as rejects,

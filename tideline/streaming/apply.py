@@ -15,6 +15,7 @@ from tideline.operators.counters import ROWS, deltas
 from tideline.operators.envelope import PLACE, changes, judged_changes
 from tideline.operators.state import latest_per_key
 from tideline.rules import DEFAULT, Rules
+from tideline.schema import CUSTOMERS
 from tideline.streaming.folders import Folders
 from tideline.streaming.tables import LATEST_COLUMNS, BatchTable, StateTables, last_cuts, rows_key
 
@@ -58,8 +59,9 @@ class ChangeSink(_Options):
         try:
             judged = flat if "reason" in flat.columns else flat.withColumn("reason", F.lit(None).cast("string"))
             # One look at the batch decides which tables get anything.
-            applied, rejected, cut = judged.agg(
-                F.count_if(F.col("reason").isNull()), F.count("reason"), F.count_if(F.col("reason") == "truncate")
+            left = F.col("reason").isNull() & (F.col("table") == CUSTOMERS) & (F.col("op") == "d")
+            applied, rejected, cut, gone = judged.agg(
+                F.count_if(F.col("reason").isNull()), F.count("reason"), F.count_if(F.col("reason") == "truncate"), F.count_if(left)
             ).first()
             changed = judged.where(F.col("reason").isNull()).drop("reason", *PLACE)
             writes: list[tuple[BatchTable, Callable[[], DataFrame]]] = []
@@ -72,6 +74,9 @@ class ChangeSink(_Options):
             if cut:
                 truncates = judged.where(F.col("reason") == "truncate")
                 writes.append((self.tables.cuts, lambda: last_cuts(truncates.select("table", F.col("ord").alias("cut")))))
+            if gone and "ord" in judged.columns:
+                deleted = judged.where(left).select(F.col("id").alias("customer_id"), F.col("ord.ts_ms").alias("gone_ms"))
+                writes.append((self.tables.gone, lambda: deleted.groupBy("customer_id").agg(F.max("gone_ms").alias("gone_ms"))))
             if writes:
                 with ThreadPoolExecutor(len(writes)) as pool:
                     for done in [pool.submit(inheritable_thread_target(self._write), t, rows, batch_id, epoch) for t, rows in writes]:

@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline.operators.counters import COUNTER, ROWS, SCORE, add_deltas
+from tideline.operators.envelope import route
 from tideline.operators.joins import MAX_BROADCAST_ROWS
-from tideline.operators.state import KEYS, after_cuts, latest_per_key, newest_wins
+from tideline.operators.state import KEYS, after_cuts, cascade_gone, latest_per_key, newest_wins
+from tideline.schema import ORDERS
 from tideline.session import cut_lineage
 from tideline.streaming.folders import Commit, Commits, Folders, Place, numbers
 
@@ -44,6 +46,7 @@ CUT_SCHEMA = """
     table string, cut struct<ts_ms: bigint, file: bigint, pos: bigint, row: bigint, is_change: int, offset: bigint>
 """
 REJECT_SCHEMA = "topic string, partition int, offset bigint, op string, table string, reason string"
+GONE_SCHEMA = "customer_id bigint, gone_ms bigint"
 DELTA_SCHEMA = "kind string, key string, value decimal(38,2)"
 
 
@@ -304,6 +307,8 @@ class StateTables:
     deltas: BatchTable
     cuts: BatchTable
     rejects: BatchTable
+    # deletes of customers, which take their orders along
+    gone: BatchTable
     commits: Commits
 
     @staticmethod
@@ -317,12 +322,13 @@ class StateTables:
             BatchTable(spark, f"{root}/deltas", DELTA_SCHEMA, add_deltas, lambda a, b: add_deltas(a.unionByName(b)), ("kind",), commits, Whole()),
             BatchTable(spark, f"{root}/cuts", CUT_SCHEMA, last_cuts, lambda a, b: last_cuts(a.unionByName(b)), (), commits, Whole()),
             BatchTable(spark, f"{root}/rejects", REJECT_SCHEMA, lambda d: d, DataFrame.unionByName, (), commits, Segments()),
+            BatchTable(spark, f"{root}/gone", GONE_SCHEMA, lambda d: d, DataFrame.unionByName, (), commits, Segments()),
             commits,
         )
 
     @property
     def all(self) -> tuple[BatchTable, ...]:
-        return self.latest, self.deltas, self.cuts, self.rejects
+        return self.latest, self.deltas, self.cuts, self.rejects, self.gone
 
     def pinned(self) -> StateTables:
         """The tables as of the last committed batch, however many batches come in while they are read.
@@ -352,6 +358,17 @@ class StateTables:
         tables = self.pinned()
         return after_cuts(tables.latest.read(), tables.cuts.read())
 
+    def after_cascades(self) -> DataFrame:
+        """``current`` without the orders that went with their customer, however late either of them came in.
+
+        The stored orders stay as they are: the ledger of deleted customers is met when they are read, by a
+        broadcast while it is small.
+        """
+        tables = self.pinned()
+        rows = tables.current()
+        orders = cascade_gone(route(rows, ORDERS), tables.gone.read())
+        return orders.unionByName(rows.where(F.col("table") != ORDERS))
+
     def counters(self) -> DataFrame:
         return self.deltas.read().where(F.col("kind") == COUNTER).select("key", "value")
 
