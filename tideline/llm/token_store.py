@@ -41,7 +41,7 @@ _TAIL = "<8sIIQQ"  # magic, version, bytes an id, documents, ids
 _MAGIC, _INDEX_MAGIC = b"TLIDS\0\0\1", b"TLMPH\0\0\1"
 _LEVELS, _BITS_PER_KEY = 32, 2
 # Ids that one shard is meant to hold, and keys of one index segment.
-SHARD_BYTES, SEGMENT_KEYS = 64 << 20, 32_000
+SHARD_BYTES, SEGMENT_KEYS = 32 << 20, 32_000
 _READ_AT_ONCE = 8 << 20
 
 
@@ -210,7 +210,8 @@ class Shard:
         raw = self._at(self.ids * self.width, 17 * self.docs)
         self.ends = np.frombuffer(raw, "<u8", self.docs).astype(np.int64)
         self.keys = np.frombuffer(raw, "<i8", self.docs, 8 * self.docs)
-        self.absent = np.frombuffer(raw, "u1", self.docs, 16 * self.docs).astype(bool)
+        # Documents without a key come first, the others by key.
+        self.without_key = int(np.frombuffer(raw, "u1", self.docs, 16 * self.docs).sum())
 
     def _at(self, offset: int, size: int) -> bytes:
         return self.file.read_at(size, offset)
@@ -220,9 +221,13 @@ class Shard:
 
     def records(self, key: int | None, record: int) -> range:
         """The records of a key that begin at ``record``; none if another key lies there."""
-        same = self.absent[record:] if key is None else (self.keys[record:] == key) & ~self.absent[record:]
-        stop = len(same) if same.all() else int(np.argmin(same))
-        return range(record, record + stop)
+        first = self.without_key
+        if key is None:
+            return range(record, max(record, first))
+        start = max(record, first)
+        if start >= self.docs or self.keys[start] != key:
+            return range(0)
+        return range(start, first + int(np.searchsorted(self.keys[first:], key, side="right")))
 
     def payloads(self, records: list[int]) -> Iterator[tuple[int, bytes]]:
         """(record, ids as little-endian unsigned 32-bit integers); neighbours are read together."""
@@ -398,24 +403,39 @@ class TokenStore:
         every stored document of ``keys`` (doc_id, any other columns; repeats count once). Unknown keys give no row."""
         root = self.root
 
-        def read_shard(group: pa.Table) -> pa.Table:
-            shard = Shard(f"{root}/shards/{group.column('shard')[0].as_py():08d}.ids")
-            wanted: dict[int, int | None] = {}
-            for key, record in zip(group.column("key").to_pylist(), group.column("record").to_pylist()):
-                wanted.update((r, key) for r in shard.records(key, record))
-            rows = [(wanted[r], shard.start(r), raw) for r, raw in shard.payloads(sorted(wanted))]
-            number = group.column("shard")[0].as_py()
-            shard.close()
-            columns = list(zip(*rows)) or [(), (), ()]
-            return pa.table(
-                [pa.array([number] * len(rows), pa.int32()), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-                names=["shard", "doc_id", "at", "ids"],
-            )
+        def read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard, number = None, None
+            for batch in batches:
+                asked = zip(*[c.to_pylist() for c in batch.columns])
+                for k, rows in groupby(asked, key=lambda r: r[0]):
+                    if k != number:
+                        if shard:
+                            shard.close()
+                        shard, number = Shard(f"{root}/shards/{k:08d}.ids"), k
+                    wanted = {r: key for _, record, key in rows for r in shard.records(key, record)}
+                    out: list[tuple] = []
+                    held = 0
+                    for r, raw in shard.payloads(sorted(wanted)):
+                        out.append((k, wanted[r], shard.start(r), raw))
+                        held += len(raw)
+                        if held > _READ_AT_ONCE:
+                            yield _documents(out)
+                            out, held = [], 0
+                    if out:
+                        yield _documents(out)
+            if shard:
+                shard.close()
 
-        documents = self.find(keys).groupBy("shard").applyInArrow(read_shard, "shard int, doc_id long, at long, ids binary")
+        asked = self.find(keys).select("shard", "record", "key").repartition("shard").sortWithinPartitions("shard", "record")
+        documents = asked.mapInArrow(read_shards, "shard int, doc_id long, at long, ids binary")
         return join_small(documents, self.totals(), ["shard"]).select("doc_id", (F.col("first_id") + F.col("at")).alias("start"), "ids")
 
 
+def _documents(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["shard", "doc_id", "at", "ids"])
+
+
 @functools.lru_cache(maxsize=4)
 def _segment_file(path: str) -> Segment:
     return Segment.read(path)
