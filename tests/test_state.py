@@ -99,3 +99,22 @@ def test_counts_of_a_table_missing_on_one_side(spark):
 def test_purge_keeps_rows_it_cannot_judge(spark):
     rows = spark.createDataFrame([(1,), (None,), (9,)], "id bigint")
     assert [r.id for r in purge(rows, F.col("id") >= 5).collect()] == [1, None]
+
+
+def test_ranges_find_what_rows_find(spark):
+    """Missing, extra and different rows, swapped NULLs among them, with few rows compared."""
+    from tideline.operators.reconcile import differing_ranges, reconcile_ranges, reconcile_rows
+
+    rows = spark.range(-2_000, 30_000).select("id", F.when(F.col("id") % 3 != 0, F.col("id")).alias("x"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("y"))
+    swapped = F.col("id") == 12_000
+    target = rows.where("id not in (-1999, 17)").select(
+        "id", F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("y")
+    ).unionByName(spark.createDataFrame([(40_000, 1, 1)], "id long, x long, y long"))
+    for fanout, leaf in ((4, 16), (256, 64), (2, 1)):
+        got = {(r["id"], r["verdict"]) for r in reconcile_ranges(rows, target, "id", fanout, leaf).collect()}
+        assert got == {(-1999, "missing"), (17, "missing"), (12_000, "different"), (40_000, "extra")}
+        ranges, width, _ = differing_ranges(rows, target, "id", fanout, leaf)
+        assert width == leaf and ranges.count() == 4
+    assert reconcile_ranges(rows, rows, "id").count() == 0
+    assert reconcile_ranges(rows.where("false"), rows.where("false"), "id").count() == 0
+    assert reconcile_ranges(rows, rows.where("false"), "id").count() == reconcile_rows(rows, rows.where("false"), "id").count()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.counters import top_members
 from tideline.operators.reconcile import all_in_sync, both_readable, reconcile_counts
+from tideline.operators.state import live_rows
 from tideline.schema import (
     CUSTOMERS,
     KEY_CUSTOMERS_TOTAL,
@@ -38,8 +39,11 @@ REPORT_GAUGES = {
     "throughput_e2e": "cdc_benchmark_throughput_e2e",
     "throughput_mysql": "cdc_benchmark_throughput_mysql",
     "sync_rate_pct": "cdc_benchmark_sync_rate_pct",
+    "redis_p50": "cdc_benchmark_redis_p50_ms",
+    "redis_p99": "cdc_benchmark_redis_p99_ms",
     "kafka_partitions": "cdc_benchmark_kafka_partitions",
     "spark_workers": "cdc_benchmark_spark_workers",
+    "trigger_interval": "cdc_benchmark_trigger_interval_s",
     "baseline_tps": "cdc_scale_baseline_tps",
     "scaled_tps": "cdc_scale_scaled_tps",
     "throughput_improvement_pct": "cdc_scale_improvement_pct",
@@ -96,3 +100,11 @@ def report_gauges(readings: DataFrame, at: Column) -> DataFrame:
 def taken(gauge_rows: DataFrame, at: Column) -> DataFrame:
     """Gauges with the time of their reading: rows of the history that rates and last values run over."""
     return gauge_rows.select(at.alias("ts"), "name", "value")
+
+
+def table_gauges(source_counts: DataFrame, tables, offsets: DataFrame) -> DataFrame:
+    """Every gauge from the state tables of a running stream: one version of all of them, and no parse of the log."""
+    view = tables.pinned()
+    live = live_rows(view.current().select("table", "op"))
+    target = live.groupBy("table").agg(F.count(F.lit(1)).cast("bigint").alias("target_rows"))
+    return gauges(source_counts, target, view.counters(), view.scores(), offsets)

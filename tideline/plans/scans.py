@@ -164,6 +164,9 @@ QUERIES = {
 }
 
 _DAY = "strftime(ts, '%Y-%m-%d')"
+_WORST = f"""
+select run_id, max(a) as p50_ms, max(b) as p99_ms from (
+  select {_DAY} as run_id, event_type, min(value) a, coalesce(max(value) filter (value > 250), 0) b from events group by 1, 2) group by 1"""
 
 ORACLE = {
     "src_from_offset": f"""
@@ -192,6 +195,7 @@ with {ORDER_CTE}, {CUSTOMER_CTE}, a as (
   union all select 'inventory.inventory.customers', id%3, max(off)+1 from ce group by 1, 2)
 select topic, cast(sum(e) as bigint) as end_offset, count(*) as partitions from a group by 1""",
     "report_scan": f"""
+with a as (
 select {_DAY} as run_id,
   coalesce(min(value) filter (event_type='view'), 0) as latency_p50,
   coalesce(max(value) filter (event_type='view'), 0) as latency_p95,
@@ -208,11 +212,10 @@ select {_DAY} as run_id,
   cast(0 as double) as scaled_p95_s
 from (select *, count(*) filter (event_type='view') over (partition by {_DAY}) v,
              count(*) filter (event_type='click') over (partition by {_DAY}) c from events)
-group by 1, v, c""",
-    "worst_group_latency": f"""
-with g as (select {_DAY} as run_id, event_type, min(value) a, coalesce(max(value) filter (value > 250), 0) b
-           from events group by 1, 2)
-select run_id, max(a) as p50_ms, max(b) as p99_ms from g group by 1""",
+group by 1, v, c),
+g as ({_WORST})
+select a.*, g.p50_ms as redis_p50, g.p99_ms as redis_p99, cast(2 as double) as trigger_interval from a join g using (run_id)""",
+    "worst_group_latency": _WORST,
     "metrics_text_scan": """
 select 'cdc_' || event_type as name, cast(cast(value as decimal(18,2)) as double) as value
 from events where event_id % 7 > 2""",

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.operators.counters import counters, scores
+from tideline.operators.counters import COUNTER, SCORE, deltas
 from tideline.operators.envelope import changes, parse_events
 from tideline.operators.gauges import gauges
 from tideline.operators.reconcile import (
     all_in_sync,
     both_readable,
     reconcile_counts,
+    reconcile_ranges,
     reconcile_rows,
+    stored_counts,
     table_counts,
 )
 from tideline.operators.runs import purge
@@ -34,7 +36,8 @@ from tideline.plans import logs
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
 from tideline.rules import Rules
 from tideline.schema import CUSTOMERS, ORDERS
-from tideline.session import new_folder
+from tideline.session import cut_lineage, new_folder
+from tideline.sources import feed
 from tideline.sources.log import topic_end_offsets
 from tideline.streaming.tables import StateTables
 
@@ -147,9 +150,22 @@ def whole_in_sync(spark, sf_dir):
 
 
 def both_stores_up(spark, sf_dir):
-    source, target = _both_counts(spark, sf_dir)
-    both = source.join(target, ["table"], "full")
-    return both.select("table", both_readable(F.col("source_rows"), F.col("target_rows")).alias("up"))
+    """Whether both sides can be read: with documents as they are, with the orders emptied, and with their store gone."""
+    root = new_folder(spark, "stores")
+    latest = latest_per_key(logs.both_changes(spark, sf_dir), CUSTOMER_VALUES + ORDER_VALUES[1:])
+    customer_documents(latest).write.parquet(f"{root}/customers")
+    orders = cut_lineage(order_documents(latest))
+    orders.write.parquet(f"{root}/orders")
+    orders.where("false").write.parquet(f"{root}/emptied")
+    source = table_counts(
+        {CUSTOMERS: logs.customer_table(spark, sf_dir), ORDERS: logs.order_table(spark, sf_dir)}, "source_rows"
+    )
+    seen = []
+    for case, folder in (("stored", "orders"), ("emptied", "emptied"), ("gone", "never-written")):
+        target = stored_counts(spark, {CUSTOMERS: f"{root}/customers", ORDERS: f"{root}/{folder}"}, "target_rows")
+        up = both_readable(F.col("source_rows"), F.col("target_rows"))
+        seen.append(source.join(target, ["table"], "full").select(F.lit(case).alias("case"), "table", "target_rows", up.alias("up")))
+    return feed.union_all(seen)
 
 
 def rows_reconciled(spark, sf_dir):
@@ -159,6 +175,15 @@ def rows_reconciled(spark, sf_dir):
     return reconcile_rows(source, target, "id")
 
 
+def ranges_reconciled(spark, sf_dir):
+    """Rows that differ between the order table and a copy that lost, gained and changed a few, found by digests of key ranges."""
+    rows = cut_lineage(logs.order_table(spark, sf_dir).drop("order_date"))
+    status = F.when(F.col("id") % 9_967 == 7, F.lit("CANCELLED")).otherwise(F.col("status"))
+    source = rows.where(F.col("id") % 9_973 != 5)
+    target = rows.where(F.col("id") % 9_949 != 3).withColumn("status", status)
+    return reconcile_ranges(source, target, "id")
+
+
 def purge_by_predicate(spark, sf_dir):
     rows = logs.customer_table(spark, sf_dir).select("id", "name")
     return purge(rows, F.col("id") >= PURGE_FROM_ID)
@@ -192,11 +217,18 @@ def newest_key(spark, sf_dir):
 
 
 def gauge_snapshot(spark, sf_dir):
-    """Every gauge once, from the tables and the state of their log."""
+    """Every gauge once, from the tables and the state of their log, which is parsed once."""
     log = logs.both_log(spark, sf_dir)
-    flat = changes(log)
-    source, target = _both_counts(spark, sf_dir)
-    return gauges(source, target, counters(flat), scores(flat), topic_end_offsets(log))
+    flat = cut_lineage(changes(log).drop("name", "masked_email"))
+    source = table_counts(
+        {CUSTOMERS: logs.customer_table(spark, sf_dir), ORDERS: logs.order_table(spark, sf_dir)}, "source_rows"
+    )
+    live = live_rows(latest_per_key(flat, ["op"]))
+    target = live.groupBy("table").agg(F.count(F.lit(1)).cast("bigint").alias("target_rows"))
+    added = cut_lineage(deltas(flat))  # a row per counter and customer
+    counted = added.where(F.col("kind") == COUNTER).select("key", "value")
+    scored = added.where(F.col("kind") == SCORE).select(F.col("key").alias("member"), F.col("value").alias("score"))
+    return gauges(source, target, counted, scored, topic_end_offsets(log))
 
 
 QUERIES = {
@@ -216,6 +248,7 @@ QUERIES = {
     "all_in_sync": whole_in_sync,
     "both_stores_up": both_stores_up,
     "reconcile_rows": rows_reconciled,
+    "reconcile_ranges": ranges_reconciled,
     "purge_by_predicate": purge_by_predicate,
     "prefix_like": prefix_like,
     "prefix_regex": prefix_regex,
@@ -273,11 +306,19 @@ where op <> 'd' and not exists (select 1 from cl where cl.id = ol.cid and cl.op
 select t as "table", s as source_rows, g as target_rows, s - g as lag, cast(s = g as bigint) as in_sync,
        case when s = g then 'IN SYNC' else 'OUT OF SYNC' end as text from c""",
     "all_in_sync": f"{_COUNTS} select cast(min(cast(s = g as integer)) as bigint) as in_sync from c",
-    "both_stores_up": f"""{_COUNTS} select t as "table", cast(1 as bigint) as up from c""",
+    "both_stores_up": f"""{_COUNTS},
+w as (select 'stored' as "case", t, g from c union all select 'emptied', t, case t when 'orders' then 0 else g end from c
+      union all select 'gone', t, case t when 'orders' then null else g end from c)
+select "case", t as "table", cast(g as bigint) as target_rows, cast(g is not null and s is not null as bigint) as up
+from w join (select t, s from c) using (t)""",
     "reconcile_rows": f"""
 with {ORDER_LATEST_CTE}
 select ob.id, case when ol.op = 'd' then 'missing' else 'different' end as verdict
 from ob join ol on ob.id = ol.id where ol.op = 'd' or ob.st <> ol.st""",
+    "reconcile_ranges": f"""
+with {ORDER_CTE}, s as (select id from ob where id % 9973 <> 5), t as (select id from ob where id % 9949 <> 3)
+select coalesce(s.id, t.id) as id, case when t.id is null then 'missing' when s.id is null then 'extra' else 'different' end as verdict
+from s full join t on s.id = t.id where s.id is null or t.id is null or s.id % 9967 = 7""",
     "purge_by_predicate": f"""
 select c_custkey as id, c_name as name from customer where not c_custkey >= {PURGE_FROM_ID}""",
     "prefix_like": """select c_custkey as id, c_name as name from customer where c_name like 'Customer_%'""",

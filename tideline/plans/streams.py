@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tideline.functions import status_key
 from tideline.operators.counters import top_members
 from tideline.operators.envelope import changes, route
+from tideline.operators.gauges import table_gauges, taken
+from tideline.operators.reconcile import table_counts
 from tideline.operators.state import customer_hashes, live_rows, order_documents
 from tideline.plans import envelopes, logs, states
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
@@ -18,7 +20,7 @@ from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, OR
 from tideline.schema import CUSTOMERS, ORDERS, topic_of
 from tideline.session import cut_lineage, new_folder
 from tideline.sources import feed
-from tideline.sources.log import read_files, stream_files, subscribe
+from tideline.sources.log import read_files, stream_files, subscribe, topic_end_offsets
 from tideline.streaming.apply import ChangeSink, preview, rebuild, run_available, running_aggregate, start, to_parquet
 from tideline.streaming.net import keep_net_totals, net_table, net_totals
 from tideline.streaming.progress import ProgressLog
@@ -258,6 +260,20 @@ def stream_cascade(spark, sf_dir):
     return live_rows(rows).select("id", "customer_id")
 
 
+def stream_gauges(spark, sf_dir):
+    """History of every gauge: read from the state tables after each batch, at the time of its newest event."""
+    log = Arriving(spark, sf_dir)
+    history = BatchTable(spark, f"{log.root}/gauges", "ts timestamp, name string, value double", lambda d: d, lambda a, b: a.unionByName(b))
+    source = table_counts({CUSTOMERS: logs.customer_table(spark, sf_dir), ORDERS: logs.order_table(spark, sf_dir)}, "source_rows")
+    for batch, part in enumerate(PARTS):
+        log.arrive(part)
+        log.apply()
+        stored = read_files(spark, log.path)
+        newest = stored.agg(F.max("timestamp")).scalar()
+        history.write_batch(taken(table_gauges(source, log.tables, topic_end_offsets(stored)), newest), batch)
+    return history.read().select(F.col("ts").cast("timestamp_ntz").alias("ts"), "name", "value")
+
+
 STEPS = ("latest", "deltas", "rejects", "cuts")
 
 
@@ -316,6 +332,7 @@ QUERIES = {
     "stream_atomic": stream_atomic,
     "stream_net_counters": stream_net_counters,
     "stream_cascade": stream_cascade,
+    "stream_gauges": stream_gauges,
 }
 
 _DOCUMENTS = f"""
@@ -325,6 +342,33 @@ _PER_PART = f"""
 with {ORDER_CTE}, {CUSTOMER_CTE}, e as (select op from oe union all select op from ce)
 select cast(case op when 'c' then 0 when 'u' then 1 else 2 end as bigint) as {{batch}}, count(*) as {{n}} from e group by 1"""
 
+
+
+def _gauges_sql() -> str:
+    stages = []
+    for k in range(len(PARTS)):
+        ops = ", ".join(f"'{p}'" for p in PARTS[: k + 1])
+        stages.append(f"""
+select * from (
+with o as (select * from oe where op in ({ops})), u as (select * from ce where op in ({ops})),
+ol as (select * from (select *, row_number() over (partition by id order by off desc) rn from o) where rn = 1 and op <> 'd'),
+cl as (select * from (select *, row_number() over (partition by id order by off desc) rn from u) where rn = 1 and op <> 'd'),
+c as (select 'customers' as t, (select count(*) from cb) as s, (select count(*) from cl) as g union all select 'orders', (select count(*) from ob), (select count(*) from ol)),
+g as (select 'cdc_mysql_' || t || '_total' as name, s as value from c
+  union all select 'cdc_mongo_' || t || '_total', g from c
+  union all select 'cdc_redis_customers_total', count(*) from u where op <> 'd'
+  union all select 'cdc_redis_orders_total', sum(case op when 'd' then -1 else 1 end) from o
+  union all select 'cdc_redis_top_customer_score', max(n) from (select count(*) n from o where op <> 'd' group by cid)
+  union all select 'cdc_kafka_orders_offset', sum(e) from (select max(off)+1 e from o group by id%3)
+  union all select 'cdc_kafka_customers_offset', sum(e) from (select max(off)+1 e from u group by id%3)
+  union all select 'cdc_pipeline_up', 1
+  union all select 'cdc_mysql_mongo_in_sync', min(cast(s = g as integer)) from c)
+select name, cast(value as double) as value from g
+union all select 'cdc_redis_orders_revenue', cast(sum(case op when 'd' then -amt else amt end) as double) from o
+) cross join (select make_timestamp(max(ts) * 1000) as ts from (select ts from oe where op in ({ops}) union all select ts from ce where op in ({ops})))""")
+    return f"with {ORDER_CTE}, {CUSTOMER_CTE}" + " union all ".join(stages)
+
+
 ORACLE = {
     "src_change_stream": f"""
 with {ORDER_CTE}, {CUSTOMER_CTE}
@@ -358,6 +402,7 @@ kept as (select * from oe where ts > epoch_ms(timestamp '{states.TRUNCATED_AT}')
 l as (select *, row_number() over (partition by id order by off desc) rn from kept)
 select 'orders' as "table", st as status, count(*) as n, cast(sum(amt) as decimal(38,2)) as amount from l where rn = 1 and op <> 'd' group by st
 union all select 'customers', null, count(*), cast(0 as decimal(38,2)) from cl where op <> 'd'""",
+    "stream_gauges": _gauges_sql(),
     "stream_cascade": states.ORACLE["cascade_delete"],
     "stream_atomic": f"""
 with {ORDER_CTE}, {CUSTOMER_CTE}, n as (

@@ -78,8 +78,9 @@ class ChangeSink(_Options):
                 deleted = judged.where(left).select(F.col("id").alias("customer_id"), F.col("ord.ts_ms").alias("gone_ms"))
                 writes.append((self.tables.gone, lambda: deleted.groupBy("customer_id").agg(F.max("gone_ms").alias("gone_ms"))))
             if writes:
+                in_thread = inheritable_thread_target(self.tables.latest.spark)
                 with ThreadPoolExecutor(len(writes)) as pool:
-                    for done in [pool.submit(inheritable_thread_target(self._write), t, rows, batch_id, epoch) for t, rows in writes]:
+                    for done in [pool.submit(in_thread(self._write), t, rows, batch_id, epoch) for t, rows in writes]:
                         done.result()
             if writes or self.commit_empty:
                 self.tables.commit(batch_id, applied, tuple(t.name for t, _ in writes), epoch)
