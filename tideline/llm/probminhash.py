@@ -270,28 +270,45 @@ def differences(refs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(both, step, "node long, lead long, size long, weight double, shingles array<long>")
 
 
+def centered(coded: DataFrame) -> DataFrame:
+    """``coded`` (lead, shingles, ...) with differences from the centre of a leader's members instead of the leader.
+
+    Shingles in which more than half of the members differ from the leader are the leader's own fault; the centre
+    has them the members' way. It need not be a text for the bounds to hold.
+    """
+    members = coded.groupBy("lead").agg(F.count("*").alias("members"))
+    odd = coded.select("lead", F.explode("shingles").alias("shingle")).groupBy("lead", "shingle").agg(F.count("*").alias("often"))
+    flips = odd.join(members, "lead").where("2 * often > members").groupBy("lead").agg(F.collect_list("shingle").alias("flips"))
+    own = F.array_union(F.array_except("shingles", "flips"), F.array_except("flips", "shingles"))
+    joined = coded.join(flips, "lead", "left").withColumn("shingles", F.coalesce(own, "shingles")).drop("flips")
+    return joined.withColumn("size", F.size("shingles").cast("long"))
+
+
 def sharing_a_difference(coded: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of different parts that can be similar for what they share of their differences from one leader.
+    """Pairs (a, b) of nodes of different parts that can be similar for what they share of their differences from one centre.
 
     ``coded``: node, lead, part, open (not of the leader's part), excess, size and shingles of the difference. The
     texts x and y differ by |dx| + |dy| - 2 |dx & dy| shingles, so they need 2 |dx & dy| >= excess of x + excess of y,
-    and of two texts at least one is open. Shingles are taken rarest first; two sets that share k of theirs share
-    one of the first |set| - k + 1 of each.
+    and of two texts at least one is open. They can share only what another difference has too. Shingles are taken
+    rarest first; two sets that share k of theirs share one of the first |set| - k + 1 of each.
     """
     least = coded.groupBy("lead").agg(F.min("excess").alias("any_least"), F.min(F.when(F.col("open"), F.col("excess"))).alias("open_least"))
-    # What the easiest partner asks for: any text for an open one, an open one for the others.
-    asked = F.ceil((F.col("excess") + F.when(F.col("open"), F.col("any_least")).otherwise(F.col("open_least"))) / 2 - F.lit(1e-6))
-    bound = coded.join(least, "lead").withColumn("kept", F.col("size") - F.greatest(asked, F.lit(1)) + 1).where("kept > 0")
-    each = bound.select("lead", "node", "part", "open", "excess", "size", "kept", F.explode("shingles").alias("shingle"))
+    each = coded.select("lead", "node", "part", "open", "excess", "size", F.explode("shingles").alias("shingle"))
     often = each.groupBy("lead", "shingle").agg(F.count("*").alias("often")).where("often > 1")
+    own = Window.partitionBy("lead", "node")
     # A shingle of one text alone meets nobody, but takes its place among the first.
-    ranked = each.join(often, ["lead", "shingle"], "left").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lead", "node").orderBy(F.coalesce("often", F.lit(1)), "shingle"))
+    ranked = each.join(often, ["lead", "shingle"], "left").select(
+        "*", F.count("often").over(own).alias("common"), F.row_number().over(own.orderBy(F.coalesce("often", F.lit(1)), "shingle")).alias("rank")
     )
-    first = ranked.where("rank <= kept and often is not null").select("lead", "shingle", "node", "part", "open", "excess", "size")
+    # What the easiest partner asks for: any text for an open one, an open one for the others.
+    easiest = F.when(F.col("open"), F.col("any_least")).otherwise(F.col("open_least"))
+    asked = F.greatest(F.ceil((F.col("excess") + easiest) / 2 - F.lit(1e-6)), F.lit(1))
+    first = ranked.join(least, "lead").where(
+        F.col("often").isNotNull() & (asked <= F.col("common")) & (F.col("rank") <= F.col("size") - asked + 1)
+    ).select("lead", "shingle", "node", "part", "open", "excess", "common")
     x, y = first.where("open").alias("x"), first.alias("y")
     met = x.join(y, [F.col("x.lead") == F.col("y.lead"), F.col("x.shingle") == F.col("y.shingle")]).where(
-        (F.col("x.part") != F.col("y.part")) & (F.col("x.excess") + F.col("y.excess") <= 2 * F.least("x.size", "y.size"))
+        (F.col("x.part") != F.col("y.part")) & (F.col("x.excess") + F.col("y.excess") <= 2 * F.least("x.common", "y.common") + F.lit(1e-6))
     )
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
@@ -358,7 +375,8 @@ def near_duplicate_classes(
     lead_part = placed.where("node = lead").select("lead", F.col("part").alias("lead_part")).distinct()
     refs = placed.select("node", "lead", "part", F.greatest("total", "lead_total").alias("most")).distinct().join(lead_part, "lead")
     far = F.lit((1 - threshold) / (1 + threshold))
-    coded = differences(refs.select("node", "lead"), texts).join(refs, ["node", "lead"])
+    coded = kept_table(differences(refs.select("node", "lead"), texts).join(refs, ["node", "lead"]), "differences")
+    coded = centered(coded)
     # An id with several texts is bounded by none of them.
     excess = F.when(F.col("most") >= 1e12, F.lit(-1e12)).otherwise(F.col("size") - far * F.col("weight"))
     coded = coded.select("node", "lead", "part", (F.col("part") != F.col("lead_part")).alias("open"), excess.alias("excess"), "size", "shingles")
