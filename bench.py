@@ -32,10 +32,12 @@ HEADLINES = [
     "fk_orphans",
     "reconcile_counts",
     "reconcile_rows",
+    "reconcile_ranges",
     "counters_all",
     "net_counters",
     "top_customers",
     "rate_30s",
+    "rate_extrapolated",
     "resample",
     "p95_index",
     "latency_percentiles",
