@@ -495,16 +495,28 @@ def test_pipeline_takes_effect(spark):
 def test_pipeline_of_odd_rows(spark, tmp_path):
     import corpus_pipeline
 
-    docs = odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    sentence = " ".join(f"{w} {w}er" for w in "red green blue amber violet umber teal grey pink brown".split())
+    whole = [sentence + f" row {i} " + " ".join(f"n{i}x{k}" for k in range(60)) for i in range(8)]
+    docs = odd_docs(spark, ODD + whole)
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = {t for _, t in texts_of(docs)}
     for rows in (docs, none_of(docs)):
         for name, stage in corpus_pipeline.STAGES:
-            rows = corpus_pipeline.kept_table(stage(spark, rows, str(tmp_path)), name)
+            before = rows
+            rows = corpus_pipeline.kept_table(stage(spark, before, str(tmp_path)), name)
+            if name == "packing":
+                check_packing(before, rows)
+                continue
+            assert rows.columns == docs.columns and rows.count() <= before.count()
+            # No stage makes rows up, and without secrets none changes a text.
+            assert {t for _, t in texts_of(rows)} <= texts
+        if before.count():
+            assert set(whole) <= {t for _, t in texts_of(before)}
 
 
 def test_every_query_is_registered():
     from __spark_entry__ import queries
 
     names = list(queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op") and re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names and set(ORACLE) <= set(names)

@@ -216,7 +216,9 @@ def with_quality(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAS
     """``docs`` without the rows that the rules or the outlier test reject.
 
     The statistics are worked out again beside the whole rows, which then meet only the small table of
-    groups: no text goes through a shuffle.
+    groups: no text goes through a shuffle. A null, empty or wordless text fails the rules and goes; null languages
+    and sources are groups of their own; repeated rows are judged alike and stay or go together; columns of any name
+    pass through; an empty table stays empty.
     """
     names, factors = _fitted(kept_table(_judged_by_rules(docs), "statistics"), least_rows)
     rows = _judged_by_rules(docs, carry=True).select("row", "lang", "source", "base_failed", *STATS)

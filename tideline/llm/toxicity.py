@@ -294,7 +294,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, **parameters) -> DataFra
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
-    """``docs`` without the rows that the model rejects; all columns stay as they are."""
+    """``docs`` without the rows that the model rejects; all columns stay as they are.
+
+    A null or empty text has the score of a text without features, which is that of the base rate; repeated rows stay
+    or go together; without labels of both kinds nothing goes but by the base rate; an empty table stays empty.
+    """
     model = learn(docs, labels, **parameters)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
