@@ -216,3 +216,27 @@ def test_rates_shuffle_readings_once(spark, capsys):
     plan = capsys.readouterr().out
     # The readings and, far smaller, the last value of each chunk and what it carries over.
     assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange") <= 4
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.01])
+def test_sketches_close_to_exact_ranks(spark, slack):
+    """Sketches of batches merge, and what they bound is exact, also where a bound misses."""
+    from tideline.operators.ranks import close_exactly, merged_sketches, sketched, sketched_bounds
+
+    data = shapes(3) | {"odd": [float("nan")] * 5 + [float("inf"), float("-inf")] + [float(v) for v in range(60)]}
+    rows = [(name, v) for name, values in data.items() for v in values] + [("hot", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "name string, v double").repartition(8)
+    parts = [sketched(df.where(F.pmod(F.xxhash64("v"), F.lit(3)) == k), ["name"], "v") for k in range(3)]
+    sketches = merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["name"])
+    picked = picked_columns(close_exactly(df, sketches, ["name"], "v", indexes(), slack), ["name"], ["p50", "p95"])
+    got = {r.name: repr((r.p50, r.p95)) for r in picked.collect()}
+    want = {}
+    for name, values in data.items():
+        ordered, n = sorted(values, key=lambda v: (v != v, v)), len(values)
+        want[name] = repr((ordered[n // 2], ordered[min(n * 95 // 100, n - 1)]))
+    assert got == want
+    # The published error of such a sketch, and a grid step to either side.
+    hot = sorted(data["hot"])
+    for r in sketched_bounds(sketches, ["name"], indexes(), 0.01).where("name = 'hot'").collect():
+        inside = sum(r["low"] <= v <= r["high"] for v in hot)
+        assert r["low"] <= hot[r["rank"]] <= r["high"] and inside < 0.06 * len(hot)

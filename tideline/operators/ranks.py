@@ -106,6 +106,63 @@ def pick_by_index(
     return match_keys(counted, targets, by).where(_holds_rank()).select(*groups, "stat", F.col(value).alias("picked"))
 
 
+# ---- ranks of what a stream has seen ----
+SKETCH_K, SLACK, GRID = 400, 0.01, 200
+SKETCHED = "n bigint, sketch binary"
+
+
+def sketched(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Count and quantile sketch of each group: a few kilobytes, however many readings. Sketches of batches merge."""
+    number = F.col(value).cast("double")
+    return rows.where(F.col(value).isNotNull()).groupBy(*groups).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.kll_sketch_agg_double(number, F.lit(SKETCH_K)).alias("sketch")
+    )
+
+
+def merged_sketches(sketches: DataFrame, groups: list[str]) -> DataFrame:
+    return sketches.groupBy(*groups).agg(F.sum("n").cast("bigint").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_bounds(sketches: DataFrame, groups: list[str], indexes: dict[str, Column], slack: float = SLACK) -> DataFrame:
+    """For each group and statistic the wanted position and two values that hold it, but for the sketch's rare misses."""
+    wanted = F.array(*[F.struct(F.lit(k).alias("stat"), i.cast("bigint").alias("rank")) for k, i in indexes.items()])
+    # The sketch answers for fixed shares only: a grid, of which the two places around the position are taken.
+    grid = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(k / GRID) for k in range(GRID + 1)]))
+    share = F.col("rank") / F.col("n")
+    place = F.greatest(F.floor((share - slack) * GRID), F.lit(0)), F.least(F.ceil((share + slack) * GRID), F.lit(GRID))
+    return sketches.select(*groups, "n", grid.alias("grid"), F.inline(wanted)).select(
+        *groups, "stat", "rank", *[F.get("grid", p.cast("int")).alias(name) for p, name in zip(place, ("low", "high"))]
+    )
+
+
+def close_exactly(
+    rows: DataFrame, sketches: DataFrame, groups: list[str], value: str, indexes: dict[str, Column], slack: float = SLACK
+) -> DataFrame:
+    """``pick_by_index`` with the sketches' help: readings below the bounds are only counted, those between looked at.
+
+    Exact: where the position does not lie between a sketch's bounds after all, its group is ranked as a whole.
+    """
+    rows = rows.where(F.col(value).isNotNull()).select(*groups, value)
+    bounds = cut_lineage(sketched_bounds(sketches, groups, indexes, slack))
+    number = F.col(value).cast("double")
+    near = join_small(rows, bounds, groups)
+    by = [*groups, "stat", "rank"]
+    counted = near.groupBy(*by).agg(
+        F.count_if(number < F.col("low")).alias("below"), F.count_if((number >= F.col("low")) & (number <= F.col("high"))).alias("between")
+    )
+    left = F.col("rank") - F.col("below")
+    counted = cut_lineage(counted.select(*by, left.alias("left"), ((left >= 0) & (left < F.col("between"))).alias("held")))
+    found = join_small(near, counted.where("held").select(*by, "left"), by).where((number >= F.col("low")) & (number <= F.col("high")))
+    # The statistic is a group of its own here; its position is carried along.
+    picked = pick_by_index(found.withColumnRenamed("stat", "name_of_stat"), [*groups, "name_of_stat", "left"], value, {"left": F.col("left")})
+    picked = picked.select(*groups, F.col("name_of_stat").alias("stat"), "picked")
+    missed = counted.where("not held").select(*groups).distinct()
+    if missed.isEmpty():
+        return picked
+    whole = pick_by_index(join_small(rows, missed, groups, "left_semi"), groups, value, indexes)
+    return join_small(picked, missed, groups, "left_anti").unionByName(whole)
+
+
 def _largest(sizes: DataFrame) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 

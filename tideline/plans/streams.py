@@ -13,8 +13,9 @@ from tideline.operators.counters import top_members
 from tideline.operators.envelope import changes, route
 from tideline.operators.gauges import table_gauges, taken
 from tideline.operators.reconcile import table_counts
+from tideline.operators.ranks import SKETCHED, close_exactly, merged_sketches, p50_index, p95_index, picked_columns, sketched
 from tideline.operators.state import customer_hashes, live_rows, order_documents
-from tideline.plans import envelopes, logs, states
+from tideline.plans import envelopes, logs, metrics, states
 from tideline.plans.aggregates import COUNTERS_SQL, SCORES_SQL, TOP_K
 from tideline.plans.logs import CUSTOMER_CTE, CUSTOMER_LATEST_CTE, ORDER_CTE, ORDER_LATEST_CTE, masked
 from tideline.schema import CUSTOMERS, ORDERS, topic_of
@@ -274,6 +275,28 @@ def stream_gauges(spark, sf_dir):
     return history.read().select(F.col("ts").cast("timestamp_ntz").alias("ts"), "name", "value")
 
 
+def stream_p95(spark, sf_dir):
+    """Median and p95 of readings that come in three parts: sketches kept per batch, folded, and closed exactly."""
+    root = new_folder(spark, "readings")
+    groups, value = ["name"], "value"
+    table = BatchTable(
+        spark, f"{root}/sketches", f"name string, {SKETCHED}", lambda d: merged_sketches(d, groups), lambda a, b: merged_sketches(a.unionByName(b), groups)
+    )
+    readings = logs.readings(spark, sf_dir)
+    for part in range(3):
+        readings.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/log")
+        query = (
+            spark.readStream.schema(readings.schema).parquet(f"{root}/log").writeStream
+            .foreachBatch(lambda rows, batch: table.write_batch(sketched(rows, groups, value), batch))
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        table.fold()
+    stored = spark.read.schema(readings.schema).parquet(f"{root}/log")
+    indexes = {"p50": p50_index(F.col("n")), "p95": p95_index(F.col("n"))}
+    return picked_columns(close_exactly(stored, table.read(), groups, value, indexes), groups, ["p50", "p95"])
+
+
 STEPS = ("latest", "deltas", "rejects", "cuts")
 
 
@@ -333,6 +356,7 @@ QUERIES = {
     "stream_net_counters": stream_net_counters,
     "stream_cascade": stream_cascade,
     "stream_gauges": stream_gauges,
+    "stream_p95": stream_p95,
 }
 
 _DOCUMENTS = f"""
@@ -402,6 +426,7 @@ kept as (select * from oe where ts > epoch_ms(timestamp '{states.TRUNCATED_AT}')
 l as (select *, row_number() over (partition by id order by off desc) rn from kept)
 select 'orders' as "table", st as status, count(*) as n, cast(sum(amt) as decimal(38,2)) as amount from l where rn = 1 and op <> 'd' group by st
 union all select 'customers', null, count(*), cast(0 as decimal(38,2)) from cl where op <> 'd'""",
+    "stream_p95": metrics.ORACLE["p95_index"],
     "stream_gauges": _gauges_sql(),
     "stream_cascade": states.ORACLE["cascade_delete"],
     "stream_atomic": f"""
