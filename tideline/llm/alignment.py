@@ -57,7 +57,7 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.library = LibraryIds(path_a, "alignment", spaced=True, specials=False, bound=100_000)
+        self.library = LibraryIds(path_a, "alignment", spaced=True, specials=False, bound=150_000)
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(path_a), piece_tokens(path_b)
         self.pools = tuple(np.frombuffer(b"".join(x), dtype=np.uint8) for x in (self.bytes_a, self.bytes_b))
@@ -131,7 +131,7 @@ class Tokens:
 
 
 def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Token numbers of both sides for each pair that shares a byte, in order of place."""
+    """Token numbers of both sides for each pair that shares a byte."""
     left, right = a.frame("a"), b.frame("b")
     covers_a = pd.merge_asof(left, right, on="start", by="doc")
     covers_b = pd.merge_asof(right, left, on="start", by="doc")
@@ -139,8 +139,16 @@ def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     inner = a.start[covers_b["a"].to_numpy()] != covers_b["start"].to_numpy() if len(covers_b) else np.zeros(0, dtype=bool)
     i = np.concatenate([covers_a["a"].to_numpy(), covers_b["a"].to_numpy()[inner]]).astype(np.int64)
     j = np.concatenate([covers_a["b"].to_numpy(), covers_b["b"].to_numpy()[inner]]).astype(np.int64)
-    order = np.argsort(i * (len(b.id) + 1) + j, kind="stable")
-    return i[order], j[order]
+    return i, j
+
+
+def ending_together(a: Tokens, b: Tokens, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that end at one byte, in order of place; a token ends together with one token at most."""
+    together = a.end[i] == b.end[j]
+    partner = np.full(len(a.id), -1, dtype=np.int64)
+    partner[i[together]] = j[together]
+    i = np.flatnonzero(partner >= 0)
+    return i, partner[i]
 
 
 def _groups(n: int, cuts: np.ndarray) -> np.ndarray:
@@ -183,9 +191,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         columns: list[list] = [[] for _ in range(6)]
         for _, part in text_slices(batch.column(1).to_pylist(), _CHARS):
             a, b = pair.tokens(part)
-            i, j = overlaps(a, b)
-            together = a.end[i] == b.end[j]
-            i, j = i[together], j[together]
+            i, j = ending_together(a, b, *overlaps(a, b))
             links = (a.id[i] * len(pair.bytes_b) + b.id[j]).astype("<u4")
             n_links = np.bincount(a.doc[i], minlength=len(part))
             group_a, group_b = _groups(len(a.id), i), _groups(len(b.id), j)
@@ -223,8 +229,10 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for _, part in text_slices(batch.column(1).to_pylist(), _CHARS):
             a, b = pair.tokens(part)
             i, j = overlaps(a, b)
-            together = a.end[i] == b.end[j]
-            group_a, group_b = _groups(len(a.id), i[together]), _groups(len(b.id), j[together])
+            order = np.lexsort((j, i))
+            i, j = i[order], j[order]
+            last_a, last_b = ending_together(a, b, i, j)
+            group_a, group_b = _groups(len(a.id), last_a), _groups(len(b.id), last_b)
             begin = np.zeros(len(part), dtype=np.int64)
             first = np.searchsorted(a.doc, np.arange(len(part)))
             group = np.zeros(len(part), dtype=np.int64)

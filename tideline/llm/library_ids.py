@@ -56,6 +56,13 @@ class LibraryIds:
         if not chunk.isascii() and BEYOND_LATIN.search(chunk) or (self.special and "<|" in chunk and self.special.fullmatch(chunk)):
             return None
         if self.spaced:
+            # Most chunks are a blank and a word, and perhaps signs after it.
+            bare = chunk[chunk[0] == " " :]
+            if bare.isalpha():
+                return chunk
+            word = bare.rstrip(_STOPS)
+            if word.isalpha():
+                return [chunk[: len(chunk) - len(bare) + len(word)], bare[len(word) :]]
             return _SPACED.findall(chunk)
         lower = chunk.lower()
         if lower.isalpha():
