@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -78,7 +77,6 @@ class Commits:
     path: str
     # Readers that must agree with each other look at nothing after this.
     upto: Place | None = None
-    _read: dict[str, Commit] = field(default_factory=dict, compare=False, repr=False)
 
     def _folders(self) -> Folders:
         return Folders(self.spark, self.path)
@@ -115,47 +113,47 @@ class Commits:
         return number
 
     # ---- records ----
-    def _file(self, place: Place) -> str:
-        return f"{self.path}/commits/epoch={place[0]},batch={place[1]}.json"
-
     def commit(self, done: Commit) -> None:
-        self._folders().write(self._file(done.place), json.dumps({"changes": done.changes, "tables": list(done.tables)}))
+        """The record is a file whose name says all, so that readers list a folder and open nothing."""
+        epoch, batch = done.place
+        self._folders().write(f"{self.path}/commits/epoch={epoch},batch={batch},changes={done.changes},tables={'+'.join(done.tables)}.json", "{}")
+
+    def _records(self) -> dict[Place, str]:
+        """File of each batch that has a record, in order."""
+        found = self._folders().found(f"{self.path}/commits/epoch=*.json")
+        return dict(sorted((numbers(",".join(path.rpartition("/")[2].split(",")[:2])), path) for path in found))
 
     def is_committed(self, place: Place) -> bool:
         """Whether a record is there, or was there before a fold took it along."""
-        kept = self._kept()
-        return place in kept or any(place <= folded and place[0] == folded[0] for folded in self._folded())
-
-    def _kept(self) -> list[Place]:
-        return sorted(numbers(path) for path in self._folders().found(f"{self.path}/commits/epoch=*.json"))
+        return place in self._records() or any(place <= folded and place[0] == folded[0] for folded in self._folded())
 
     def _folded(self) -> list[Place]:
         return sorted(numbers(path) for path in self._folders().found(f"{self.path}/folded/epoch=*.json"))
 
     def first_epoch(self) -> int:
         """The last replacing epoch with a record: what lies before it does not count any more."""
-        begun = {epoch for epoch, _ in self._kept() + self._folded()}
+        begun = {epoch for epoch, _ in [*self._records(), *self._folded()]}
         return max((e for e, fresh in self.epochs().items() if fresh and e in begun), default=0)
 
-    def places(self) -> list[Place]:
+    def committed(self) -> list[Commit]:
         """Committed batches whose records are kept, in order."""
-        first = self.first_epoch()
-        return [p for p in self._kept() if p[0] >= first and (self.upto is None or p <= self.upto)]
+        first, out = self.first_epoch(), []
+        for place, path in self._records().items():
+            if place[0] >= first and (self.upto is None or place <= self.upto):
+                said = dict(part.split("=", 1) for part in path.rpartition("/")[2].removesuffix(".json").split(","))
+                out.append(Commit(place, int(said["changes"]), tuple(said["tables"].split("+"))))
+        return out
 
-    def record(self, place: Place) -> Commit:
-        path = self._file(place)
-        if path not in self._read:
-            found = json.loads(self._folders().read(path))
-            self._read[path] = Commit(place, found["changes"], tuple(found["tables"]))
-        return self._read[path]
+    def places(self) -> list[Place]:
+        return [c.place for c in self.committed()]
 
     def drop_covered(self, place: Place) -> None:
         """Forgets the records up to one that every table's base covers; the place itself stays known."""
         folders = self._folders()
         folders.write(f"{self.path}/folded/epoch={place[0]},batch={place[1]}.json", "{}")
-        for p in self._kept():
+        for p, path in self._records().items():
             if p <= place:
-                folders.remove(self._file(p))
+                folders.remove(path)
         last_of_epoch = {p[0]: p for p in self._folded()}
         for p in self._folded():
             if p != last_of_epoch[p[0]]:

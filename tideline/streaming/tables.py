@@ -103,7 +103,7 @@ class BatchTable:
         """Committed batches that gave this table rows and whose folders are kept, in order."""
         if self.commits is None:
             return self._written()
-        return [p for p in self.commits.places() if self.name in self.commits.record(p).tables]
+        return [c.place for c in self.commits.committed() if self.name in c.tables]
 
     def batch_ids(self) -> list[int]:
         written = set(self._written())
@@ -152,7 +152,7 @@ class BatchTable:
 
     def changes_in(self, places: list[Place]) -> int | None:
         """A bound on the rows of batches, by their records."""
-        return sum(self.commits.record(p).changes for p in places) if self.commits else None
+        return sum(c.changes for c in self.commits.committed() if c.place in set(places)) if self.commits else None
 
     def read(self) -> DataFrame:
         """The table as of the last committed batch."""
