@@ -16,6 +16,7 @@ from tideline.operators.reconcile import stored_counts
 from tideline.operators.state import cascade_deletes, latest_of, live_rows, survive_truncates
 from tideline.session import new_folder
 from tideline.sources.log import stream_files
+from tideline.streaming import net
 from tideline.streaming.net import keep_net_totals, net_table, net_totals
 
 
@@ -47,6 +48,25 @@ def test_net_totals_in_any_order(spark, seed):
     assert rows(net_totals(table)) == rows(whole_totals(log_of(spark, events)))
 
 
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_net_totals_without_a_call_per_key(spark, monkeypatch, most):
+    """Images in tables rather than in Spark's state, read one by one from Python; the same over folds and with any join."""
+    monkeypatch.setattr(net, "FOLD_EVERY", 2)
+    monkeypatch.setattr(net, "MAX_BROADCAST_ROWS", most)
+    rng = random.Random(3)
+    events = [order(rng.choice("cuud"), rng.randint(1, 9), offset, rng.choice(["", "PENDING", "SHIPPED"])) for offset in range(60)]
+    events.append(truncate(20))
+    rng.shuffle(events)
+    root = new_folder(spark, "net")
+    table = net_table(spark, f"{root}/net")
+    for k in range(0, len(events), 11):
+        log_of(spark, events[k : k + 11]).write.mode("append").parquet(f"{root}/log")
+        query = keep_net_totals(stream_files(spark, f"{root}/log"), table, f"{root}/checkpoint", buckets=2)
+        query.awaitTermination()
+        assert not query.lastProgress["stateOperators"]
+    assert rows(net_totals(table)) == rows(whole_totals(log_of(spark, events)))
+
+
 def test_a_retried_batch_of_totals_replaces_itself(spark):
     table = net_table(spark, f"{new_folder(spark, 'net')}/net")
     batch = spark.createDataFrame([("orders", "PENDING", 2, 5)], "table string, status string, n bigint, amount int")

@@ -1,120 +1,94 @@
 """True totals kept by a stream, also from a log without before-images.
 
-Spark keeps the last image of each key as state (``transformWithState``, RocksDB). A change takes the stored image
-out of the totals and puts its own in, so what a batch adds is a handful of signed rows. Keys are dealt to a fixed
-number of buckets, each the owner of a map from key to image: a truncate goes to every bucket and takes out the
-images from before it, and is remembered there for changes that come late. Whatever the order in which the log's
-records arrive, the totals are those of the last change of each key since its table's last truncate.
+The last image of each key is kept beside the checkpoint, as a table of batch folders and a base in buckets. A change
+takes the stored image out of the totals and puts its own in, so what a batch adds is a handful of signed rows. Stored
+and new images meet in one shuffled aggregate; a small batch is broadcast to the stored ones first. A truncate is kept
+like an image: it takes out the images from before it, and is remembered for changes that come late. Whatever the order
+in which the log's records arrive, the totals are those of the last change of each key since its table's last truncate.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.envelope import judged_changes
+from tideline.operators.joins import MAX_BROADCAST_ROWS, match_keys
+from tideline.operators.state import KEYS, latest_per_key
 from tideline.rules import DEFAULT, Rules
 from tideline.schema import MONEY, ORDERS
-from tideline.streaming.tables import BatchTable
-
-_ORDER = ["ts_ms", "file", "pos", "row", "is_change", "offset"]
-_PLACE = [StructField(name, LongType()) for name in _ORDER]
-_KEY = StructType([StructField("table", StringType()), StructField("id", LongType())])
-_IMAGE = StructType([*_PLACE, StructField("live", BooleanType()), StructField("status", StringType()), StructField("cents", LongType())])
-_DELTA = StructType(
-    [StructField("table", StringType()), StructField("status", StringType()), StructField("n", LongType()), StructField("cents", LongType())]
-)
+from tideline.streaming.folders import Commit, Commits
+from tideline.streaming.tables import BatchTable, Buckets
+
 NET_SCHEMA = "table string, status string, n bigint, amount decimal(38,2)"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class LastImages(StatefulProcessor):
-    """The images of one bucket of keys."""
-
-    def init(self, handle) -> None:
-        self.images = handle.getMapState("images", _KEY, _IMAGE)
-        self.cuts = handle.getMapState("cuts", StructType([StructField("table", StringType())]), StructType(_PLACE))
-
-    def close(self) -> None:
-        pass
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        newest: dict[tuple, tuple] = {}
-        truncated: dict[str, tuple] = {}
-        for r in rows:
-            at = tuple(int(r[c]) for c in _ORDER)
-            if r["truncate"]:
-                truncated[r["table"]] = max(at, truncated.get(r["table"], at))
-            elif (name := (r["table"], r["id"])) not in newest or newest[name][0] < at:
-                newest[name] = at, bool(r["live"]), r["status"], int(r["cents"])
-        totals: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
-
-        def count(sign: int, table: str, status: str, cents: int) -> None:
-            total = totals[table, status]
-            total[0] += sign
-            total[1] += sign * cents
-
-        for table, at in truncated.items():
-            self._cut(table, at, count)
-        cuts = {table: self._cut_of(table) for table in {t for t, _ in newest}}
-        for name, (at, live, status, cents) in newest.items():
-            cut = cuts[name[0]]
-            if cut is not None and at <= cut:
-                continue
-            stored = self.images.getValue(name)
-            if stored is not None:
-                if tuple(stored[: len(_ORDER)]) >= at:
-                    continue
-                if stored[-3]:
-                    count(-1, name[0], stored[-2], stored[-1])
-            if live:
-                count(1, name[0], status, cents)
-            # A deleted key keeps its place, so that an older change that comes late does not bring it back.
-            self.images.updateValue(name, (*at, live, status, cents))
-        for (table, status), (n, cents) in totals.items():
-            if n or cents:
-                yield Row(table=table, status=status, n=n, cents=cents)
-
-    def _cut_of(self, table: str) -> tuple | None:
-        found = self.cuts.getValue((table,))
-        return None if found is None else tuple(found)
-
-    def _cut(self, table: str, at: tuple, count) -> None:
-        before = self._cut_of(table)
-        if before is not None and before >= at:
-            return
-        self.cuts.updateValue((table,), at)
-        gone = []
-        for name, image in self.images.iterator():
-            if name[0] == table and tuple(image[: len(_ORDER)]) <= at:
-                gone.append(tuple(name))
-                if image[-3]:
-                    count(-1, table, image[-2], image[-1])
-        for name in gone:
-            self.images.removeKey(name)
-
-
-def net_changes(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False, buckets: int = 64) -> DataFrame:
-    """A log stream as signed changes of the totals: table, status, n, cents. ``buckets`` stay as they are for the life of a checkpoint."""
+IMAGE_SCHEMA = """
+    table string, id bigint, truncate boolean,
+    ord struct<ts_ms: bigint, file: bigint, pos: bigint, row: bigint, is_change: int, offset: bigint>,
+    live boolean, status string, amount decimal(12,2)
+"""
+# The base is written on after so many batches.
+FOLD_EVERY = 8
+
+
+def _newest(images: DataFrame) -> DataFrame:
+    # A deleted key keeps its place, so that an older change that comes late does not bring it back.
+    return latest_per_key(images, keys=[*KEYS, "truncate"])
+
+
+def image_table(spark: SparkSession, checkpoint: str, buckets: int) -> BatchTable:
+    """Last images and last truncates, as of the last committed batch of a checkpoint."""
+    root = f"{checkpoint}/net"
+    return BatchTable(
+        spark, f"{root}/images", IMAGE_SCHEMA, _newest, lambda a, b: _newest(a.unionByName(b)), ("truncate",), Commits(spark, root), Buckets(buckets)
+    )
+
+
+def net_images(log: DataFrame, rules: Rules = DEFAULT, wrapped: bool = False) -> DataFrame:
+    """A log as images: what each change leaves of its key, and truncates, which have no key."""
     judged = judged_changes(log, rules, wrapped)
     truncate = F.coalesce(F.col("reason") == "truncate", F.lit(False))
-    own = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
     status = F.col("status")
     if rules.null_status is not None:
         status = F.when(F.col("table") == ORDERS, F.coalesce(status, F.lit(rules.null_status))).otherwise(status)
-    rows = judged.where(F.col("reason").isNull() | truncate).select(
-        F.explode(F.when(truncate, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(own))).alias("bucket"),
-        "table", "id", truncate.alias("truncate"), (~F.col("op").eqNullSafe("d")).alias("live"),
-        F.coalesce(status, F.lit("")).alias("status"), F.coalesce((F.col("total_amount") * 100).cast("bigint"), F.lit(0)).alias("cents"),
-        *[F.col(f"ord.{c}").cast("bigint").alias(c) for c in _ORDER],
+    return judged.where(F.col("reason").isNull() | truncate).select(
+        "table", F.when(~truncate, F.col("id")).alias("id"), truncate.alias("truncate"), "ord",
+        (~truncate & ~F.col("op").eqNullSafe("d")).alias("live"), F.when(~truncate, status).alias("status"), F.col("total_amount").alias("amount"),
     )
-    return rows.groupBy("bucket").transformWithState(LastImages(), _DELTA, "Append", "None")
+
+
+def _cuts(images: DataFrame, name: str) -> DataFrame:
+    """One row per table with a truncate."""
+    return F.broadcast(images.where("truncate").groupBy("table").agg(F.max("ord").alias(name)))
+
+
+def net_changes(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Signed changes of the totals from the images so far and those of a batch, one row of ``fresh`` per key."""
+    changed, cuts = fresh.groupBy().agg(F.count_if(~F.col("truncate")), F.count_if("truncate")).first()
+    old = stored.where(~F.col("truncate"))
+    if not cuts and changed <= MAX_BROADCAST_ROWS:
+        old = match_keys(old, F.broadcast(fresh.where(~F.col("truncate")).select(*KEYS)), KEYS, "left_semi")
+    last = F.struct("ord", "live", "status", "amount")
+    both = old.select(*KEYS, last.alias("old"), last.alias("new")).unionByName(
+        fresh.where(~F.col("truncate")).select(*KEYS, last.alias("new")), allowMissingColumns=True
+    )
+    keyed = both.groupBy(*KEYS).agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    met = match_keys(keyed, _cuts(stored, "before"), ["table"], "left")
+    met = match_keys(met, _cuts(stored.unionByName(fresh), "after"), ["table"], "left")
+    met = met.where(~F.col("old").eqNullSafe(F.col("new")) | ~F.col("before").eqNullSafe(F.col("after")))
+
+    def signed(image: str, cut: str, sign: int):
+        counts = F.col(f"{image}.live") & (F.col(cut).isNull() | (F.col(f"{image}.ord") > F.col(cut)))
+        amount = F.coalesce(F.col(f"{image}.amount").cast(MONEY), F.lit(0).cast(MONEY))
+        return F.when(
+            counts,
+            F.struct(
+                F.col(f"{image}.status").alias("status"), F.lit(sign).cast("bigint").alias("n"), (amount if sign > 0 else -amount).cast(MONEY).alias("amount")
+            ),
+        )
+
+    moved = met.select("table", F.inline(F.array_compact(F.array(signed("old", "before", -1), signed("new", "after", 1)))))
+    return _summed(moved).where((F.col("n") != 0) | (F.col("amount") != 0))
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -134,21 +108,25 @@ def net_totals(table: BatchTable) -> DataFrame:
 def keep_net_totals(
     log: DataFrame, table: BatchTable, checkpoint: str, interval: str | None = None, rules: Rules = DEFAULT, wrapped: bool = False, buckets: int = 64
 ) -> StreamingQuery:
-    """Runs a log stream into the totals; without an interval, takes what is there and stops. A retried batch replaces itself."""
-    spark = log.sparkSession
+    """Runs a log stream into the totals; without an interval, takes what is there and stops. A retried batch replaces itself.
+
+    ``buckets``: of the stored images; they stay as they are for the life of a checkpoint.
+    """
+    images = image_table(log.sparkSession, checkpoint, buckets)
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        status = F.when(F.col("status") != "", F.col("status")).alias("status")
-        amount = (F.col("cents").cast("decimal(38,0)") / 100).cast(MONEY).alias("amount")
-        table.write_batch(_summed(rows.select("table", status, "n", amount)), batch_id)
-
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
-    try:
-        writer = (
-            net_changes(log, rules, wrapped, buckets).writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
-        )
-        trigger = {"processingTime": interval} if interval else {"availableNow": True}
-        return writer.trigger(**trigger).start()  # the query keeps the settings that it starts with
-    finally:
-        spark.conf.set(_PROVIDER, before)
+        place = (0, batch_id)
+        if not images.commits.is_committed(place):
+            stored = images.pieces()
+            images.write_batch(_newest(rows), batch_id)
+            fresh = images.batches([place])
+            table.write_batch(net_changes(stored, fresh), batch_id)
+            images.commits.commit(Commit(place, fresh.count(), (images.name,)))
+        if (batch_id + 1) % FOLD_EVERY == 0:
+            before = images.base()
+            images.fold()
+            if before:
+                images.commits.drop_covered(before.place)
+
+    writer = net_images(log, rules, wrapped).writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()

@@ -158,6 +158,14 @@ class BatchTable:
         """The table as of the last committed batch."""
         return self._current().select(*StructType.fromDDL(self.schema).names)
 
+    def pieces(self) -> DataFrame:
+        """Rows of the base and of every committed batch since, not combined: for readers that combine them with more."""
+        base = self.base()
+        newer = self.batches(self._newer(base))
+        if base is None:
+            return newer
+        return self.parts(sorted({folder for folder, _ in base.parts.values()})).drop("bucket").unionByName(newer)
+
     def _current(self) -> DataFrame:
         base = self.base()
         newer = self._newer(base)
