@@ -320,6 +320,19 @@ def test_packing_over_several_rounds(spark):
     assert used <= 1.1 * least + 1
 
 
+def test_packing_goes_on_while_rounds_save_sequences(spark):
+    """Pieces that fit badly: three rounds of a short search need 133 sequences, the bound is 126."""
+    rng = random.Random(7)
+    lengths = [rng.randint(300, 2000) for _ in range(600)] + [rng.randint(700, 1900) for _ in range(400)]
+    pieces = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths[600:])], packing.PIECES)
+    packed = packing.pack_pieces(pieces, block_items=40).collect()
+    fill = defaultdict(int)
+    for r in packed:
+        fill[r["sequence_id"]] += r["length"]
+    assert sorted(r["doc_id"] for r in packed) == list(range(400)) and max(fill.values()) <= 4096
+    assert len(fill) <= 131
+
+
 def test_island_never_loses_a_piece():
     lengths = np.random.default_rng(0).integers(1, 900, 400).astype(np.int64)
     island = packing.Island(lengths, 1000, 1)
