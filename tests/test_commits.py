@@ -162,6 +162,26 @@ def test_many_changes_and_many_folds(spark, tables):
     assert max(age for _, age in small.base().parts.values()) < 2
 
 
+def test_a_fold_of_many_changes_writes_the_base_only(spark, tables, monkeypatch):
+    """No copy of the changes beside the base, and late changes still lose to what is stored."""
+    from tideline.streaming import tables as module
+
+    def written(frame):
+        raise AssertionError("rows were written beside the base")
+
+    monkeypatch.setattr(module, "cut_lineage", written)
+    table = tables.latest
+    large = BatchTable(**{**vars(table), "base_kind": type(table.base_kind)(4, max_rows=3)})
+    for batch, (first, offset, status) in enumerate([(0, 100, "A"), (10, 50, "LATE"), (5, 200, "B")]):
+        events = [order("u", k, offset + k, status) for k in range(first, first + 20)]
+        large.write_batch(latest_per_key(changes(log_of(spark, events))), batch)
+        tables.commit(batch, len(events), ("latest",))
+        assert large.fold() == batch
+    want = {k: "B" if 5 <= k < 25 else "A" if k < 20 else "LATE" for k in range(30)}
+    got = large.read().collect()
+    assert {r["id"]: r["status"] for r in got} == want and len(got) == len(want)
+
+
 def test_segments_are_written_again_a_few_times_only(spark):
     table = BatchTable(spark, new_folder(spark, "segments") + "/t", "n bigint", lambda d: d, lambda a, b: a.unionByName(b), base_kind=Segments(3))
     for batch in range(12):

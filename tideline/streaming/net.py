@@ -40,7 +40,7 @@ def image_table(spark: SparkSession, checkpoint: str, buckets: int) -> BatchTabl
     """Last images and last truncates, as of the last committed batch of a checkpoint."""
     root = f"{checkpoint}/net"
     return BatchTable(
-        spark, f"{root}/images", IMAGE_SCHEMA, _newest, lambda a, b: _newest(a.unionByName(b)), ("truncate",), Commits(spark, root), Buckets(buckets)
+        spark, f"{root}/images", IMAGE_SCHEMA, _newest, lambda a, b: _newest(a.unionByName(b)), ("truncate",), Commits(spark, root), Buckets(buckets, keys=(*KEYS, "truncate"))
     )
 
 

@@ -229,6 +229,8 @@ class Buckets:
 
     count: int = 16
     key: str = "id"
+    # what names a row; the last one by order counts
+    keys: tuple[str, ...] = tuple(KEYS)
     # A bucket gets one more file each time it is written on, so it is dealt anew after so many times.
     rounds: int = 8
     # Rows of new changes that may be broadcast; keys and orders are of fixed width, about a hundred bytes.
@@ -244,6 +246,9 @@ class Buckets:
         return kept.unionByName(fresh)
 
     def folded(self, table: BatchTable, before: Version | None, places: list[Place], last: Place) -> dict[str, tuple[str, int]]:
+        folder = _folder(last, "upto")
+        if table.batches(places).count() > self.max_rows:  # by the files' own counts
+            return self._rewritten(table, before, places, folder)
         # Written once to the shared folder: every step below reads it from there.
         newest = cut_lineage(table.combine(table.batches(places)).withColumn("bucket", self.bucket()))
         touched = newest.groupBy("bucket").count().collect()  # at most as many rows as buckets
@@ -252,17 +257,13 @@ class Buckets:
         rows, dealt = newest, [r["bucket"] for r in touched]
         if old:
             state = table.parts([folder for folder, _ in old.values()], ", bucket int")
-            if sum(r["count"] for r in touched) > self.max_rows:
-                rows = table.merge(state.drop("bucket"), newest.drop("bucket")).withColumn("bucket", self.bucket()).repartition("bucket")
-            else:
-                kept, fresh = newest_wins(state, newest)
-                dealt = [b for b, (_, age) in old.items() if age + 1 >= self.rounds]
-                rows = fresh.repartition("bucket").unionByName(kept.where(~F.col("bucket").isin(dealt)) if dealt else kept)
-                if dealt:
-                    rows = rows.unionByName(kept.where(F.col("bucket").isin(dealt)).repartition("bucket"))
+            kept, fresh = newest_wins(state, newest)
+            dealt = [b for b, (_, age) in old.items() if age + 1 >= self.rounds]
+            rows = fresh.repartition("bucket").unionByName(kept.where(~F.col("bucket").isin(dealt)) if dealt else kept)
+            if dealt:
+                rows = rows.unionByName(kept.where(F.col("bucket").isin(dealt)).repartition("bucket"))
         else:
             rows = rows.repartition("bucket")
-        folder = _folder(last, "upto")
         table._write(rows, f"{table.path}/base/data/{folder}", ("bucket", *table.split_by))
         for r in touched:
             b = r["bucket"]
@@ -270,6 +271,16 @@ class Buckets:
             parts[str(b)] = (f"{folder}/bucket={b}", age)
         return parts
 
+    def _rewritten(self, table: BatchTable, before: Version | None, places: list[Place], folder: str) -> dict[str, tuple[str, int]]:
+        """Every bucket anew, for changes that are too many to broadcast: one shuffle deals rows to buckets and settles keys there."""
+        rows = table.batches(places)
+        if before and before.parts:
+            rows = rows.unionByName(table.parts(sorted({f for f, _ in before.parts.values()})).drop("bucket"))
+        rows = latest_per_key(rows.withColumn("bucket", self.bucket()).repartition("bucket"), keys=["bucket", *self.keys])
+        table._write(rows, f"{table.path}/base/data/{folder}", ("bucket", *table.split_by))
+        written = table.folders().found(f"{table.path}/base/data/{folder}/bucket=*")
+        return {b: (f"{folder}/bucket={b}", 0) for b in (path.rpartition("=")[2] for path in written)}
+
 
 @dataclass(frozen=True)
 class Segments:
