@@ -75,6 +75,57 @@ def test_far_copies_make_few_pairs(spark):
     assert pairs < 0.2 * opened * len(coded)
 
 
+def test_differences_from_a_weighed_centre_rule_out_no_similar_pair():
+    """The bounds by what the centre holds and what each text has over it, whatever the centre's shingles and weights."""
+    rng = np.random.default_rng(5)
+    similar_ones = 0
+    for _ in range(4000):
+        base = np.unique(rng.integers(0, 40, int(rng.integers(10, 60))))
+        weights = rng.choice([1, 1, 2, 30], 40)
+
+        def near():
+            e = np.setxor1d(base, rng.integers(0, 40, int(rng.integers(0, 6))))
+            return e, np.maximum(weights[e] + rng.integers(-1, 2, len(e)), 1)
+
+        (x, wx), (y, wy) = near(), near()
+        if not len(x) or not len(y):
+            continue
+        centre, held = near()[0], rng.integers(0, 3, 40) * weights
+        similar = probminhash.probability_jaccard((x, wx), (y, wy))
+        dx, dy = np.setxor1d(x, centre), np.setxor1d(y, centre)
+        shared = len(np.intersect1d(dx, dy))
+        for threshold in (0.5, 0.8):
+            similar_ones += similar >= threshold
+            room = (1 - threshold) * (held.sum() + sum(np.maximum(w - held[e], 0).sum() for e, w in ((x, wx), (y, wy))))
+            mass = sum(len(d) + (w[np.isin(e, d)] - 1).sum() for d, e, w in ((dx, x, wx), (dy, y, wy)))
+            assert similar < threshold or len(dx) + len(dy) - room <= 2 * shared + 1e-9
+            assert similar < threshold or shared or mass - room <= 1e-9
+    assert similar_ones > 500
+
+
+def test_a_passage_that_many_texts_repeat_makes_few_pairs(spark, monkeypatch):
+    """Texts that are mostly one repeated passage, each with a body of its own, are not compared pair by pair."""
+    compared = []
+    real = probminhash.verified
+
+    def counted(pairs, texts, threshold):
+        compared.append(pairs.count())
+        return real(pairs, texts, threshold)
+
+    monkeypatch.setattr(probminhash, "verified", counted)
+    rng = random.Random(6)
+    # Parts of a body are found in other bodies too, so no text is ruled out for what it holds alone.
+    blocks = [" ".join(f"b{k}_{i}" for i in range(20)) for k in range(50)]
+    bodies = [rng.sample(blocks, 1) for _ in range(8)] + [rng.sample(blocks, 3) for _ in range(40)]
+    texts = [" ".join(["is onhe"] * 150 + body) for body in bodies]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(r) for r in probminhash.near_duplicate_classes(docs).collect()]
+    same_rows(got, brute_classes(docs))
+    assert 1 < len({c for _, c in got}) < len(texts)
+    # The first comparison is of bucket members with their leaders.
+    assert sum(compared[1:]) <= 4 * len(texts)
+
+
 def test_models_of_one_size_keep_their_own_features(spark):
     text = ["alpha beta", "gamma beta"]
     trigrams = np.zeros((toxicity._CLASSES,) * 3, dtype=np.float32).tobytes()

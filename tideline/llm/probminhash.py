@@ -9,8 +9,8 @@ exact similarity of the two texts decides.
 No group is compared pair by pair: texts with the same words are one node; a node whose own shingles (found
 in no other candidate) weigh too much cannot reach the threshold with anyone and is left out; the members of
 a bucket are compared with one leader; and members that are still in different classes are coded by their
-difference from that leader. Two of them meet only if their differences are small enough together, or share a
-shingle among their rarest ones.
+difference from that leader and compared with the one that differs least. What is left meets only if two differences
+are small enough together, or share a shingle among their rarest ones.
 """
 
 from __future__ import annotations
@@ -241,59 +241,106 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def differences(refs: DataFrame, texts: DataFrame) -> DataFrame:
-    """node, lead, size (shingles that one of the two texts holds and the other does not), weight (of the node's
-    shingles, repetitions twice) and these shingles, for each (node, lead)."""
+    """How the texts of each (node, lead) differ.
+
+    weight (of the node's shingles, repetitions twice), held (weight of the lead's), over (how much the node's shingles
+    weigh more than the lead's), the shingles that only one of the two holds and their weight in the node (mine) and in
+    the lead (theirs), 0 where it does not hold them.
+    """
     own = texts.select("node", F.col("text").alias("text_node"))
     led = texts.select(F.col("node").alias("lead"), F.col("text").alias("text_lead"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held: dict[str, tuple] = {}
-        sizes, weights, tokens = [], [], []
+        known: dict[str, tuple] = {}
+        out: list[tuple] = []
         for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if len(held) > 200:
-                held.clear()
-            fresh = [t for t in dict.fromkeys(pair) if t not in held]
+            if len(known) > 200:
+                known.clear()
+            fresh = [t for t in dict.fromkeys(pair) if t not in known]
             if fresh:
                 row, element, weight, _ = shingles(fresh)
-                held.update((t, (element[row == k], weight[row == k])) for k, t in enumerate(fresh))
-            (mine, weight), (other, _) = held[pair[0]], held[pair[1]]
-            apart = np.setxor1d(mine, other, assume_unique=True).astype(np.int64)
-            sizes.append(len(apart))
-            weights.append(float(2 * weight.sum() - len(weight)))
-            tokens.append(apart)
+                known.update((t, (element[row == k], weight[row == k])) for k, t in enumerate(fresh))
+            (xe, xw), (ye, yw) = known[pair[0]], known[pair[1]]
+            _, i, j = np.intersect1d(xe, ye, assume_unique=True, return_indices=True)
+            only_x, only_y = np.ones(len(xe), dtype=bool), np.ones(len(ye), dtype=bool)
+            only_x[i], only_y[j] = False, False
+            mine = np.r_[xw[only_x], np.zeros(int(only_y.sum()))].astype(float)
+            theirs = np.r_[np.zeros(int(only_x.sum())), yw[only_y]].astype(float)
+            over = float(xw[only_x].sum() + np.maximum(xw[i] - yw[j], 0).sum())
+            out.append((float(2 * xw.sum() - len(xw)), float(yw.sum()), over, np.r_[xe[only_x], ye[only_y]].astype(np.int64), mine, theirs))
+        kinds = [pa.float64()] * 3 + [pa.list_(pa.int64())] + [pa.list_(pa.float64())] * 2
+        columns = list(zip(*out)) or [()] * 6
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(weights, pa.float64()), pa.array(tokens, pa.list_(pa.int64()))],
-            ["node", "lead", "size", "weight", "shingles"],
+            [batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
+            ["node", "lead", "weight", "held", "over", "shingles", "mine", "theirs"],
         )
 
     both = refs.join(own, "node").join(led, "lead").select("node", "lead", "text_node", "text_lead")
-    return map_arrow(both, step, "node long, lead long, size long, weight double, shingles array<long>")
+    kind = "node long, lead long, weight double, held double, over double, shingles array<long>, mine array<double>, theirs array<double>"
+    return map_arrow(both, step, kind)
 
 
 def centered(coded: DataFrame) -> DataFrame:
-    """``coded`` (lead, shingles, ...) with differences from the centre of a leader's members instead of the leader.
+    """node, lead, weight, held, over, size, mass and shingles of ``differences`` from the centre of a leader's members.
 
     Shingles in which more than half of the members differ from the leader are the leader's own fault; the centre
-    has them the members' way. It need not be a text for the bounds to hold.
+    has them the members' way, with the least weight of those that hold them. It need not be a text for the bounds to
+    hold. ``size`` counts the shingles, ``mass`` is the least that they weigh in a text that holds them.
     """
     members = coded.groupBy("lead").agg(F.count("*").alias("members"))
-    odd = coded.select("lead", F.explode("shingles").alias("shingle")).groupBy("lead", "shingle").agg(F.count("*").alias("often"))
-    flips = odd.join(members, "lead").where("2 * often > members").groupBy("lead").agg(F.collect_list("shingle").alias("flips"))
-    own = F.array_union(F.array_except("shingles", "flips"), F.array_except("flips", "shingles"))
-    joined = coded.join(flips, "lead", "left").withColumn("shingles", F.coalesce(own, "shingles")).drop("flips")
-    return joined.withColumn("size", F.size("shingles").cast("long"))
+    each = coded.select("lead", F.explode(F.arrays_zip("shingles", "mine", "theirs")).alias("x"))
+    odd = each.groupBy("lead", F.col("x.shingles").alias("shingle")).agg(
+        F.count("*").alias("often"), F.min("x.mine").alias("mine"), F.max("x.theirs").alias("theirs")
+    )
+    gain = F.when(F.col("theirs") > 0, -F.col("theirs")).otherwise(F.col("mine"))
+    flips = odd.join(members, "lead").where("2 * often > members").groupBy("lead").agg(F.collect_list(F.struct("shingle", gain.alias("gain"))).alias("flips"))
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        held, over, apart, mine, flipped, gains = (batch.column(k).to_pylist() for k in range(3, 9))
+        for h, o, x, w, f, g in zip(held, over, apart, mine, flipped, gains):
+            x, w, f, g = np.array(x, dtype=np.int64), np.array(w), np.array(f or [], dtype=np.int64), np.array(g or [], dtype=float)
+            differs, stays = np.isin(f, x), ~np.isin(x, f)
+            o -= float(g[np.where(g < 0, ~differs, differs)].sum())
+            own = np.r_[x[stays], f[~differs]]
+            out.append((h + float(g.sum()), o, len(own), len(own) + float(np.maximum(w[stays] - 1, 0).sum()), own))
+        kinds = [pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64())]
+        columns = list(zip(*out)) or [()] * 5
+        return pa.RecordBatch.from_arrays(
+            [batch.column(k) for k in range(3)] + [pa.array(c, k) for c, k in zip(columns, kinds)],
+            ["node", "lead", "weight", "held", "over", "size", "mass", "shingles"],
+        )
+
+    joined = coded.join(flips, "lead", "left").select(
+        "node", "lead", "weight", "held", "over", "shingles", "mine", F.col("flips.shingle").alias("flipped"), F.col("flips.gain").alias("gains")
+    )
+    return map_arrow(joined, step, "node long, lead long, weight double, held double, over double, size long, mass double, shingles array<long>")
+
+
+def meeting_the_nearest(coded: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a node and that of its leader whose difference is the least, if the two may be similar without a common one.
+
+    ``coded``: node, lead, part, apart. What two nodes may differ by is a sum over both, so whoever may be similar to any node
+    may be to this one: a group of near nodes is linked through it, and not pair by pair.
+    """
+    nearest = coded.where("apart > -1e11").groupBy("lead").agg(F.min(F.struct("apart", "node", "part")).alias("nearest"))
+    met = coded.join(nearest, "lead").where((F.col("part") != F.col("nearest.part")) & (F.col("apart") + F.col("nearest.apart") <= 1e-6))
+    return met.select(F.least("node", "nearest.node").alias("a"), F.greatest("node", "nearest.node").alias("b")).distinct()
 
 
 def sharing_a_difference(coded: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes of different parts that can be similar for what they share of their differences from one centre.
 
-    ``coded``: node, lead, part, open (not of the leader's part), excess, size and shingles of the difference. The
-    texts x and y differ by |dx| + |dy| - 2 |dx & dy| shingles, so they need 2 |dx & dy| >= excess of x + excess of y,
-    and of two texts at least one is open. They can share only what another difference has too. Shingles are taken
-    rarest first; two sets that share k of theirs share one of the first |set| - k + 1 of each.
+    ``coded``: node, lead, part, open (not of the part that most are in), excess, surplus (if known), size and shingles
+    of the difference. The texts x and y differ by |dx| + |dy| - 2 |dx & dy| shingles, so they need 2 |dx & dy| >= excess of x +
+    excess of y, and so for the surplus, and of two texts at least one is open. They can share only what another difference
+    has too. Shingles are taken rarest first; two sets that share k of theirs share one of the first |set| - k + 1 of each.
     """
-    least = coded.groupBy("lead").agg(F.min("excess").alias("any_least"), F.min(F.when(F.col("open"), F.col("excess"))).alias("open_least"))
-    each = coded.select("lead", "node", "part", "open", "excess", "size", F.explode("shingles").alias("shingle"))
+    bounds = [c for c in ("excess", "surplus") if c in coded.columns]
+    least = coded.groupBy("lead").agg(
+        *[F.min(c).alias(f"any_{c}") for c in bounds], *[F.min(F.when(F.col("open"), F.col(c))).alias(f"open_{c}") for c in bounds]
+    )
+    each = coded.select("lead", "node", "part", "open", *bounds, "size", F.explode("shingles").alias("shingle"))
     often = each.groupBy("lead", "shingle").agg(F.count("*").alias("often")).where("often > 1")
     own = Window.partitionBy("lead", "node")
     # A shingle of one text alone meets nobody, but takes its place among the first.
@@ -301,18 +348,23 @@ def sharing_a_difference(coded: DataFrame) -> DataFrame:
         "*", F.count("often").over(own).alias("common"), F.row_number().over(own.orderBy(F.coalesce("often", F.lit(1)), "shingle")).alias("rank")
     )
     # What the easiest partner asks for: any text for an open one, an open one for the others.
-    easiest = F.when(F.col("open"), F.col("any_least")).otherwise(F.col("open_least"))
-    asked = F.greatest(F.ceil((F.col("excess") + easiest) / 2 - F.lit(1e-6)), F.lit(1))
+    asked = F.greatest(
+        *[F.ceil((F.col(c) + F.when(F.col("open"), F.col(f"any_{c}")).otherwise(F.col(f"open_{c}"))) / 2 - F.lit(1e-6)) for c in bounds], F.lit(1)
+    )
     first = ranked.join(least, "lead").where(
         F.col("often").isNotNull() & (asked <= F.col("common")) & (F.col("rank") <= F.col("size") - asked + 1)
-    ).select("lead", "shingle", "node", "part", "open", "excess", "common")
+    ).select("lead", "shingle", "node", "part", "open", *bounds, "common")
     x, y = first.where("open").alias("x"), first.alias("y")
     met = x.join(y, [F.col("x.lead") == F.col("y.lead"), F.col("x.shingle") == F.col("y.shingle")]).where(
-        (F.col("x.part") != F.col("y.part")) & (F.col("x.excess") + F.col("y.excess") <= 2 * F.least("x.common", "y.common") + F.lit(1e-6))
+        (F.col("x.part") != F.col("y.part")) & reduce(lambda a, b: a & b, [F.col(f"x.{c}") + F.col(f"y.{c}") <= 2 * F.least("x.common", "y.common") + F.lit(1e-6) for c in bounds])
     )
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _in_parts(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    return nodes.join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node of its component, for the nodes of ``links`` (a, b)."""
     edges = kept_table(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "edges")
@@ -372,18 +424,27 @@ def near_duplicate_classes(
     led = leaders.select("bucket", F.col("node").alias("lead"), F.col("total").alias("lead_total"))
     placed = kept_table(placed.join(mixed, "bucket").join(led, "bucket"), "placed")
     # Members still apart are coded by their difference from the leader of their bucket.
-    lead_part = placed.where("node = lead").select("lead", F.col("part").alias("lead_part")).distinct()
-    refs = placed.select("node", "lead", "part", F.greatest("total", "lead_total").alias("most")).distinct().join(lead_part, "lead")
+    refs = placed.select("node", "lead", F.greatest("total", "lead_total").alias("most")).distinct()
+    coded = centered(kept_table(differences(refs.select("node", "lead"), texts), "differences")).join(refs, ["node", "lead"])
+    # With x and y at least as heavy in sum as what either holds alone by 1 / (1 - threshold): by the texts' own weights, and
+    # by what the centre holds and either has over it. ``apart`` weighs the differences, which bounds those without a common one.
     far = F.lit((1 - threshold) / (1 + threshold))
-    coded = kept_table(differences(refs.select("node", "lead"), texts).join(refs, ["node", "lead"]), "differences")
-    coded = centered(coded)
+    room = F.lit(1 - threshold) * (F.col("held") / 2 + F.col("over"))
+    bounds = {"excess": F.col("size") - far * F.col("weight"), "surplus": F.col("size") - room, "apart": F.col("mass") - room}
     # An id with several texts is bounded by none of them.
-    excess = F.when(F.col("most") >= 1e12, F.lit(-1e12)).otherwise(F.col("size") - far * F.col("weight"))
-    coded = coded.select("node", "lead", "part", (F.col("part") != F.col("lead_part")).alias("open"), excess.alias("excess"), "size", "shingles")
+    bounds = [F.when(F.col("most") >= 1e12, F.lit(-1e12)).otherwise(c).alias(name) for name, c in bounds.items()]
+    coded = kept_table(coded.select("node", "lead", *bounds, "size", "shingles"), "coded")
+    close = kept_table(verified(meeting_the_nearest(_in_parts(coded, labels)), texts, threshold), "links")
+    if close.limit(1).count():
+        links = links.unionByName(close)
+        labels = components(links)
+    coded = _in_parts(coded, labels)
+    most = coded.where("apart > -1e11").groupBy("lead").agg(F.min_by("part", F.struct("apart", "node")).alias("most"))
+    coded = coded.join(most, "lead", "left").withColumn("open", F.coalesce(F.col("part") != F.col("most"), F.lit(True))).drop("most")
     coded = kept_table(coded, "coded")
-    known.append("excess")
-    excesses = coded.groupBy("node", "lead").agg(F.min("excess").alias("excess"))
-    placed = kept_table(placed.join(excesses, ["node", "lead"]), "placed")
+    known += ["excess", "apart"]
+    lows = coded.groupBy("node", "lead").agg(F.min("part").alias("part"), *[F.min(c).alias(c) for c in ("excess", "apart")])
+    placed = kept_table(placed.drop("part").join(lows, ["node", "lead"]), "placed")
     parts = placed.groupBy("bucket", "part").agg(
         F.min(F.col("own") / F.col("total")).alias("least"),
         F.min("own").alias("own"),
@@ -391,10 +452,11 @@ def near_duplicate_classes(
         F.max(F.col("total") - F.col("own")).alias("shared"),
         F.max("extra").alias("extra"),
         F.min("excess").alias("excess"),
+        F.min("apart").alias("apart"),
     )
     parts = kept_table(parts, "parts")
     # Pairs that may be similar without any common difference; all others share one.
-    near = F.col("x.excess") + F.col("y.excess") <= 1e-6
+    near = (F.col("x.excess") + F.col("y.excess") <= 1e-6) & (F.col("x.apart") + F.col("y.apart") <= 1e-6)
     meet = (
         parts.alias("x")
         .join(parts.alias("y"), "bucket")
@@ -411,7 +473,7 @@ def near_duplicate_classes(
     across = (
         meet.join(side_a, ["bucket", "part_a"])
         .join(side_b, ["bucket", "part_b"])
-        .where((F.col("a.excess") + F.col("b.excess") <= 1e-6) & _within_bound("a", "b", threshold))
+        .where((F.col("a.excess") + F.col("b.excess") <= 1e-6) & (F.col("a.apart") + F.col("b.apart") <= 1e-6) & _within_bound("a", "b", threshold))
         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
         .union(sharing_a_difference(coded))
         .distinct()
