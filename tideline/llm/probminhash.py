@@ -280,18 +280,45 @@ def differences(refs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(both, step, kind)
 
 
+def _often_apart(coded: DataFrame) -> DataFrame:
+    """lead and the shingles in which more than half of some batch's members of it differ from it, with how many do, mine and theirs.
+
+    What more than half of all members have, more than half of one batch's have. Rows are dealt by ranges, so a
+    leader's members lie together, and those of a large group in several tasks.
+    """
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lead = np.asarray(batch.column(0))
+        apart, mine, theirs = (batch.column(k).to_pylist() for k in (1, 2, 3))
+        out: list[tuple[np.ndarray, ...]] = []
+        order = np.argsort(lead, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(lead[order])) + 1):
+            flat, w, c = (np.concatenate([np.array(of[r], dtype=kind) for r in rows]) for of, kind in ((apart, np.int64), (mine, float), (theirs, float)))
+            shingle, place, often = np.unique(flat, return_inverse=True, return_counts=True)
+            least, most = np.full(len(shingle), np.inf), np.zeros(len(shingle))
+            np.minimum.at(least, place, w)
+            np.maximum.at(most, place, c)
+            many = 2 * often > len(rows)
+            out.append((np.full(int(many.sum()), lead[rows[0]]), shingle[many], often[many], least[many], most[many]))
+        columns = zip(*out) if out else [()] * 5
+        kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c) if c else [], k) for c, k in zip(columns, kinds)], ["lead", "shingle", "often", "mine", "theirs"]
+        )
+
+    rows = coded.repartitionByRange("lead", "node").select("lead", "shingles", "mine", "theirs")
+    return map_arrow(rows, step, "lead long, shingle long, often long, mine double, theirs double")
+
+
 def centered(coded: DataFrame) -> DataFrame:
     """node, lead, weight, held, over, size, mass and shingles of ``differences`` from the centre of a leader's members.
 
     Shingles in which more than half of the members differ from the leader are the leader's own fault; the centre
-    has them the members' way, with the least weight of those that hold them. It need not be a text for the bounds to
-    hold. ``size`` counts the shingles, ``mass`` is the least that they weigh in a text that holds them.
+    has them the members' way, with the least weight counted for them. It need not be a text for the bounds to hold, nor
+    the very majority. ``size`` counts the shingles, ``mass`` is the least that they weigh in a text that holds them.
     """
     members = coded.groupBy("lead").agg(F.count("*").alias("members"))
-    each = coded.select("lead", F.explode(F.arrays_zip("shingles", "mine", "theirs")).alias("x"))
-    odd = each.groupBy("lead", F.col("x.shingles").alias("shingle")).agg(
-        F.count("*").alias("often"), F.min("x.mine").alias("mine"), F.max("x.theirs").alias("theirs")
-    )
+    odd = _often_apart(coded).groupBy("lead", "shingle").agg(F.sum("often").alias("often"), F.min("mine").alias("mine"), F.max("theirs").alias("theirs"))
     gain = F.when(F.col("theirs") > 0, -F.col("theirs")).otherwise(F.col("mine"))
     flips = odd.join(members, "lead").where("2 * often > members").groupBy("lead").agg(F.collect_list(F.struct("shingle", gain.alias("gain"))).alias("flips"))
 
@@ -301,7 +328,10 @@ def centered(coded: DataFrame) -> DataFrame:
         for h, o, x, w, f, g in zip(held, over, apart, mine, flipped, gains):
             x, w, f, g = np.array(x, dtype=np.int64), np.array(w), np.array(f or [], dtype=np.int64), np.array(g or [], dtype=float)
             differs, stays = np.isin(f, x), ~np.isin(x, f)
-            o -= float(g[np.where(g < 0, ~differs, differs)].sum())
+            # What the centre takes from the leader is all over it now; what it holds instead is not, as far as the text has it.
+            o -= float(g[(g < 0) & ~differs].sum())
+            weights = dict(zip(x[~stays].tolist(), w[~stays].tolist()))
+            o -= sum(min(weights[i], y) for i, y in zip(f[(g > 0) & differs].tolist(), g[(g > 0) & differs].tolist()))
             own = np.r_[x[stays], f[~differs]]
             out.append((h + float(g.sum()), o, len(own), len(own) + float(np.maximum(w[stays] - 1, 0).sum()), own))
         kinds = [pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64())]
