@@ -240,3 +240,13 @@ def test_sketches_close_to_exact_ranks(spark, slack):
     for r in sketched_bounds(sketches, ["name"], indexes(), 0.01).where("name = 'hot'").collect():
         inside = sum(r["low"] <= v <= r["high"] for v in hot)
         assert r["low"] <= hot[r["rank"]] <= r["high"] and inside < 0.06 * len(hot)
+
+
+def test_rates_deal_readings_to_as_many_tasks_as_their_number_asks(spark, monkeypatch):
+    monkeypatch.setattr(series, "TASK_ROWS", 200, raising=False)
+    start = datetime(2024, 1, 1)
+    rows = [("a", start + timedelta(seconds=k), float(k % 50), k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "name string, ts timestamp, value double, k int")
+    rated = series.extrapolated_rate(df, 30, tie="k", chunk_seconds=10)
+    tasks = [r.n for r in rated.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 2000 and len(tasks) > 8

@@ -12,6 +12,8 @@ MICROS = 1_000_000
 # Readings of one series that a task may sort.
 CHUNK_ROWS = 5_000_000
 MAX_CHUNK_SECONDS = 30 * 86_400
+# Readings that a task gets; every sort of theirs takes about a kilobyte a reading in all.
+TASK_ROWS = 200_000
 # Steps that readings are counted in to size chunks; no chunk is shorter.
 STEP_SECONDS = 10
 
@@ -25,9 +27,13 @@ def chunk_for(readings: DataFrame, name: str = "name", ts: str = "ts") -> int:
 
     One counting pass over short steps, combined before the shuffle.
     """
+    return _chunk_and_rows(readings, name, ts)[0]
+
+
+def _chunk_and_rows(readings: DataFrame, name: str, ts: str) -> tuple[int, int]:
     step = F.floor(micros(F.col(ts)) / (STEP_SECONDS * MICROS))
-    busiest = readings.groupBy(name, step.alias("step")).count().agg(F.max("count")).first()[0] or 1
-    return int(min(max(1, CHUNK_ROWS // busiest) * STEP_SECONDS, MAX_CHUNK_SECONDS))
+    busiest, rows = readings.groupBy(name, step.alias("step")).count().agg(F.max("count"), F.sum("count")).first()
+    return int(min(max(1, CHUNK_ROWS // (busiest or 1)) * STEP_SECONDS, MAX_CHUNK_SECONDS)), rows or 0
 
 
 def _chunks_per_window(seconds: int, chunk_seconds: int) -> int:
@@ -50,7 +56,8 @@ def _windows(readings: DataFrame, seconds: int, name: str, ts: str, value: str,
     time on. Sums are only ever added to, so an infinite or very large reading counts as long as it is in the
     window and leaves no trace afterwards. The readings are shuffled once, by series and chunk.
     """
-    k = _chunks_per_window(seconds, min(seconds, chunk_seconds or chunk_for(readings, name, ts)))
+    chunk, n = _chunk_and_rows(readings, name, ts)
+    k = _chunks_per_window(seconds, min(seconds, chunk_seconds or chunk))
     chunk_us = seconds * MICROS // k
     # A series without a name is one too, and joins would lose a key that is null.
     keys = ["series", "chunk"]
@@ -69,8 +76,14 @@ def _windows(readings: DataFrame, seconds: int, name: str, ts: str, value: str,
 
     now = F.struct(F.col("chunk"), F.lit(False).alias("old"), F.col("us").alias("at"))
     then = F.struct((F.col("chunk") + k).alias("chunk"), F.lit(True).alias("old"), (F.col("us") + seconds * MICROS).alias("at"))
-    # Dealt out before the join, so that the small side is the one that comes to the readings.
-    dealt = known.select("series", "ts", "v", "tie", "us", F.inline(F.array(now, then))).repartition(*keys).join(met, keys)
+    # Dealt out before the join, so that the small side is the one that comes to the readings. A number of tasks that is said
+    # is kept, where others are merged until there are as many as cores, whatever they hold.
+    tasks = -(-2 * n // TASK_ROWS)
+    many = tasks > readings.sparkSession.sparkContext.defaultParallelism
+    by = [tasks, *keys] if many else keys
+    # Joins take the session's number of tasks unless both sides say the same.
+    met = met.repartition(*by) if many else met
+    dealt = known.select("series", "ts", "v", "tie", "us", F.inline(F.array(now, then))).repartition(*by).join(met, keys)
     within = Window.partitionBy(*keys, "old").orderBy("us", "tie")
     previous = F.lag("v").over(within)
     before = F.when(F.row_number().over(within) > 1, previous).otherwise(F.when(F.col("old"), F.col("then.carried")).otherwise(F.col("now.carried")))
@@ -113,7 +126,7 @@ def _windows(readings: DataFrame, seconds: int, name: str, ts: str, value: str,
         )
         between = Window.partitionBy("series").orderBy("chunk").rangeBetween(-(k - 1), -1)
         listed = whole.select(*keys, F.array_sort(F.collect_list(F.struct("chunk", "n", "total", "after", "first")).over(between)).alias("mid"))
-        rows = rows.join(listed, keys)
+        rows = rows.join(listed.repartition(*by) if many else listed, keys)
         mid = F.col("mid")
         number = F.aggregate(mid, F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
         whole_sum = F.when(F.size(mid) > 0, F.aggregate(F.slice(mid, 2, F.greatest(F.size(mid) - 1, F.lit(0))), F.get(mid, 0)["total"], lambda a, x: (a + x["total"]).cast(_type_of(whole, "total"))))
