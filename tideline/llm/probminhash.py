@@ -288,11 +288,11 @@ def _often_apart(coded: DataFrame) -> DataFrame:
     """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lead = np.asarray(batch.column(0))
+        lead = np.asarray(batch.column(0), dtype=np.int64)
         apart, mine, theirs = (batch.column(k).to_pylist() for k in (1, 2, 3))
         out: list[tuple[np.ndarray, ...]] = []
         order = np.argsort(lead, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(lead[order])) + 1):
+        for rows in np.split(order, np.flatnonzero(np.diff(lead[order])) + 1) if len(lead) else []:
             flat, w, c = (np.concatenate([np.array(of[r], dtype=kind) for r in rows]) for of, kind in ((apart, np.int64), (mine, float), (theirs, float)))
             shingle, place, often = np.unique(flat, return_inverse=True, return_counts=True)
             least, most = np.full(len(shingle), np.inf), np.zeros(len(shingle))
