@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -37,6 +39,23 @@ def test_library_ids_equal_the_library(spark, small, path, spaced, specials):
         assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_library_ids_hold_little_at_once():
+    """Beside an earlier stage's memory there is room for a few megabytes a worker, whatever the size of a batch."""
+    ids = library_ids.LibraryIds(WORD, "test")
+    texts = pa.array(["the quick brown fox jumps over the lazy dog, again and again. " * 30] * 7000)
+    one = next(ids.of_column(texts[:1]))
+    tracemalloc.start()
+    try:
+        assert all(raw == one for raw in ids.of_column(texts))
+        assert tracemalloc.get_traced_memory()[1] < 30_000_000
+    finally:
+        tracemalloc.stop()
+    words = pa.array([" ".join(f"{k:040}" for k in range(start, start + 1000)) for start in range(0, 300_000, 1000)])
+    assert sum(1 for _ in ids.of_column(words)) == 300
+    # A slice may come on top of the bound, in both generations.
+    assert len(ids.cache) + len(ids.cache.older) < 270_000
+
+
 # ---- spelling ----
 def brute_variants(rows):
     counts = Counter()

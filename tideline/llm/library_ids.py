@@ -22,8 +22,8 @@ from tideline.llm.chunks import BEYOND_LATIN, LETTERS, NUMBERS, SPACES, Cache, b
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _WORD = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|{_ENDINGS}|[^{LETTERS}{NUMBERS}]+")
 _SPACED = re.compile(f"{_ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+")
-# Text that is cut at once.
-_SLICE_BYTES = 12_000_000
+# Text that is cut at once; a worker holds about fifteen bytes for each of them while it does.
+_SLICE_BYTES = 2_000_000
 # Signs that often end a chunk; together they are one pre-token.
 _STOPS = ".,;:!?#*$%&|<>()[]\"-"
 
@@ -35,7 +35,7 @@ class LibraryIds:
     ``specials``: strings of special tokens inside a text are these tokens; else plain text.
     """
 
-    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True, bound: int = 250_000):
+    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True, bound: int = 80_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
