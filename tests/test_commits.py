@@ -182,6 +182,37 @@ def test_a_fold_of_many_changes_writes_the_base_only(spark, tables, monkeypatch)
     assert {r["id"]: r["status"] for r in got} == want and len(got) == len(want)
 
 
+def test_a_batch_is_stored_as_it_comes(spark, tables):
+    """Without a shuffle of its own: the last change of a key is settled when batches are read or folded."""
+    apply(spark, tables, 0, [order("c", 1, 1), order("u", 1, 2, "SHIPPED"), order("c", 2, 3)])
+    stored = tables.latest.batches(tables.latest.places())
+    assert sorted((r["id"], r["op"]) for r in stored.collect()) == [(1, "c"), (1, "u"), (2, "c")]
+    for _ in range(2):
+        assert {r["id"]: r["status"] for r in tables.latest.read().collect()} == {1: "SHIPPED", 2: "PENDING"}
+        assert tables.latest.read().count() == 2
+        tables.fold()
+
+
+def test_a_fold_combines_the_changes_of_a_hot_key_before_it_deals_them(spark, tables):
+    combined = []
+
+    def combine(rows):
+        combined.append(rows)
+        return latest_per_key(rows)
+
+    table = tables.latest
+    large = BatchTable(**{**vars(table), "combine": combine, "base_kind": type(table.base_kind)(8, max_rows=3)})
+    want = {}
+    for batch, keys in enumerate([range(400), [7] * 300 + list(range(300, 500))]):
+        events = [order("u", k, 1000 * batch + at, f"S{batch}-{at}") for at, k in enumerate(keys)]
+        want |= {k: f"S{batch}-{at}" for at, k in enumerate(keys)}
+        apply(spark, tables, batch, events)
+        large.fold()
+        assert len(combined) == batch
+        got = large.read().collect()
+        assert {r["id"]: r["status"] for r in got} == want and len(got) == len(want)
+
+
 def test_segments_are_written_again_a_few_times_only(spark):
     table = BatchTable(spark, new_folder(spark, "segments") + "/t", "n bigint", lambda d: d, lambda a, b: a.unionByName(b), base_kind=Segments(3))
     for batch in range(12):

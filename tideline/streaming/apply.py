@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.counters import ROWS, deltas
 from tideline.operators.envelope import PLACE, changes, judged_changes
-from tideline.operators.state import latest_per_key
+from tideline.operators.state import KEYS
 from tideline.rules import DEFAULT, Rules
 from tideline.schema import CUSTOMERS
 from tideline.streaming.folders import Folders
@@ -66,7 +66,8 @@ class ChangeSink(_Options):
             changed = judged.where(F.col("reason").isNull()).drop("reason", *PLACE)
             writes: list[tuple[BatchTable, Callable[[], DataFrame]]] = []
             if applied:
-                writes.append((self.tables.latest, lambda: latest_per_key(changed, keep=LATEST_COLUMNS)))
+                # As they are: readers and folds take the last of each key anyway, over all batches at once.
+                writes.append((self.tables.latest, lambda: changed.select(*KEYS, *LATEST_COLUMNS)))
                 writes.append((self.tables.deltas, lambda: self._deltas(changed, epoch, batch_id)))
             if rejected:
                 rest = judged.where(F.col("reason").isNotNull())

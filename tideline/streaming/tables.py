@@ -235,6 +235,8 @@ class Buckets:
     rounds: int = 8
     # Rows of new changes that may be broadcast; keys and orders are of fixed width, about a hundred bytes.
     max_rows: int = MAX_BROADCAST_ROWS
+    # Changes of the fullest bucket, in times the mean, from which a fold combines them before it deals them.
+    uneven: float = 2.0
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.count)).cast("int")
@@ -272,8 +274,14 @@ class Buckets:
         return parts
 
     def _rewritten(self, table: BatchTable, before: Version | None, places: list[Place], folder: str) -> dict[str, tuple[str, int]]:
-        """Every bucket anew, for changes that are too many to broadcast: one shuffle deals rows to buckets and settles keys there."""
+        """Every bucket anew, for changes that are too many to broadcast: one shuffle deals rows to buckets and settles keys there.
+
+        A key with very many changes would send them all to one bucket, so they are combined first where buckets differ much.
+        """
         rows = table.batches(places)
+        most, mean = rows.groupBy(self.bucket().alias("bucket")).count().agg(F.max("count"), F.sum("count") / self.count).first()
+        if most > self.uneven * mean:
+            rows = table.combine(rows)
         if before and before.parts:
             rows = rows.unionByName(table.parts(sorted({f for f, _ in before.parts.values()})).drop("bucket"))
         rows = latest_per_key(rows.withColumn("bucket", self.bucket()).repartition("bucket"), keys=["bucket", *self.keys])
