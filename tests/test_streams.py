@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tideline.operators.counters import counters, scores
@@ -81,6 +82,17 @@ def test_empty_batch_leaves_no_trace(spark):
     assert log.tables.counters().count() == 0
 
 
+@pytest.mark.parametrize("part", PARTS)
+def test_a_part_builds_its_own_events_only(spark, part, capsys):
+    log = Arriving(spark, SF_SMALL)
+    asked = log.events_of((part,))
+    assert rows(asked) == rows(log.events.where(F.col("op") == part))
+    asked.explain(True)
+    plan = capsys.readouterr().out
+    # Events of the other ops are not in the plan, so neither are their images.
+    assert [op for op in PARTS if f"op, {op}, off" in plan] == [part]
+
+
 def test_nothing_new_runs_no_batch(spark):
     log = Arriving(spark, SF_SMALL)
     log.arrive("c")

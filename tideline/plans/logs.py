@@ -22,12 +22,12 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.customer_rows(feed.read_table(prepare(spark), sf_dir, "customer"))
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.order_changes(order_table(spark, sf_dir))
+def order_events(spark: SparkSession, sf_dir: str, ops: tuple[str, ...] = feed.ALL_OPS) -> DataFrame:
+    return feed.order_changes(order_table(spark, sf_dir), ops)
 
 
-def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.customer_changes(customer_table(spark, sf_dir))
+def customer_events(spark: SparkSession, sf_dir: str, ops: tuple[str, ...] = feed.ALL_OPS) -> DataFrame:
+    return feed.customer_changes(customer_table(spark, sf_dir), ops)
 
 
 def supplier_events(spark: SparkSession, sf_dir: str) -> DataFrame:

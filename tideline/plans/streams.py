@@ -36,15 +36,18 @@ class Arriving:
     """A log folder that grows part by part, with tables and a checkpoint of its own."""
 
     def __init__(self, spark, sf_dir):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.root = new_folder(spark, "stream")
         self.path = f"{self.root}/log"
         self.checkpoint = f"{self.root}/checkpoint"
         self.tables = StateTables.at(spark, f"{self.root}/tables")
-        self.events = logs.order_events(spark, sf_dir).unionByName(logs.customer_events(spark, sf_dir))
+        self.events = self.events_of(feed.ALL_OPS)
+
+    def events_of(self, ops):
+        return logs.order_events(self.spark, self.sf_dir, ops).unionByName(logs.customer_events(self.spark, self.sf_dir, ops))
 
     def arrive(self, part):
-        feed.to_log(self.events.where(F.col("op") == part)).write.mode("append").parquet(self.path)
+        feed.to_log(self.events_of((part,))).write.mode("append").parquet(self.path)
 
     def arrive_all(self):
         feed.to_log(self.events).write.mode("append").parquet(self.path)
@@ -142,7 +145,7 @@ def counters_exactly_once(spark, sf_dir):
     """Counters over a restart and a retry of a finished batch, with a fold in between."""
     log = _restarted(spark, sf_dir)
     log.tables.fold()
-    retried = changes(feed.to_log(log.events.where(F.col("op") == "d")))
+    retried = changes(feed.to_log(log.events_of(("d",))))
     ChangeSink(log.tables)(retried, 2)
     return log.tables.counters()
 

@@ -94,7 +94,17 @@ def _unfold(rows: DataFrame, table: str, events: list[Column]) -> DataFrame:
     return unfolded.where(F.col("op").isNotNull())
 
 
-def order_changes(rows: DataFrame) -> DataFrame:
+def _cycle(rows: DataFrame, table: str, steps: list[tuple[str, Column, Column]], ops: tuple[str, ...]) -> DataFrame:
+    """Events of the asked ops only. ``steps``: op, which rows go through it, and its event; other rows and images are not built."""
+    asked = [(which, event) for op, which, event in steps if op in ops]
+    met = rows.where(reduce(lambda a, b: a | b, [which for which, _ in asked], F.lit(False)))
+    return _unfold(met, table, [F.when(which, event) for which, event in asked])
+
+
+ALL_OPS = ("c", "u", "d")
+
+
+def order_changes(rows: DataFrame, ops: tuple[str, ...] = ALL_OPS) -> DataFrame:
     """Create, ship (every third id), delete (every seventh id)."""
 
     def image(status: Column) -> Column:
@@ -111,18 +121,19 @@ def order_changes(rows: DataFrame) -> DataFrame:
     deleted = F.col("id") % 7 == 0
     placed = F.unix_millis(F.col("order_date").cast("timestamp"))
     first, second = image(F.col("status")), image(F.lit("SHIPPED"))
-    return _unfold(
+    return _cycle(
         rows,
         ORDERS,
         [
-            _event("c", 0, placed, None, first),
-            F.when(shipped, _event("u", 1, placed + DAY_MS, first, second)),
-            F.when(deleted, _event("d", 2, placed + 2 * DAY_MS, F.when(shipped, second).otherwise(first), None)),
+            ("c", F.lit(True), _event("c", 0, placed, None, first)),
+            ("u", shipped, _event("u", 1, placed + DAY_MS, first, second)),
+            ("d", deleted, _event("d", 2, placed + 2 * DAY_MS, F.when(shipped, second).otherwise(first), None)),
         ],
+        ops,
     )
 
 
-def customer_changes(rows: DataFrame) -> DataFrame:
+def customer_changes(rows: DataFrame, ops: tuple[str, ...] = ALL_OPS) -> DataFrame:
     """Create, new address (every fifth id), delete (every 11th), come back (every 22nd)."""
 
     def image(email: Column) -> Column:
@@ -137,15 +148,16 @@ def customer_changes(rows: DataFrame) -> DataFrame:
     first = image(F.col("email"))
     second = image(F.concat(F.lit("new."), F.col("email")))
     third = image(F.concat(F.lit("back."), F.col("email")))
-    return _unfold(
+    return _cycle(
         spread_out(rows),
         CUSTOMERS,
         [
-            _event("c", 0, at(CUSTOMER_CREATED), None, first),
-            F.when(moved, _event("u", 1, at(CUSTOMER_CHANGED), first, second)),
-            F.when(left, _event("d", 2, at(CUSTOMER_DELETED), F.when(moved, second).otherwise(first), None)),
-            F.when(back, _event("c", 3, at(CUSTOMER_REJOINED), None, third)),
+            ("c", F.lit(True), _event("c", 0, at(CUSTOMER_CREATED), None, first)),
+            ("u", moved, _event("u", 1, at(CUSTOMER_CHANGED), first, second)),
+            ("d", left, _event("d", 2, at(CUSTOMER_DELETED), F.when(moved, second).otherwise(first), None)),
+            ("c", back, _event("c", 3, at(CUSTOMER_REJOINED), None, third)),
         ],
+        ops,
     )
 
 
