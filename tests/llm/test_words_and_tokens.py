@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -56,6 +57,38 @@ def test_library_ids_hold_little_at_once():
     assert len(ids.cache) + len(ids.cache.older) < 270_000
 
 
+def test_library_ids_of_a_column_equal_the_library(spark, small):
+    library = Tokenizer.from_file(WORD)
+    signs = ".,;:!?#*$%&|<>()[]\"-"
+    latin = [chr(c) for c in range(0x180)]
+    texts = [t for _, t in texts_of(odd_docs(spark)) + texts_of(small)]
+    texts += [f"{c} a{c} {c}B {c}.{c} {c}{c}{s} É{c}É{s}{s}" for c in latin for s in signs[ord(c) % 7 :: 7]]
+    texts += ["", " ", "...", "İ İ. Aİ, ŉ. ß ẞ ſ.", "x́ x́. é. ﬁ. Σς. K.", "it's It'S. don't- a'b.", "a1. 1a. ½.", "日本. 語, ǅ.", "x\x1cy <|endoftext|>. z"]
+    column = pa.array(["not read", *texts])[1:]
+    got = list(library_ids.LibraryIds(WORD, "test").of_column(column))
+    assert len(got) == len(texts)
+    for text, raw in zip(texts, got):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_library_ids_cost_a_call_per_word_not_per_chunk():
+    """Words return in capitals and before signs, and from slice to slice; only a word never met may cost Python calls."""
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters][:120_000]
+    forms = [words, *([w.capitalize() + s for w in words[:5000]] for s in ["", ".", ",", "!", "?", ";", ":", "..."]), words]
+    texts = pa.array([" ".join(f[k : k + 1000]) for f in forms for k in range(0, len(f), 1000)])
+    ids = library_ids.library_ids(WORD, "calls")
+    calls = Counter()
+    sys.setprofile(lambda frame, event, _: calls.update([frame.f_code.co_name] if event == "call" else []))
+    try:
+        got = list(ids.of_column(texts))
+    finally:
+        sys.setprofile(None)
+    assert got[:120] == got[-120:]
+    assert calls["_merged"] < 121_000
+    assert calls.total() < 260_000
+
+
 # ---- spelling ----
 def brute_variants(rows):
     counts = Counter()

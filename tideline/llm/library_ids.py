@@ -26,6 +26,24 @@ _SPACED = re.compile(f"{_ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LET
 _SLICE_BYTES = 2_000_000
 # Signs that often end a chunk; together they are one pre-token.
 _STOPS = ".,;:!?#*$%&|<>()[]\"-"
+# A word and its signs, in Arrow's regular expressions. U+0130 alone becomes two characters in lower case.
+_WORD_AND_SIGNS = (
+    "^(?P<word>[a-zA-Z\\x{aa}\\x{b5}\\x{ba}\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{12f}\\x{131}-\\x{17f}]+)(?P<signs>["
+    + re.escape(_STOPS)
+    + "]*)$"
+)
+
+
+def _strings(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _joined(pool: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``which`` of a pool that holds entries of ``sizes`` one after another, and the size of each."""
+    n = sizes[which]
+    place = np.repeat((np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n), n)
+    place += np.arange(len(place))
+    return pool[place], n
 
 
 class LibraryIds:
@@ -35,7 +53,7 @@ class LibraryIds:
     ``specials``: strings of special tokens inside a text are these tokens; else plain text.
     """
 
-    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True, bound: int = 80_000):
+    def __init__(self, path: str, owner: str, spaced: bool = False, specials: bool = True, bound: int = 80_000, word_bound: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,7 +64,7 @@ class LibraryIds:
         found = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, found)) + ")") if specials and found else None
         self.spaced, self.chunks = spaced, spaced_chunks if spaced else chunks
-        self.cache, self.words = Cache(owner, bound), Cache(owner, bound)
+        self.cache, self.words = Cache(owner, bound), Cache(owner, word_bound or bound)
         self.model, self.byte = self.library.model, byte_alphabet()
         # Caches hold many small objects and no circles, which frequent collections would walk for nothing.
         gc.set_threshold(500_000, 20, 50)
@@ -96,9 +114,7 @@ class LibraryIds:
                 words.append(row)
             elif row is not None:
                 words += row
-        (got,), (holes,), fresh = self.words.values([words])
-        self.words.update((w, self._merged(w)) for w in fresh)
-        self.words.fill([words], [got], [holes])
+        got = self._known(words)
         at, cache = 0, self.cache
         for c, row in zip(chunks, split):
             if type(row) is str:
@@ -118,7 +134,7 @@ class LibraryIds:
             yield from map(b"".join, got)
 
     def of_column(self, texts: pa.StringArray):
-        """``of`` for an Arrow column without nulls: chunks are cut and told apart by Arrow, so each is looked up once a slice."""
+        """``of`` for an Arrow column without nulls: chunks are cut and told apart by Arrow, so each word is looked up once a slice."""
         if self.spaced:
             yield from self.of(texts.to_pylist())
             return
@@ -129,25 +145,44 @@ class LibraryIds:
             yield from self._of_slice(texts.slice(start, stop - start))
             start = stop
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens."""
+        (got,), (holes,), fresh = self.words.values([words])
+        self.words.update((w, self._merged(w)) for w in fresh)
+        self.words.fill([words], [got], [holes])
+        return got
+
+    def _of_chunks(self, told: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks one after another, and the number of each chunk's.
+
+        Most are a word and perhaps signs after it. Arrow splits these, so nothing but a word never met costs a call of its own.
+        """
+        parts = pc.extract_regex(told, _WORD_AND_SIGNS)
+        words = pc.utf8_lower(pc.struct_field(parts, "word")).dictionary_encode()
+        signs = pc.struct_field(parts, "signs").dictionary_encode()
+        other = parts.is_null().to_numpy(zero_copy_only=False)
+        rest = _strings(told.filter(pa.array(other)))
+        (odd,), (holes,), fresh = self.cache.values([rest])
+        self._learn(fresh)
+        self.cache.fill([rest], [odd], [holes])
+        entries = [*self._known(_strings(words.dictionary) + _strings(signs.dictionary)), *odd, b""]
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        first = words.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        second = signs.indices.fill_null(0).to_numpy(zero_copy_only=False) + len(words.dictionary)
+        first[other] = np.arange(len(entries) - 1 - len(odd), len(entries) - 1)
+        second[other] = len(entries) - 1
+        pool, n = _joined(np.frombuffer(b"".join(entries), dtype="<u4"), sizes, np.c_[first, second].ravel())
+        return pool, n.reshape(-1, 2).sum(axis=1)
+
     def _of_slice(self, texts: pa.StringArray):
         # Arrow also cuts at the four separator controls, and knows no special strings.
         odd = pc.match_substring_regex(texts, "[\\x1c-\\x1f]|<\\|").to_numpy(zero_copy_only=False)
         rows = pc.utf8_split_whitespace(texts)
         told = rows.flatten().dictionary_encode()
-        strings = told.dictionary.to_numpy(zero_copy_only=False).tolist()
-        (got,), (holes,), fresh = self.cache.values([strings])
-        self._learn(fresh)
-        self.cache.fill([strings], [got], [holes])
-        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
-        pool = np.frombuffer(b"".join(got), dtype="<u4")
-        which = told.indices.to_numpy()
-        n = sizes[which]
-        ends = np.cumsum(n)
-        place = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - n), n)
-        place += np.arange(len(place))
-        raw = memoryview(pool[place].tobytes())
+        ids, n = _joined(*self._of_chunks(told.dictionary), told.indices.to_numpy())
+        raw = memoryview(ids.tobytes())
         cuts = rows.offsets.to_numpy()
-        at = (4 * np.r_[0, ends][cuts - cuts[0]]).tolist()
+        at = (4 * np.r_[0, np.cumsum(n)][cuts - cuts[0]]).tolist()
         for k, special in enumerate(odd.tolist()):
             yield next(self.of([texts[k].as_py()])) if special else bytes(raw[at[k] : at[k + 1]])
 
@@ -155,4 +190,4 @@ class LibraryIds:
 @functools.cache
 def library_ids(path: str, owner: str, spaced: bool = False, specials: bool = True) -> LibraryIds:
     """One per worker and use."""
-    return LibraryIds(path, owner, spaced, specials)
+    return LibraryIds(path, owner, spaced, specials, word_bound=250_000)
